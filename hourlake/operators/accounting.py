@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.functions.runs import failure_class, request_url, run_status
+from hourlake.operators.joins import join_dimension
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 # Fixed value: status of every document that passed the payload check.
@@ -22,11 +23,11 @@ def build_documents(
     """Raw documents from accepted payloads and the city each belongs to.
 
     ``payloads`` has ``run_id, city_id, run_started_at_utc, ingested_at_utc, raw_payload``;
-    the payload goes through as it is. The join strategy is left to the planner, which
-    broadcasts the cities only when their size allows it.
+    the payload goes through as it is.
     """
-    located = cities.select(
-        "city_id",
+    located = cities.select("city_id", "city", "country", "latitude", "longitude")
+    return join_dimension(payloads, located, "city_id").select(
+        "run_id",
         F.struct(
             "city_id",
             "city",
@@ -34,10 +35,6 @@ def build_documents(
             F.col("latitude").alias("requested_latitude"),
             F.col("longitude").alias("requested_longitude"),
         ).alias("city"),
-    )
-    return payloads.join(located, "city_id").select(
-        "run_id",
-        "city",
         F.struct(
             F.lit(endpoint).alias("endpoint"),
             _variables(spec).alias("hourly_variables"),

@@ -31,6 +31,18 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# How Spark's types are called in the SQL engine.
+SQL_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def _value(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else value
@@ -54,6 +66,11 @@ def compare(spark, connection, sf_dir, name, query, sql) -> str | None:
     wanted_columns, wanted = normalised([d[0] for d in answer.description], answer.fetchall())
     if columns != wanted_columns:
         return f"{name}: columns {columns} instead of {wanted_columns}"
+    kinds = {f.name: SQL_TYPES[f.dataType.simpleString()] for f in frame.schema.fields}
+    wanted_kinds = {d[0]: str(d[1]) for d in answer.description}
+    if kinds != wanted_kinds:
+        differing = {c: (kinds[c], wanted_kinds[c]) for c in kinds if kinds[c] != wanted_kinds[c]}
+        return f"{name}: types {differing}"
     if len(rows) != len(wanted):
         return f"{name}: {len(rows)} rows instead of {len(wanted)}"
     for row, other in zip(rows, wanted):

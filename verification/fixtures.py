@@ -97,8 +97,7 @@ def payloads(
     """
     window_days = spec.past_days + spec.forecast_days
     lag = F.explode(F.sequence(F.lit(0), F.lit(window_days - 1)))
-    readings = F.struct(*spec.metrics)
-    slots = F.sequence(F.lit(0), F.lit(spec.expected_length - 1))
+    document = ("city_id", "run_day")
     windows = (
         hourly_readings(spark, sf_dir)
         .select("*", lag.alias("lag"))
@@ -106,35 +105,36 @@ def payloads(
             "city_id",
             F.date_add(F.to_date("hour"), F.col("lag")).alias("run_day"),
             ((spec.past_days - F.col("lag")) * 24 + F.hour("hour")).alias("slot"),
-            readings.alias("readings"),
+            F.struct(*spec.metrics).alias("readings"),
         )
         # Arrays are far larger than the readings they are built from, so the number of tasks
         # is set here; going by the size of the readings would leave one.
-        .repartition(task_count(spark), "city_id", "run_day")
-        .groupBy("city_id", "run_day")
+        .repartition(task_count(spark), *document)
+        .groupBy(*document)
         .agg(F.map_from_entries(F.collect_list(F.struct("slot", "readings"))).alias("by_slot"))
     )
-
-    def values(metric: str) -> Column:
-        return F.transform(slots, lambda i: F.try_element_at("by_slot", i)[metric])
-
-    texts = F.transform(
-        slots, lambda i: _slot_text(F.col("run_day"), i, F.col("city_id"), spec)
+    slots = (
+        windows.select(
+            "*", F.explode(F.sequence(F.lit(0), F.lit(spec.expected_length - 1))).alias("slot")
+        )
+        .withColumn("readings", F.try_element_at("by_slot", F.col("slot")))
+        .withColumn(
+            "time", _slot_text(F.col("run_day"), F.col("slot"), F.col("city_id"), spec)
+        )
+        .select(*document, F.struct("slot", "time", "readings.*").alias("entry"))
+        .groupBy(*document)
+        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     )
     run_started = F.col("run_day").cast("timestamp") + F.expr("INTERVAL 6 HOURS")
     # Two successive runs share an ingestion time, so the run id has to settle it.
     shift = F.make_dt_interval(days=_day_number(F.col("run_day")) % 2)
-    return windows.select(
+    hourly = F.struct(*(F.col(f"entries.{name}").alias(name) for name in ("time", *spec.metrics)))
+    return slots.select(
         F.concat(F.lit("run-"), F.col("run_day").cast("string")).alias("run_id"),
-        "run_day",
         "city_id",
         run_started.alias("run_started_at_utc"),
         (run_started - shift).alias("ingested_at_utc"),
-        F.struct(
-            F.struct(texts.alias("time"), *(values(m).alias(m) for m in spec.metrics)).alias(
-                "hourly"
-            )
-        ).alias("raw_payload"),
+        F.struct(hourly.alias("hourly")).alias("raw_payload"),
     )
 
 
