@@ -15,20 +15,24 @@ from hourlake.schemas import MEASUREMENT_KEY
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 
-def rank_by_recency(checked: DataFrame) -> DataFrame:
-    """Number each key's valid rows from the newest; ``run_id`` settles equal times."""
+def rank_by_recency(checked: DataFrame, depth: int) -> DataFrame:
+    """The ``depth`` newest valid rows of every key, numbered; ``run_id`` settles equal times.
+
+    Rank and filter sit together so that the planner limits each key's rows before as well as
+    after the shuffle. A ranking without a depth would sort all of a key's copies in one task.
+    """
     newest_first = Window.partitionBy(*MEASUREMENT_KEY).orderBy(
         F.desc("ingested_at_utc"), F.desc("run_id")
     )
-    return valid_timestamp_rows(checked).withColumn(
+    ranked = valid_timestamp_rows(checked).withColumn(
         "recency_rank", F.row_number().over(newest_first)
     )
+    return ranked.filter(F.col("recency_rank") <= depth)
 
 
 def latest_valid_rows(checked: DataFrame) -> DataFrame:
-    """The newest row of every key. Rank and filter sit together so that the planner limits
-    each group before as well as after the shuffle."""
-    return rank_by_recency(checked).filter("recency_rank = 1").drop("recency_rank")
+    """The newest row of every key."""
+    return rank_by_recency(checked, depth=1).drop("recency_rank")
 
 
 def latest_valid_rows_with_counts(checked: DataFrame) -> DataFrame:

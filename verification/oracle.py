@@ -395,7 +395,7 @@ FROM (
 )""",
     "recency_rank": f"""WITH {RANKED}
 SELECT run_id, ingested_at_utc, city_id, measurement_timestamp,
-  CAST(recency_rank AS INTEGER) AS recency_rank FROM ranked""",
+  CAST(recency_rank AS INTEGER) AS recency_rank FROM ranked WHERE recency_rank <= 3""",
     "latest_dedupe": f"WITH {RANKED} SELECT * FROM latest",
     "latest_with_counts": f"""WITH {RANKED}
 SELECT * EXCLUDE (recency_rank) FROM ranked WHERE recency_rank = 1""",

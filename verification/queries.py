@@ -203,7 +203,8 @@ def duplicate_summary(spark, sf_dir):
 
 
 def recency_rank(spark, sf_dir):
-    ranked = dedupe.rank_by_recency(_checked(spark, sf_dir))
+    """The three newest records of every key."""
+    ranked = dedupe.rank_by_recency(_checked(spark, sf_dir), depth=3)
     return _plain(ranked.select("run_id", "ingested_at_utc", *MEASUREMENT_KEY, "recency_rank"))
 
 
