@@ -11,7 +11,13 @@ from hourlake.functions.validity import has_length_issue
 from hourlake.operators import gates
 from hourlake.operators.dedupe import latest_valid_rows_with_counts, silver_rows
 from hourlake.operators.flatten import flatten_documents, unnest_equal_arrays
-from hourlake.operators.quality import add_validity, invalid_timestamp_rows
+from hourlake.operators.quality import (
+    add_metric_flags,
+    add_timestamp,
+    add_timestamp_flag,
+    add_validity,
+    invalid_timestamp_rows,
+)
 from hourlake.schemas import MEASUREMENT_KEY
 from hourlake.sources.readers import read_silver
 from hourlake.sources.writers import replace_table
@@ -27,15 +33,21 @@ class SilverReport:
     max_records_per_key: int | None
 
 
-def checked_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
-    """Measurement rows with validity columns, from documents that passed the length gate."""
+def timed_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """Measurement rows with parsed timestamps, from documents that passed the length gate."""
     return (
         documents.transform(flatten_documents, spec)
         .transform(unnest_equal_arrays, spec)
-        .transform(add_validity, spec)
+        .transform(add_timestamp, spec)
+        .transform(add_timestamp_flag)
     )
 
 
+def checked_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """Measurement rows with all validity columns."""
+    return documents.transform(timed_measurements, spec).transform(add_metric_flags, spec)
+
+
 def profile_documents(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     """Validity census and length gate in one scan.
 
@@ -71,27 +83,46 @@ def build_silver(
     deduplicates, counting rows and duplicates on the way to the staging files. Pass three
     reads the keys back and checks row count and uniqueness before the table is replaced.
     The counts of pass two are taken after the last shuffle, where a lost executor cannot
-    make Spark count a row twice.
+    make Spark count a row twice. They also have to add up to the census: a source that
+    changed in between would have got past the length gate.
     """
     spark.conf.set("spark.sql.session.timeZone", spec.timezone)
     flat = flatten_documents(documents, spec)
     profile = profile_documents(flat, spec).collect()  # at most 2 ** (metrics + 1) rows
     gates.require_no_length_issues(sum(row["length_issues"] for row in profile))
+    valid, invalid = (
+        sum(row["count"] for row in profile if row["is_valid_measurement_timestamp"] is flag)
+        for flag in (True, False)
+    )
 
-    checked = checked_measurements(documents, spec)
-    duplicated = F.when(F.col("record_count") > 1, F.col("record_count"))
-    duplicates, written = Observation(), Observation()
-    latest = latest_valid_rows_with_counts(checked).observe(
-        duplicates,
-        F.count(duplicated).alias("duplicate_key_groups"),
-        F.sum(duplicated - 1).alias("redundant_rows"),
-        F.max(duplicated).alias("max_records_per_key"),
+    # Flags of readings follow from the readings, so they need not go through the shuffle.
+    timed = timed_measurements(documents, spec)
+    copies = F.col("record_count")
+    duplicated = F.when(copies > 1, copies)
+    deduplicated, written = Observation(), Observation()
+    rows = (
+        latest_valid_rows_with_counts(timed)
+        .observe(
+            deduplicated,
+            F.coalesce(F.sum(copies), F.lit(0)).alias("valid_rows"),
+            F.count(duplicated).alias("duplicate_key_groups"),
+            F.sum(duplicated - 1).alias("redundant_rows"),
+            F.max(duplicated).alias("max_records_per_key"),
+        )
+        .drop("record_count")
+    )
+    if invalid:
+        # Without rebalancing every scan task would write its few invalid rows to a file.
+        set_aside = invalid_timestamp_rows(timed).hint("rebalance", "run_id", "city_id")
+        rows = rows.unionByName(set_aside)
+    rows = (
+        rows.transform(add_metric_flags, spec)
+        .transform(silver_rows, spec)
+        .observe(written, F.count("*").alias("row_count"))
     )
-    rows = silver_rows(
-        latest.drop("record_count").unionByName(invalid_timestamp_rows(checked)), spec
-    ).observe(written, F.count("*").alias("row_count"))
 
     def check(staging: str) -> None:
+        gates.check_row_counts(valid, deduplicated.get["valid_rows"], "Silver source")
         gates.check_keyed_table(
             read_silver(spark, staging, spec),
             MEASUREMENT_KEY,
@@ -104,5 +135,7 @@ def build_silver(
     return SilverReport(
         row_count=written.get["row_count"],
         validity_census=[row for row in profile if row["count"] > 0],
-        **duplicates.get,
+        duplicate_key_groups=deduplicated.get["duplicate_key_groups"],
+        redundant_rows=deduplicated.get["redundant_rows"],
+        max_records_per_key=deduplicated.get["max_records_per_key"],
     )

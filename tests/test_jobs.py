@@ -10,6 +10,7 @@ from hourlake.plans import gold, ingestion, silver
 from hourlake.sources import readers
 from hourlake.spec import DEFAULT_METRICS
 
+real = silver.profile_documents
 HOURS = [f"2026-07-{18 + i // 24}T{i % 24:02}:00" for i in range(72)]
 
 
@@ -69,6 +70,25 @@ def test_silver_job_stops_at_the_length_gate(spark, tmp_path):
     assert not path.exists()
 
 
+def test_silver_without_invalid_rows_scans_once(spark, tmp_path):
+    report = silver.build_silver(spark, documents(spark, complete()), str(tmp_path / "silver"))
+    assert report.row_count == 72
+    assert [r["count"] for r in report.validity_census] == [72]
+
+
+def test_source_that_grows_after_the_gate_is_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    grown = documents(spark, complete(), complete("r2", hour=11, time=[*HOURS, "2026-07-21T00:00"]))
+    monkeypatch.setattr(
+        silver, "profile_documents", lambda flat, spec: real(flat.filter("run_id = 'r1'"), spec)
+    )
+    with pytest.raises(
+        RuntimeError, match="Silver source row-count validation failed: expected 72, found 145"
+    ):
+        silver.build_silver(spark, grown, path)
+    assert not (tmp_path / "silver").exists()
+
+
 def test_gold_counts_distinct_timestamps_off_the_full_hour(spark, tmp_path):
     path, gold_path = str(tmp_path / "silver"), str(tmp_path / "gold")
     half = [t.replace(":00", ":30") if i % 2 else t for i, t in enumerate(HOURS)]

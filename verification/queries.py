@@ -12,7 +12,12 @@ from hourlake.functions.payload import with_reject_reason
 from hourlake.operators import accounting, daily, dedupe, flatten, gates, quality
 from hourlake.plans.gold import build_gold
 from hourlake.plans.ingestion import account_runs
-from hourlake.plans.silver import build_silver, checked_measurements, profile_documents
+from hourlake.plans.silver import (
+    build_silver,
+    checked_measurements,
+    profile_documents,
+    timed_measurements,
+)
 from hourlake.schemas import MEASUREMENT_KEY, RUN_SUMMARY
 from hourlake.sources import readers, writers
 from hourlake.spec import DEFAULT_METRICS, DEFAULT_SPEC, array_column
@@ -57,7 +62,9 @@ def _latest_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to daily rows, in one plan."""
-    return _plain(daily.daily_report(_latest_dated(spark, sf_dir), observed="unique_rows"))
+    timed = timed_measurements(fixtures.documents(spark, sf_dir))
+    latest = quality.add_metric_flags(dedupe.latest_valid_rows(timed))
+    return _plain(daily.daily_report(daily.add_date(latest), observed="unique_rows"))
 
 
 # Sources and assembly
