@@ -178,8 +178,14 @@ def _sorted_list(entry: Column) -> Column:
 
 
 def newest_run(summaries: DataFrame) -> DataFrame:
-    """The run that completed last; the run id settles equal times."""
-    return summaries.orderBy(F.desc("run_completed_at_utc"), F.desc("run_id")).limit(1)
+    """The run that completed last; the run id settles equal times.
+
+    Of a summary that is spread over several documents this is the first.
+    """
+    newest_first = [F.desc("run_completed_at_utc"), F.desc("run_id")]
+    if "part" in summaries.columns:
+        newest_first.append(F.asc("part"))
+    return summaries.orderBy(*newest_first).limit(1)
 
 
 def documents_of_run(documents: DataFrame, run_id: str) -> DataFrame:

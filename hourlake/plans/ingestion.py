@@ -9,7 +9,7 @@ from hourlake import schemas
 from hourlake.functions.payload import with_reject_reason
 from hourlake.operators import gates
 from hourlake.operators.accounting import build_documents, city_outcomes, run_summary
-from hourlake.sources.writers import append_documents, append_run_summaries
+from hourlake.sources.writers import append_documents, append_run_summaries, exists
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 
@@ -21,12 +21,17 @@ def judge_responses(responses: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> Da
     payload passes the structure check; else it is a validation failure.
     """
     answered = F.col("error_kind").isNull()
-    refused = answered & F.col("reject_reason").isNotNull()
+    reason, message, kind = map(F.col, ("reject_reason", "error_message", "error_kind"))
+    refused = answered & reason.isNotNull()
     return (
         with_reject_reason(responses, "payload", spec)
-        .withColumn("ok", answered & F.col("reject_reason").isNull())
-        .withColumn("error_message", F.when(refused, F.col("reject_reason")).otherwise(F.col("error_message")))
-        .withColumn("error_kind", F.when(refused, "validation").otherwise(F.col("error_kind")))
+        .withColumns(
+            {
+                "ok": answered & reason.isNull(),
+                "error_message": F.when(refused, reason).otherwise(message),
+                "error_kind": F.when(refused, "validation").otherwise(kind),
+            }
+        )
         .drop("reject_reason")
     )
 
@@ -63,23 +68,17 @@ def account_runs(
     """Append the documents and the run summaries of the logged runs.
 
     Run ids must be new: they are checked against the stored summaries before anything is
-    written.
+    written. Summaries are written last, so a run that has one has all its documents. Should
+    the job fail between the two appends, remove the documents of its runs before starting it
+    again, or they will be stored twice.
     """
     spark.conf.set("spark.sql.session.timeZone", spec.timezone)
     judged = judge_responses(responses, spec)
-    known = _stored_summaries(spark, summaries_path)
-    run_ids = runs.select("run_id", F.lit(0).alias("part"))
-    if known is not None:
-        run_ids = run_ids.unionByName(known.select("run_id", "part").filter("part = 0"))
+    run_ids = runs.select("run_id")
+    if exists(spark, summaries_path):
+        known = spark.read.schema(schemas.RUN_SUMMARY).parquet(summaries_path)
+        run_ids = run_ids.unionByName(known.filter("part = 0").select("run_id"))
     gates.check_no_duplicate_keys(run_ids, ["run_id"], "Run summaries")
 
-    append_documents(
-        accepted_documents(cities, judged, endpoint, source, spec), documents_path
-    )
+    append_documents(accepted_documents(cities, judged, endpoint, source, spec), documents_path)
     append_run_summaries(run_summary(runs, city_outcomes(judged, spec), spec), summaries_path)
-
-
-def _stored_summaries(spark: SparkSession, path: str) -> DataFrame | None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.schema(schemas.RUN_SUMMARY).parquet(path) if files.exists(hadoop_path) else None

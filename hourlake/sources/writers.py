@@ -52,10 +52,9 @@ def promote(spark: SparkSession, staging: str, path: str) -> None:
     Two renames, with the old table put back if the second fails. On file systems a reader may
     briefly find no table; on object stores renames copy and are not atomic.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    source, target = hadoop.Path(staging), hadoop.Path(path.rstrip("/"))
-    old = hadoop.Path(f"{path.rstrip('/')}_replaced-{uuid.uuid4().hex}")
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, source = _file_system(spark, staging)
+    _, target = _file_system(spark, path.rstrip("/"))
+    _, old = _file_system(spark, f"{path.rstrip('/')}_replaced-{uuid.uuid4().hex}")
     had_table = files.exists(target)
     if had_table and not files.rename(target, old):
         raise OSError(f"could not set {path} aside")
@@ -67,6 +66,17 @@ def promote(spark: SparkSession, staging: str, path: str) -> None:
         files.delete(old, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, location = _file_system(spark, path)
+    return files.exists(location)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system for a path, and the path in its terms."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder for intermediate tables, in the shared folder the cluster names.
 

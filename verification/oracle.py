@@ -381,6 +381,8 @@ flagged AS (
 )
 SELECT {FLAG_LIST}, CAST(sum(n) AS BIGINT) AS count, CAST(sum(issues) AS BIGINT) AS length_issues
 FROM flagged GROUP BY ALL""",
+    "valid_timestamp_rows": f"""WITH {MEASUREMENTS}
+SELECT * FROM checked WHERE is_valid_measurement_timestamp""",
     "invalid_timestamp_rows": f"""WITH {MEASUREMENTS}
 SELECT * FROM checked WHERE NOT is_valid_measurement_timestamp""",
     "duplicate_keys": f"""WITH {MEASUREMENTS}
@@ -406,10 +408,21 @@ SELECT * EXCLUDE (recency_rank) FROM ranked WHERE recency_rank = 1""",
     "daily_rollup_whole_hours": f"WITH {MEASUREMENTS},{_daily('checked')}"
     " SELECT * FROM rollup_rows",
     "daily_peak": f"WITH {DAILY} SELECT * FROM peaks",
+    "daily_peak_texts": f"""WITH {DAILY}
+SELECT city_id, measurement_date,
+  strftime(maximum_european_aqi_timestamp, '%Y-%m-%d %H:%M:%S') AS peak_time FROM peaks""",
+    "daily_report_repeated": f"""WITH {MEASUREMENTS},{_daily('checked')}
+SELECT * FROM rollup_rows LEFT JOIN peaks USING (city_id, measurement_date)""",
     "daily_completeness": f"""WITH {DAILY}
 SELECT city_id, measurement_date, observed_hour_count, expected_hour_count,
   completeness_percentage, is_complete_day, is_fully_valid_day FROM rollup_rows""",
     "daily_left_join": GOLD,
+    "stage_row_counts": f"""WITH {DAILY}
+SELECT 'documents' AS stage, count(DISTINCT (run_id, city_id)) AS row_count FROM slots
+UNION ALL SELECT 'measurements', count(*) FROM checked
+UNION ALL SELECT 'silver', (SELECT count(*) FROM latest)
+  + (SELECT count(*) FROM checked WHERE NOT is_valid_measurement_timestamp)
+UNION ALL SELECT 'gold', count(*) FROM rollup_rows""",
     "null_key_rows": f"""WITH {MEASUREMENTS}
 SELECT run_id, city_id, measurement_timestamp_raw,
   CAST(measurement_timestamp AS DATE) AS measurement_date

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -194,6 +195,10 @@ def document_profile(spark, sf_dir):
     return profile_documents(fixtures.damaged_documents(spark, sf_dir))
 
 
+def valid_timestamp_rows(spark, sf_dir):
+    return _plain(quality.valid_timestamp_rows(_checked(spark, sf_dir)))
+
+
 def invalid_timestamp_rows(spark, sf_dir):
     return _plain(quality.invalid_timestamp_rows(_checked(spark, sf_dir)))
 
@@ -252,6 +257,18 @@ def daily_peak(spark, sf_dir):
     return _plain(daily.daily_peak(_latest_dated(spark, sf_dir)))
 
 
+def daily_peak_texts(spark, sf_dir):
+    """Peak times as formatted text."""
+    peaks = daily.daily_peak(_latest_dated(spark, sf_dir))
+    formatted = F.date_format(daily.peak_column(), "yyyy-MM-dd HH:mm:ss")
+    return peaks.select("city_id", "measurement_date", formatted.alias("peak_time"))
+
+
+def daily_report_repeated(spark, sf_dir):
+    """Rollup and peaks of rows with repeated timestamps, in one pass."""
+    return _plain(daily.daily_report(daily.add_date(_checked(spark, sf_dir))))
+
+
 def daily_completeness(spark, sf_dir):
     rollup = daily.daily_rollup(_latest_dated(spark, sf_dir), observed="unique_rows")
     return rollup.select(
@@ -273,6 +290,22 @@ def daily_left_join(spark, sf_dir):
 # Gates
 
 
+def stage_row_counts(spark, sf_dir):
+    """The counts that the row-count gates compare, stage by stage."""
+    checked = _checked(spark, sf_dir)
+    stages = {
+        "documents": fixtures.documents(spark, sf_dir),
+        "measurements": checked,
+        "silver": dedupe.deduplicate(checked),
+        "gold": gold_daily_summary(spark, sf_dir),
+    }
+    counts = (
+        stage.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
+        for name, stage in stages.items()
+    )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def null_key_rows(spark, sf_dir):
     keyed = daily.add_date(_checked(spark, sf_dir))
     return gates.null_key_rows(keyed, ["city_id", "measurement_date"]).select(
@@ -436,6 +469,7 @@ QUERIES: dict[str, Query] = {
         metric_validity_flags,
         validity_census,
         document_profile,
+        valid_timestamp_rows,
         invalid_timestamp_rows,
         duplicate_keys,
         duplicate_summary,
@@ -448,8 +482,11 @@ QUERIES: dict[str, Query] = {
         daily_rollup_whole_hours,
         daily_rollup_unique,
         daily_peak,
+        daily_peak_texts,
+        daily_report_repeated,
         daily_completeness,
         daily_left_join,
+        stage_row_counts,
         null_key_rows,
         duplicate_business_keys,
         run_id_uniqueness,
