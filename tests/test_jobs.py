@@ -19,7 +19,8 @@ def documents(spark, *rows):
 
 
 def complete(run_id="r1", city_id=1, hour=10, value=1.0, **changes):
-    row = document(city_id, run_id, **({"time": HOURS} | dict.fromkeys(DEFAULT_METRICS, [value] * 72) | changes))
+    arrays = {"time": HOURS, **dict.fromkeys(DEFAULT_METRICS, [value] * 72)} | changes
+    row = document(city_id, run_id, **arrays)
     row["ingestion_metadata"]["ingested_at_utc"] = datetime(2026, 7, 20, hour)
     return row
 
@@ -119,7 +120,8 @@ def test_ingestion_job(spark, tmp_path):
 
     def response(city_id, attempt, kind=None, code=None, payload=None):
         message = kind and f"{kind} {attempt}"
-        return ("r1", city_id, f"city {city_id}", attempt, kind, code, message, payload, start, start)
+        times = (start, start)
+        return ("r1", city_id, f"city {city_id}", attempt, kind, code, message, payload, *times)
 
     log = spark.createDataFrame(
         [
@@ -130,7 +132,9 @@ def test_ingestion_job(spark, tmp_path):
         ],
         RESPONSE,
     )
-    cities = spark.createDataFrame([(i, f"city {i}", "x", 1.0, 2.0) for i in (1, 2, 3)], schemas.CITY)
+    cities = spark.createDataFrame(
+        [(i, f"city {i}", "x", 1.0, 2.0) for i in (1, 2, 3)], schemas.CITY
+    )
     runs = spark.range(1).select(
         F.lit("r1").alias("run_id"),
         F.lit(start).alias("run_started_at_utc"),
@@ -139,7 +143,10 @@ def test_ingestion_job(spark, tmp_path):
     )
 
     def account():
-        ingestion.account_runs(spark, cities, runs, log, stored, summaries, "https://feed.example", "feed")
+        endpoint = "https://feed.example"
+        ingestion.account_runs(
+            spark, cities, runs, log, stored, summaries, endpoint, source="feed"
+        )
 
     account()
     documents_read = readers.read_documents(spark, stored)

@@ -184,7 +184,9 @@ def payload_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.replace(column, F.lit(old), F.lit(new))
 
     quota = F.concat(
-        F.lit('{"error":true,"reason":"quota of city '), F.col("city_id").cast("string"), F.lit('"}')
+        F.lit('{"error":true,"reason":"quota of city '),
+        F.col("city_id").cast("string"),
+        F.lit('"}'),
     )
     faults = [
         F.concat(F.lit("["), text, F.lit("]")),
@@ -317,6 +319,7 @@ def city_configurations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configuration texts of at most 100 cities each; some hold an object or no city."""
     entry = F.struct("city_id", "city", "country", "latitude", "longitude")
     number = F.floor(F.col("city_id") / 100)
+    fault = F.col("configuration") % 7
     text = F.to_json(F.sort_array(F.collect_list(entry)))
     return (
         cities(spark, sf_dir)
@@ -324,8 +327,8 @@ def city_configurations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(text.alias("text"))
         .select(
             "configuration",
-            F.when(F.col("configuration") % 7 == 3, F.concat(F.lit('{"cities":'), "text", F.lit("}")))
-            .when(F.col("configuration") % 7 == 5, "[]")
+            F.when(fault == 3, F.concat(F.lit('{"cities":'), "text", F.lit("}")))
+            .when(fault == 5, "[]")
             .otherwise(F.col("text"))
             .alias("value"),
         )
