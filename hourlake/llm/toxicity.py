@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. Each sentence has a logistic score over its hashed words; a
-document is toxic if any sentence is: P = 1 - product(1 - p). Only documents carry labels; the
+A document is a bag of sentences. Each sentence has a logistic score over its hashed words and
+their first few bytes, so that inflected forms are known by their stem; a document is toxic if any sentence is: P = 1 - product(1 - p). Only documents carry labels; the
 gradient of that noisy-or shares a document's label out over its sentences. The learned sentence
 scores then locate the offending sentences.
 """
@@ -17,13 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.llm.features import IS_SPACE, RangeHash, joined, words_of
+from hourlake.llm.features import IS_SPACE, RangeHash, joined, mix, words_of
 from hourlake.llm.tables import as_bytes, labelled_sample, remainder
 
 BITS = 20
+#: Lengths in bytes of the word beginnings that are features beside the words.
+STEMS = (5, 6, 7, 8)
 #: Bounds of the sample to learn from: documents of either class, and bytes of a document in it.
 PER_CLASS = 4000
-MAX_TRAIN_BYTES = 100_000
+MAX_TRAIN_BYTES = 50_000
+#: L1 penalty, in pulls of one toxic document.
+PENALTY = 0.5
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -45,26 +49,33 @@ SENTENCES = T.ArrayType(
 
 
 def sentences(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of a buffer of texts: word ids, sentence number of each word, first byte and the byte after
-    the last of each sentence with a word, piece number of each sentence. A sentence runs up to
-    ``.``, ``!``, ``?`` or a line end."""
+    """Of a buffer of texts: feature ids, sentence number of each feature, first byte and the byte
+    after the last of each sentence with a word, piece number of each sentence. A sentence runs up
+    to ``.``, ``!``, ``?`` or a line end."""
     lower = _LOWER[data]
     first, last = words_of(lower, _BREAKS)
     if not len(first):
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
-    ids = (RangeHash(lower)(first, last) >> np.uint64(64 - BITS)).astype(np.int64)
+    hashes = RangeHash(lower)
     number = np.cumsum(_ENDS[data])[first]
     new = np.concatenate([[True], number[1:] != number[:-1]])
     opens = np.flatnonzero(new)
     closes = np.append(opens[1:], len(first)) - 1
     piece = np.searchsorted(starts, first[opens], side="right") - 1
-    return ids, np.cumsum(new) - 1, first[opens], last[closes], piece
+    number = np.cumsum(new) - 1
+    ids, numbers = [hashes(first, last)], [number]
+    for size in STEMS:
+        longer = last - first > size
+        ids.append(mix(hashes(first[longer], first[longer] + size) + np.uint64(size)))
+        numbers.append(number[longer])
+    features = (np.concatenate(ids) >> np.uint64(64 - BITS)).astype(np.int64)
+    return features, np.concatenate(numbers), first[opens], last[closes], piece
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weight of each hashed word in a sentence's logit, and the bias."""
+    """Weight of each hashed feature in a sentence's logit, and the bias."""
 
     weights: np.ndarray
     bias: float
@@ -91,36 +102,48 @@ class ToxicityModel:
         return -np.expm1(clean), spans
 
 
-def train(rows: list[tuple[int, bytes, int]], rounds: int = 200, rate: float = 0.3) -> ToxicityModel:
+def train(
+    rows: list[tuple[int, bytes, int]],
+    toxic_share: float | None = None,
+    rounds: int = 200,
+    rate: float = 0.3,
+) -> ToxicityModel:
     """Proximal gradient descent on the noisy-or likelihood of the document labels, with steps
-    scaled by each weight's past gradients (Adagrad).
+    scaled by the recent size of each weight's gradient, and shrinking to nothing.
 
-    Most words are met once or twice and say nothing. An L1 penalty leaves only words with
-    repeated evidence: a quarter of what one document can pull while a toxic document still
-    suspects all its sentences, and what two can pull afterwards. The bias starts where a document of as many
-    sentences as the average has the chance that its class has. Without rows
-    of both classes the score of a sentence is a constant near the seen class.
+    ``toxic_share`` is that of all labelled documents; the sample's classes are weighed to it. Most
+    words are met once or twice and say nothing: only features of two toxic documents are learned,
+    and an L1 penalty leaves those with repeated evidence. The bias starts where a document of
+    average length has the chance that its class has. Without rows of both classes the score of a
+    sentence is a constant near the seen class.
     """
     labels = np.array([y for _, _, y in rows])
     weights = np.zeros(1 << BITS)
     if len(set(labels.tolist())) < 2:
         return ToxicityModel(weights, 8.0 if len(labels) and labels[0] == 1 else -8.0)
+    seen_in = np.zeros(1 << BITS, np.int32)
+    for _, text, y in rows:
+        if y == 1:
+            ids = [sentences(data, starts)[0] for data, starts, _ in joined([text])]
+            seen_in[np.unique(np.concatenate(ids))] += 1
     word_ids, word_sentence, sentence_document = [], [], []
     seen = 0
     for document, (_, text, _) in enumerate(rows):
         for data, starts, _ in joined([text]):
             ids, number, first, *_ = sentences(data, starts)
-            word_ids.append(ids)
-            word_sentence.append(number + seen)
+            known = seen_in[ids] > 1
+            word_ids.append(ids[known])
+            word_sentence.append(number[known] + seen)
             sentence_document.append(np.full(len(first), document))
             seen += len(first)
     ids, where = np.unique(np.concatenate(word_ids), return_inverse=True)
     sentence, document = np.concatenate(word_sentence), np.concatenate(sentence_document)
-    share = 1 / len(rows)
-    held, bias = np.zeros(len(ids)), float(np.log(labels.mean() * len(rows) / max(1, seen)))
-    past, past_bias = np.full(len(ids), 1e-8), 1e-8
+    toxic = labels.mean() if toxic_share is None else toxic_share
+    share = np.where(labels == 1, toxic / labels.sum(), (1 - toxic) / (1 - labels).sum())
+    held, bias = np.zeros(len(ids)), float(np.log(toxic * len(rows) / max(1, seen)))
+    past, past_bias = np.full(len(ids), share.min() ** 2), share.min() ** 2
     for turn in range(rounds):
-        penalty = share * (0.25 if turn < rounds // 3 else 2)
+        penalty = PENALTY * share[labels == 1].max()
         logits = np.bincount(sentence, held[where], minlength=seen) + bias
         chances = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
         clean = np.exp(-np.bincount(document, np.logaddexp(0, logits), minlength=len(rows)))
@@ -128,12 +151,13 @@ def train(rows: list[tuple[int, bytes, int]], rounds: int = 200, rate: float = 0
         slope = chances * pull[document]
         total = slope.sum()
         slope = np.bincount(where, slope[sentence], minlength=len(ids))
-        past += slope**2
-        past_bias += total**2
-        step = rate / np.sqrt(past)
+        past = 0.9 * past + 0.1 * slope**2
+        past_bias = 0.9 * past_bias + 0.1 * total**2
+        pace = rate * (1 - turn / rounds)
+        step = pace / np.sqrt(past)
         held -= step * slope
         held = np.sign(held) * np.maximum(np.abs(held) - step * penalty, 0)
-        bias -= rate * total / np.sqrt(past_bias)
+        bias -= pace * total / np.sqrt(past_bias)
     weights[ids] = held
     return ToxicityModel(weights, float(bias))
 
@@ -144,7 +168,9 @@ def learn_rows(column: str = "doc_id") -> Column:
 
 
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> ToxicityModel:
-    return train(labelled_sample(documents, labels, "toxic", learn_rows(), per_class, MAX_TRAIN_BYTES))
+    share = labels.where(learn_rows() & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0]
+    rows = labelled_sample(documents, labels, "toxic", learn_rows(), per_class, MAX_TRAIN_BYTES)
+    return train(rows, share)
 
 
 def _in_characters(text: bytes, spans: list[dict]) -> list[dict]:
