@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
+_SPACE = re.compile(rb"[\t-\r ]")
 #: 1 for the bytes of ASCII white space: space and \x09-\x0d.
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -57,11 +59,15 @@ def words_of(data: np.ndarray, space: np.ndarray = IS_SPACE) -> tuple[np.ndarray
 
 
 def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
-    """``text`` in pieces of about ``size`` bytes, cut before white space where there is any."""
+    """``text`` in pieces of about ``size`` bytes, cut before white space only: no word is cut."""
     start = 0
     while len(text) - start > size:
         cut = max(text.rfind(b" ", start + 1, start + size), text.rfind(b"\n", start + 1, start + size))
-        cut = cut if cut > start else start + size
+        if cut < 0:
+            later = _SPACE.search(text, start + size)
+            if not later:
+                break
+            cut = later.start()
         yield text[start:cut]
         start = cut
     yield text[start:]

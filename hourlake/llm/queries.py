@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourlake.llm import chat, decontaminate, quality_model, quality_rules, toxicity
+from hourlake.llm import (
+    chat,
+    decontaminate,
+    near_dedup,
+    packing,
+    quality_model,
+    quality_rules,
+    token_files,
+    toxicity,
+)
 from hourlake.llm.tables import read_table
 
 
@@ -22,14 +31,26 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_and_render(read_table(spark, sf_dir, "conversations"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(read_table(spark, sf_dir, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_roundtrip(read_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
@@ -41,8 +62,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op2_quality_classifier,
+        op4_best_fit_packing,
         op5_chat_formatting,
+        op7_minhash_near_dedup,
         op8_quality_rules,
+        op9_token_files,
         op10_toxicity,
     )
 }
