@@ -138,20 +138,24 @@ def _rows(batch: pa.RecordBatch, bytes_at_once: int = 1 << 24) -> Iterator[tuple
             start, total = i + 1, 0
 
 
+def _running(values: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=out[1:])
+    return out
+
+
 def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, texts in _rows(batch):
             shingles, begins = shingle_sets(texts)
             sizes = np.diff(begins)
-            sums = np.concatenate([[0], np.cumsum(mix(shingles ^ np.uint64(1)), dtype=np.uint64)])
-            others = np.concatenate([[0], np.cumsum(mix(shingles ^ np.uint64(2)), dtype=np.uint64)])
+            sums = [_running(mix(shingles ^ np.uint64(k))) for k in (1, 2)]
             bands = bands_of(sketches_of(shingles, begins)).view(np.int64)
             some = sizes > 0
             offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS)
             lists = pa.ListArray.from_arrays(offsets, pa.array(bands.reshape(-1)), mask=pa.array(~some))
             keys = [
-                pa.array((s[begins[1:]] - s[begins[:-1]]).astype(np.uint64).view(np.int64))
-                for s in (sums, others)
+                pa.array((s[begins[1:]] - s[begins[:-1]]).view(np.int64)) for s in sums
             ]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes.astype(np.int64)), *keys, lists], names=SKETCHES.names

@@ -13,8 +13,10 @@ from hourlake.llm import (
     packing,
     quality_model,
     quality_rules,
+    suffix_dedup,
     token_files,
     toxicity,
+    warc,
 )
 from hourlake.llm.tables import read_table
 
@@ -31,6 +33,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -39,6 +45,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_and_render(read_table(spark, sf_dir, "conversations"))
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_derivatives(read_table(spark, sf_dir, "pages"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -62,8 +72,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op2_quality_classifier,
+        op3_suffix_array_dedup,
         op4_best_fit_packing,
         op5_chat_formatting,
+        op6_warc_derivatives,
         op7_minhash_near_dedup,
         op8_quality_rules,
         op9_token_files,

@@ -201,7 +201,7 @@ def _write_task(folder: str, path: str) -> Callable[[Iterator[pa.RecordBatch]],
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if writer is None:
                     name = f"{part:08d}-{number:04d}-{uuid.uuid4().hex}.zst"
-                    writer = Writer(files.open_output_stream(f"{place}/{name}"))
+                    writer = Writer(files.open_output_stream(f"{place}/{name}", compression=None))
                 writer.add(doc_id, encoder.ids(text.as_py()) + end)
                 if writer.written >= FILE_BYTES:
                     yield finished()
