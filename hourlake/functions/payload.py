@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourlake.sources.session import setting
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 # One text per rule, compared by callers.
@@ -51,8 +52,8 @@ def with_reject_reason(
 ) -> DataFrame:
     """Add ``reject_reason``: the first rule the JSON text breaks, NULL when it is accepted.
 
-    Text that is not JSON at all counts as "not an object". The text is parsed once per row;
-    the later tests look into the parsed value.
+    Text that is not JSON at all counts as "not an object"; of a repeated key the last value
+    counts. The text is parsed once per row; the later tests look into the parsed value.
     """
     parsed = F.col("parsed_payload")
     hourly = F.col("hourly_section")
@@ -74,17 +75,22 @@ def with_reject_reason(
     )
 
     def variable_rules(chain: Column, metric: str) -> Column:
-        values = _list(parsed, f"$.hourly.{metric}")
-        uneven = F.format_string(
-            f"Hourly variable '{metric}' has %d values; expected %d", F.size(values), F.size(times)
+        values = _list(F.try_element_at(hourly, F.lit(metric)), "$")
+        uneven = F.concat(
+            F.lit(f"Hourly variable '{metric}' has "),
+            F.size(values).cast("string"),
+            F.lit(" values; expected "),
+            F.size(times).cast("string"),
         )
         return chain.when(
             values.isNull(), F.lit(f"Hourly variable '{metric}' must be a list")
         ).when(F.size(values) != F.size(times), uneven)
 
+    # The setting is read when the expression is resolved, which is at once.
+    with setting(payloads.sparkSession, "spark.sql.variant.allowDuplicateKeys", "true"):
+        with_parsed = payloads.withColumn("parsed_payload", F.try_parse_json(payload))
     return (
-        payloads.withColumn("parsed_payload", F.try_parse_json(payload))
-        .withColumns(
+        with_parsed.withColumns(
             {
                 "hourly_section": _object(parsed, "$.hourly"),
                 "time_list": _list(parsed, "$.hourly.time"),

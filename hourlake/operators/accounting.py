@@ -11,6 +11,9 @@ from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 # Fixed value: status of every document that passed the payload check.
 DOCUMENT_STATUS = "ingest_complete"
+# End of fixed values.
+#: Neighbouring city ids whose outcomes are listed in one row.
+CITIES_PER_BLOCK = 1000
 
 
 def build_documents(
@@ -22,11 +25,13 @@ def build_documents(
 ) -> DataFrame:
     """Raw documents from accepted payloads and the city each belongs to.
 
-    ``payloads`` has ``run_id, city_id, run_started_at_utc, ingested_at_utc, raw_payload``;
-    the payload goes through as it is.
+    ``payloads`` has ``run_id, city_id, run_started_at_utc, ingested_at_utc, raw_payload`` and
+    may have ``payload_text``, the response as it came; both go through as they are. A payload
+    of a city that isn't listed keeps its id, with the rest of the city NULL.
     """
     located = cities.select("city_id", "city", "country", "latitude", "longitude")
-    return join_dimension(payloads, located, "city_id").select(
+    text = F.col("payload_text") if "payload_text" in payloads.columns else F.lit(None).cast("string")
+    return join_dimension(payloads, located, "city_id", how="left").select(
         "run_id",
         F.struct(
             "city_id",
@@ -49,9 +54,15 @@ def build_documents(
             F.lit(DOCUMENT_STATUS).alias("status"),
         ).alias("ingestion_metadata"),
         "raw_payload",
+        text.alias("payload_text"),
     )
 
 
+def unlisted_city_documents(documents: DataFrame) -> DataFrame:
+    """Run and city of the documents whose city the dimension doesn't have."""
+    return documents.filter(F.col("city.city").isNull()).select("run_id", "city.city_id")
+
+
 def _variables(spec: HourlySpec) -> Column:
     return F.array(*map(F.lit, spec.metrics))
 
@@ -70,36 +81,46 @@ def classify_attempts(attempts: DataFrame) -> DataFrame:
     )
 
 
-def city_outcomes(attempts: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
-    """How each city fared in each run.
+def decisive_attempts(attempts: DataFrame, *carried: str) -> DataFrame:
+    """The attempt at which each city of each run stopped, with further columns of the log.
 
-    A city is tried until the first success or final failure, at most ``max_attempts`` times;
-    the outcome is that of the attempt it stopped at. The aggregate keeps one attempt per
-    city, so it combines on the map side whatever the length of the log.
+    That is the first success or final failure, or else the last attempt. The whole log is folded,
+    whatever numbers it holds; numbers beyond the limit are for
+    ``gates.check_attempt_limit`` to refuse. The aggregate keeps one attempt per city, so it
+    combines on the map side whatever the length of the log.
     """
     attempt = F.col("attempt")
     stops = F.col("failure_class") != "retryable"
-    state = F.struct("attempt", "ok", "city", "error_message")
+    state = F.struct("attempt", "ok", "city", "error_message", *carried)
     decisive = F.coalesce(
         F.min_by(state, F.when(stops, attempt)),
         F.max_by(state, attempt),
     )
     return (
         classify_attempts(attempts)
-        .filter(attempt <= spec.max_attempts)
         .groupBy("run_id", "city_id")
         .agg(decisive.alias("last"))
-        .select(
-            "run_id",
-            "city_id",
-            "last.city",
-            F.col("last.attempt").alias("attempts_made"),
-            F.col("last.ok").alias("succeeded"),
-            F.when(~F.col("last.ok"), F.col("last.error_message")).alias("error_message"),
-        )
+        .select("run_id", "city_id", "last.*")
+    )
+
+
+def outcomes_of(decisive: DataFrame) -> DataFrame:
+    """How each city fared, from the attempts at which they stopped."""
+    return decisive.select(
+        "run_id",
+        "city_id",
+        "city",
+        F.col("attempt").alias("attempts_made"),
+        F.col("ok").alias("succeeded"),
+        F.when(~F.col("ok"), F.col("error_message")).alias("error_message"),
     )
 
 
+def city_outcomes(attempts: DataFrame) -> DataFrame:
+    """How each city fared in each run: the outcome is that of the attempt it stopped at."""
+    return outcomes_of(decisive_attempts(attempts))
+
+
 def run_counts(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Status and counts per run; a run without any attempt is kept, with zeros.
 
@@ -125,44 +146,15 @@ def run_counts(runs: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def run_summary(
-    runs: DataFrame,
-    outcomes: DataFrame,
-    spec: HourlySpec = DEFAULT_SPEC,
-    cities_per_part: int = 10_000,
+    runs: DataFrame, outcomes: DataFrame, spec: HourlySpec = DEFAULT_SPEC
 ) -> DataFrame:
-    """Run summary documents with the lists of successful and failed cities.
-
-    A run gets one document, ``part`` 0, unless it holds more than ``cities_per_part`` cities:
-    then its lists are spread by city over as many documents as needed, so that no list grows
-    with the number of cities. Status and counts are those of the whole run in each.
-    """
-    counted = run_counts(runs, outcomes)
-    total = F.col("successful_ingestions") + F.col("failed_ingestions")
-    parts = F.greatest(F.ceil(total / cities_per_part), F.lit(1))
-    part = F.pmod(F.xxhash64("city_id"), F.col("parts")).cast("int")
-    tries = F.col("attempts_made").cast("int").alias("attempts_made")
-    succeeded = F.struct("city_id", "city", tries)
-    failed = F.struct("city_id", "city", "error_message", tries)
-    lists = (
-        outcomes.join(counted.select("run_id", parts.alias("parts")), "run_id")
-        .withColumn("part", part)
-        # Without this the join's partitioning by run would serve, all parts in one task.
-        .repartition("run_id", "part")
-        .groupBy("run_id", "part")
-        .agg(
-            _sorted_list(F.when(F.col("succeeded"), succeeded)).alias("successful_cities"),
-            _sorted_list(F.when(~F.col("succeeded"), failed)).alias("failed_cities"),
-        )
-    )
-    return counted.join(lists, "run_id", "left").select(
+    """One row per run: times, status, counts and request; its cities are in ``run_city_lists``."""
+    return run_counts(runs, outcomes).select(
         "run_id",
-        F.coalesce("part", F.lit(0)).alias("part"),
         "run_started_at_utc",
         "run_completed_at_utc",
         "status",
         F.struct("cities_intended", "successful_ingestions", "failed_ingestions").alias("counts"),
-        F.coalesce("successful_cities", F.array()).alias("successful_cities"),
-        F.coalesce("failed_cities", F.array()).alias("failed_cities"),
         F.struct(
             _variables(spec).alias("hourly_variables"),
             F.lit(spec.past_days).alias("past_days"),
@@ -172,20 +164,30 @@ def run_summary(
     )
 
 
+def run_city_lists(outcomes: DataFrame, cities_per_block: int = CITIES_PER_BLOCK) -> DataFrame:
+    """Successful and failed cities of each run, one row per run and block of city ids.
+
+    A block is ``cities_per_block`` neighbouring ids, so no list is longer than that, and the
+    blocks of a run are the same however many cities it has.
+    """
+    tries = F.col("attempts_made").cast("int").alias("attempts_made")
+    succeeded = F.struct("city_id", "city", tries)
+    failed = F.struct("city_id", "city", "error_message", tries)
+    block = F.floor(F.col("city_id") / cities_per_block).cast("bigint")
+    return outcomes.groupBy("run_id", block.alias("block")).agg(
+        _sorted_list(F.when(F.col("succeeded"), succeeded)).alias("successful_cities"),
+        _sorted_list(F.when(~F.col("succeeded"), failed)).alias("failed_cities"),
+    )
+
+
 def _sorted_list(entry: Column) -> Column:
     """Entries by city id; collecting skips NULLs and keeps no order of its own."""
     return F.array_sort(F.collect_list(entry))
 
 
 def newest_run(summaries: DataFrame) -> DataFrame:
-    """The run that completed last; the run id settles equal times.
-
-    Of a summary that is spread over several documents this is the first.
-    """
-    newest_first = [F.desc("run_completed_at_utc"), F.desc("run_id")]
-    if "part" in summaries.columns:
-        newest_first.append(F.asc("part"))
-    return summaries.orderBy(*newest_first).limit(1)
+    """The run that completed last; the run id settles equal times."""
+    return summaries.orderBy(F.desc("run_completed_at_utc"), F.desc("run_id")).limit(1)
 
 
 def documents_of_run(documents: DataFrame, run_id: str) -> DataFrame:

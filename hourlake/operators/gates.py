@@ -112,3 +112,22 @@ def _require_no_null_keys(count: int, label: str) -> None:
 def _require_no_duplicates(count: int, label: str) -> None:
     if count > 0:
         raise RuntimeError(f"{label} contains {count} duplicate key groups")
+
+
+def attempt_limit_violations(attempts: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """Attempts whose number is missing, or not between one and the limit."""
+    number = F.col("attempt")
+    allowed = number.between(1, spec.max_attempts)
+    return attempts.filter(~F.coalesce(allowed, F.lit(False))).select("run_id", "city_id", "attempt")
+
+
+def check_attempt_limit(attempts: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> None:
+    count = attempt_limit_violations(attempts, spec).count()
+    if count:
+        raise RuntimeError(f"{count} logged attempts are beyond the limit of {spec.max_attempts}.")
+
+
+def check_listed_cities(documents: DataFrame) -> None:
+    count = documents.filter(F.col("city.city").isNull()).count()
+    if count:
+        raise RuntimeError(f"{count} documents are of cities that are not listed.")

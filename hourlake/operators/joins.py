@@ -18,9 +18,13 @@ def dimension_bytes(dimension: DataFrame) -> int:
 
 
 def join_dimension(
-    facts: DataFrame, dimension: DataFrame, key: str, limit: int = BROADCAST_BYTES
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    limit: int = BROADCAST_BYTES,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join that measures the dimension before broadcasting it.
+    """Inner or left join that measures the dimension before broadcasting it.
 
     The planner must not choose freely: after arrays are built or unnested its size estimate
     for the facts can be far too low, and it would then broadcast those. Up to ``limit`` bytes
@@ -28,5 +32,5 @@ def join_dimension(
     shuffled for a merge join, where adaptive execution splits the partition of a hot key.
     """
     if dimension_bytes(dimension) <= limit:
-        return facts.join(F.broadcast(dimension), key)
-    return facts.hint("merge").join(dimension, key)
+        return facts.join(F.broadcast(dimension), key, how)
+    return facts.hint("merge").join(dimension, key, how)

@@ -9,6 +9,7 @@ from hourlake.operators import gates
 from hourlake.operators.daily import add_date, daily_report, has_whole_hours_only
 from hourlake.schemas import DAILY_KEY
 from hourlake.sources.readers import read_gold, read_silver
+from hourlake.sources.session import utc_session
 from hourlake.sources.writers import replace_table
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
@@ -16,12 +17,18 @@ from hourlake.spec import DEFAULT_SPEC, HourlySpec
 def build_gold(
     spark: SparkSession, silver_path: str, path: str, spec: HourlySpec = DEFAULT_SPEC
 ) -> int:
-    """Replace the Gold table at ``path``; returns its row count.
+    """Replace the Gold table at ``path``; returns its row count. The session's own time zone is
+    restored afterwards."""
+    with utc_session(spark, spec.timezone):
+        return _build_gold(spark, silver_path, path, spec)
+
+
+def _build_gold(spark: SparkSession, silver_path: str, path: str, spec: HourlySpec) -> int:
+    """Replace the Gold table.
 
     A look at the timestamp column decides how observed hours are counted: on full hours one
     shuffle does, otherwise the exact distinct count takes two. The result is the same.
     """
-    spark.conf.set("spark.sql.session.timeZone", spec.timezone)
     silver = read_silver(spark, silver_path, spec)
     whole_hours = spec.timezone == "UTC" and has_whole_hours_only(silver)
     report = daily_report(add_date(silver), spec, "whole_hours" if whole_hours else "distinct")

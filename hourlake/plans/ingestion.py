@@ -8,8 +8,21 @@ from pyspark.sql import functions as F
 from hourlake import schemas
 from hourlake.functions.payload import with_reject_reason
 from hourlake.operators import gates
-from hourlake.operators.accounting import build_documents, city_outcomes, run_summary
-from hourlake.sources.writers import append_documents, append_run_summaries, exists
+from hourlake.operators.accounting import (
+    build_documents,
+    decisive_attempts,
+    outcomes_of,
+    run_city_lists,
+    run_summary,
+)
+from hourlake.sources.session import utc_session
+from hourlake.sources.writers import (
+    append_city_lists,
+    append_documents,
+    append_run_summaries,
+    exists,
+    work_folder,
+)
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 
@@ -36,21 +49,33 @@ def judge_responses(responses: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> Da
     )
 
 
+def parsed_payloads(decisive: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """``raw_payload`` out of the text ``payload``, which stays as ``payload_text``.
+
+    Readings are cast one by one: what isn't a number is a missing reading, and the others stay.
+    """
+    hourly = F.col("parsed.hourly")
+    readings = (
+        F.transform(hourly[m], lambda x: x.try_cast("double")).alias(m) for m in spec.metrics
+    )
+    typed = F.struct(F.struct(hourly["time"].alias("time"), *readings).alias("hourly"))
+    return (
+        decisive.withColumnRenamed("payload", "payload_text")
+        .withColumn("parsed", F.from_json("payload_text", schemas.payload_texts(spec)))
+        .withColumn("raw_payload", typed)
+        .drop("parsed")
+    )
+
+
 def accepted_documents(
     cities: DataFrame,
-    judged: DataFrame,
+    decisive: DataFrame,
     endpoint: str,
     source: str,
     spec: HourlySpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Raw documents of the successful attempts."""
-    accepted = judged.filter("ok").select(
-        "run_id",
-        "city_id",
-        "run_started_at_utc",
-        "ingested_at_utc",
-        F.from_json("payload", schemas.payload(spec)).alias("raw_payload"),
-    )
+    """Raw documents of the cities whose decisive attempt succeeded: one for each."""
+    accepted = parsed_payloads(decisive.filter("ok").drop("city"), spec)
     return build_documents(cities, accepted, endpoint, source, spec)
 
 
@@ -61,24 +86,35 @@ def account_runs(
     responses: DataFrame,
     documents_path: str,
     summaries_path: str,
+    city_lists_path: str,
     endpoint: str,
     source: str,
     spec: HourlySpec = DEFAULT_SPEC,
 ) -> None:
-    """Append the documents and the run summaries of the logged runs.
+    """Append the documents, city lists and run summaries of the logged runs.
 
-    Run ids must be new: they are checked against the stored summaries before anything is
-    written. Summaries are written last, so a run that has one has all its documents. Should
-    the job fail between the two appends, remove the documents of its runs before starting it
-    again, or they will be stored twice.
+    The log is judged once: the attempt at which each city stopped goes to the work folder, and
+    everything is made from there. Run ids must be new and attempt numbers within the limit,
+    which is checked before anything is appended. Documents of unlisted cities are stored like
+    any other, and refused by ``gates.check_listed_cities`` where that is wanted. Summaries are
+    written last, so a run that has one has all its documents. Should the job fail between the
+    appends, remove the documents and lists of its runs before starting it again, or they will be
+    stored twice.
     """
-    spark.conf.set("spark.sql.session.timeZone", spec.timezone)
-    judged = judge_responses(responses, spec)
-    run_ids = runs.select("run_id")
-    if exists(spark, summaries_path):
-        known = spark.read.schema(schemas.RUN_SUMMARY).parquet(summaries_path)
-        run_ids = run_ids.unionByName(known.filter("part = 0").select("run_id"))
-    gates.check_no_duplicate_keys(run_ids, ["run_id"], "Run summaries")
+    with utc_session(spark, spec.timezone):
+        run_ids = runs.select("run_id")
+        if exists(spark, summaries_path):
+            known = spark.read.schema(schemas.RUN_SUMMARY).parquet(summaries_path)
+            run_ids = run_ids.unionByName(known.select("run_id"))
+        gates.check_no_duplicate_keys(run_ids, ["run_id"], "Run summaries")
+        gates.check_attempt_limit(responses, spec)
 
-    append_documents(accepted_documents(cities, judged, endpoint, source, spec), documents_path)
-    append_run_summaries(run_summary(runs, city_outcomes(judged, spec), spec), summaries_path)
+        carried = ("payload", "run_started_at_utc", "ingested_at_utc")
+        judged = decisive_attempts(judge_responses(responses, spec), *carried)
+        staged = f"{work_folder(spark)}/decisive"
+        judged.write.parquet(staged)
+        decisive = spark.read.schema(judged.schema).parquet(staged)
+        outcomes = outcomes_of(decisive)
+        append_documents(accepted_documents(cities, decisive, endpoint, source, spec), documents_path)
+        append_city_lists(run_city_lists(outcomes), city_lists_path)
+        append_run_summaries(run_summary(runs, outcomes, spec), summaries_path)

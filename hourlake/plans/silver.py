@@ -20,6 +20,7 @@ from hourlake.operators.quality import (
 )
 from hourlake.schemas import MEASUREMENT_KEY
 from hourlake.sources.readers import read_silver
+from hourlake.sources.session import utc_session
 from hourlake.sources.writers import replace_table
 from hourlake.spec import DEFAULT_SPEC, HourlySpec, array_column
 
@@ -76,6 +77,15 @@ def profile_documents(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataF
 
 def build_silver(
     spark: SparkSession, documents: DataFrame, path: str, spec: HourlySpec = DEFAULT_SPEC
+) -> SilverReport:
+    """Replace the Silver table at ``path`` with what ``documents`` hold; the session's own time
+    zone is restored afterwards."""
+    with utc_session(spark, spec.timezone):
+        return _build_silver(spark, documents, path, spec)
+
+
+def _build_silver(
+    spark: SparkSession, documents: DataFrame, path: str, spec: HourlySpec
 ) -> SilverReport:
     """Replace the Silver table at ``path`` with what ``documents`` hold.
 
@@ -86,7 +96,6 @@ def build_silver(
     make Spark count a row twice. They also have to add up to the census: a source that
     changed in between would have got past the length gate.
     """
-    spark.conf.set("spark.sql.session.timeZone", spec.timezone)
     flat = flatten_documents(documents, spec)
     profile = profile_documents(flat, spec).collect()  # at most 2 ** (metrics + 1) rows
     gates.require_no_length_issues(sum(row["length_issues"] for row in profile))

@@ -10,17 +10,21 @@ DAILY_KEY = ("city_id", "measurement_date")
 CITY = "city_id INT, city STRING, country STRING, latitude DOUBLE, longitude DOUBLE"
 
 RUN_SUMMARY = """
-    run_id STRING, part INT, run_started_at_utc TIMESTAMP, run_completed_at_utc TIMESTAMP,
+    run_id STRING, run_started_at_utc TIMESTAMP, run_completed_at_utc TIMESTAMP,
     status STRING,
     counts STRUCT<cities_intended: BIGINT, successful_ingestions: BIGINT,
                   failed_ingestions: BIGINT>,
-    successful_cities ARRAY<STRUCT<city_id: INT, city: STRING, attempts_made: INT>>,
-    failed_cities ARRAY<STRUCT<city_id: INT, city: STRING, error_message: STRING,
-                               attempts_made: INT>>,
     request_config STRUCT<hourly_variables: ARRAY<STRING>, past_days: INT,
                           forecast_days: INT, timezone: STRING>
 """
 
+RUN_CITIES = """
+    run_id STRING, block BIGINT,
+    successful_cities ARRAY<STRUCT<city_id: INT, city: STRING, attempts_made: INT>>,
+    failed_cities ARRAY<STRUCT<city_id: INT, city: STRING, error_message: STRING,
+                               attempts_made: INT>>
+"""
+
 
 def payload(spec: HourlySpec = DEFAULT_SPEC) -> str:
     """The part of a payload that is read; metrics are doubles even where JSON has ints."""
@@ -28,6 +32,11 @@ def payload(spec: HourlySpec = DEFAULT_SPEC) -> str:
     return f"STRUCT<hourly: STRUCT<time: ARRAY<STRING>, {arrays}>>"
 
 
+def payload_texts(spec: HourlySpec = DEFAULT_SPEC) -> str:
+    """The same part with its readings as texts, to be cast one by one."""
+    return payload(spec).replace("ARRAY<DOUBLE>", "ARRAY<STRING>")
+
+
 def raw_document(spec: HourlySpec = DEFAULT_SPEC) -> str:
     """One nested document per city and run."""
     return f"""
@@ -38,7 +47,8 @@ def raw_document(spec: HourlySpec = DEFAULT_SPEC) -> str:
                        forecast_days: INT, past_days: INT>,
         ingestion_metadata STRUCT<run_started_at_utc: TIMESTAMP, ingested_at_utc: TIMESTAMP,
                                   source: STRING, status: STRING>,
-        raw_payload {payload(spec)}
+        raw_payload {payload(spec)},
+        payload_text STRING
     """
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -26,6 +25,12 @@ def append_run_summaries(
     _append(summaries, path, fmt, options)
 
 
+def append_city_lists(
+    lists: DataFrame, path: str | None = None, fmt: str = "parquet", **options: str
+) -> None:
+    _append(lists, path, fmt, options)
+
+
 def _append(frame: DataFrame, path: str | None, fmt: str, options: dict[str, str]) -> None:
     frame.write.format(fmt).mode("append").options(**options).save(path)
 
@@ -78,11 +83,7 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder for intermediate tables, in the shared folder the cluster names.
-
-    Only where the session names none, as in tests, is it a local temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/hourlake-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="hourlake-")
+    """A fresh folder for intermediate tables, where all executors and the driver see it: in the
+    shared folder that the cluster names, or else in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/hourlake-{uuid.uuid4().hex}"

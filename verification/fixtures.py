@@ -256,32 +256,33 @@ def response_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _attempt_keys(events: DataFrame) -> DataFrame:
+def _attempt_keys(events: DataFrame, tries: int | None) -> DataFrame:
+    """Events as numbered attempts: every ``tries`` events of a user's day are one run's; without
+    a number all of them are."""
     day = F.to_date("ts").cast("string")
     shard = F.lpad((F.col("user_id") % 50).cast("string"), 2, "0")
-    return events.withColumns(
+    in_order = Window.partitionBy("day", "city_id").orderBy("ts", "event_id")
+    numbered = events.withColumns(
+        {"day": day, "shard": shard, "city_id": F.col("user_id").cast("int")}
+    ).withColumn("place", F.row_number().over(in_order) - 1)
+    group = F.floor(F.col("place") / tries) if tries else F.lit(0)
+    return numbered.withColumns(
         {
-            "run_id": F.concat_ws("-", F.lit("run"), day, shard),
-            "city_id": F.col("user_id").cast("int"),
+            "run_id": F.concat_ws("-", F.lit("run"), "day", "shard", group.cast("string")),
+            "attempt": (F.col("place") % tries if tries else F.col("place")).cast("int") + 1,
         }
     )
 
 
 def attempts(
-    spark: SparkSession, sf_dir: str, spec: HourlySpec = DEFAULT_SPEC
+    spark: SparkSession, sf_dir: str, tries: int | None = DEFAULT_SPEC.max_attempts
 ) -> DataFrame:
-    """Attempt log: each event of a user's day is an attempt at that city in that run.
-
-    The retry loop never makes more than ``max_attempts``, so later events are no attempts.
-    """
-    in_order = Window.partitionBy("run_id", "city_id").orderBy("ts", "event_id")
+    """Attempt log: each event of a user's day is an attempt at that city, so many in a run."""
     kind = F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("int")
     codes = F.array(*map(F.lit, HTTP_CODES))
     return (
-        _attempt_keys(table(spark, sf_dir, "events"))
-        .withColumn("attempt", F.row_number().over(in_order))
-        .filter(F.col("attempt") <= spec.max_attempts)
+        _attempt_keys(table(spark, sf_dir, "events"), tries)
         .select(
             "run_id",
             "city_id",
@@ -305,7 +306,7 @@ def attempts(
 def attempt_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The runs of the attempt log, from first to last event."""
     return (
-        _attempt_keys(table(spark, sf_dir, "events"))
+        _attempt_keys(table(spark, sf_dir, "events"), DEFAULT_SPEC.max_attempts)
         .groupBy("run_id")
         .agg(
             F.min("ts").cast("timestamp").alias("run_started_at_utc"),

@@ -149,9 +149,13 @@ FROM documents_flat d JOIN cities c ON d.city_id = c.city_id"""
 
 UNNESTED = f"""WITH {MEASUREMENTS} SELECT * FROM measured"""
 
-SILVER = f"""WITH {RANKED}
-SELECT {SILVER_COLUMNS} FROM latest
-UNION ALL SELECT {SILVER_COLUMNS} FROM checked WHERE NOT is_valid_measurement_timestamp"""
+# Rows without a valid timestamp each stand alone: document and raw text keep them apart.
+SILVER = f"""WITH {MEASUREMENTS}
+SELECT {SILVER_COLUMNS} FROM checked
+QUALIFY NOT is_valid_measurement_timestamp OR row_number() OVER (
+  PARTITION BY city_id, measurement_timestamp,
+    CASE WHEN NOT is_valid_measurement_timestamp THEN run_id END
+  ORDER BY ingested_at_utc DESC, run_id DESC) = 1"""
 
 PAYLOADS = f"""{DOCUMENTS},
 base AS (
@@ -207,17 +211,15 @@ judged AS (
 )"""
 
 ATTEMPTS = """
-keyed AS (
+placed AS (
   SELECT *, 'run-' || strftime(ts, '%Y-%m-%d') || '-' || lpad(CAST(user_id % 50 AS VARCHAR), 2, '0')
-      AS run_id, CAST(user_id AS INTEGER) AS city_id,
-    CAST(json_extract(props, '$.k') AS INTEGER) AS k
+      AS shard, CAST(user_id AS INTEGER) AS city_id,
+    CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+    row_number() OVER (PARTITION BY CAST(ts AS DATE), user_id ORDER BY ts, event_id) AS place
   FROM events
 ),
-numbered AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY run_id, city_id ORDER BY ts, event_id) AS INTEGER)
-    AS attempt
-  FROM keyed
-),
+keyed AS (SELECT *, shard || '-' || (place - 1) // 3 AS run_id FROM placed),
+numbered AS (SELECT *, CAST((place - 1) % 3 + 1 AS INTEGER) AS attempt FROM keyed),
 attempts AS (
   SELECT run_id, city_id, 'city-' || city_id AS city, attempt, event_type = 'purchase' AS ok,
     CASE event_type WHEN 'error' THEN 'http' WHEN 'click' THEN 'network'
@@ -227,7 +229,7 @@ attempts AS (
     CASE WHEN event_type = 'error'
       THEN CAST([429, 500, 503, 404, 400, 599][k % 6 + 1] AS INTEGER) END AS http_code,
     CASE WHEN event_type <> 'purchase' THEN event_type || ' #' || event_id END AS error_message
-  FROM numbered WHERE attempt <= 3
+  FROM numbered
 ),
 classified AS (
   SELECT *, CASE WHEN ok THEN 'success'
@@ -253,11 +255,7 @@ outcomes AS (
 ),
 tallies AS (
   SELECT run_id, count(*) FILTER (succeeded) AS successful_ingestions,
-    count(*) FILTER (NOT succeeded) AS failed_ingestions,
-    coalesce(string_agg(city_id || ':' || city || ':' || attempts_made, ',' ORDER BY city_id)
-      FILTER (succeeded), '') AS successful_cities,
-    coalesce(string_agg(city_id || ':' || city || ':' || error_message || ':' || attempts_made,
-      ',' ORDER BY city_id) FILTER (NOT succeeded), '') AS failed_cities
+    count(*) FILTER (NOT succeeded) AS failed_ingestions
   FROM outcomes GROUP BY run_id
 ),
 run_rows AS (
@@ -265,7 +263,7 @@ run_rows AS (
     CASE WHEN coalesce(successful_ingestions, 0) = cities_intended THEN 'completed'
       WHEN successful_ingestions > 0 THEN 'partial_failure' ELSE 'failed' END AS status,
     cities_intended, coalesce(successful_ingestions, 0) AS successful_ingestions,
-    coalesce(failed_ingestions, 0) AS failed_ingestions, successful_cities, failed_cities
+    coalesce(failed_ingestions, 0) AS failed_ingestions
   FROM runs r LEFT JOIN tallies t ON r.run_id = t.run_id
 )"""
 
@@ -281,8 +279,7 @@ run_rows AS (""",
 )
 RUN_COLUMNS = """run_id, run_started_at_utc, run_completed_at_utc, status, cities_intended,
   successful_ingestions, failed_ingestions"""
-SUMMARY_COLUMNS = f"""{RUN_COLUMNS}, CAST(0 AS INTEGER) AS part,
-  successful_cities, failed_cities, '{VARIABLES}' AS hourly_variables,
+SUMMARY_COLUMNS = f"""{RUN_COLUMNS}, '{VARIABLES}' AS hourly_variables,
   CAST(2 AS INTEGER) AS past_days, CAST(1 AS INTEGER) AS forecast_days, 'UTC' AS timezone"""
 
 CONFIGURATIONS = f"""{CITIES},
@@ -322,6 +319,21 @@ lengths AS (
 LENGTH_ISSUE = f"""({_each("{m}_count <> time_count OR {m}_count IS NULL", " OR ")}
   OR time_count <> 72 OR time_count IS NULL)"""
 
+_GOLD = [
+    ("city_id", "int"),
+    ("measurement_date", "date"),
+    ("city", "string"),
+    *((f"{name}_{m}", "double") for m in METRICS for name in ("average", "maximum")),
+    ("observed_hour_count", "bigint"),
+    *((f"valid_daily_{m}_count", "bigint") for m in METRICS),
+    ("expected_hour_count", "int"),
+    ("completeness_percentage", "double"),
+    ("is_complete_day", "boolean"),
+    ("is_fully_valid_day", "boolean"),
+    ("maximum_european_aqi_timestamp", "timestamp_ntz"),
+]
+GOLD_COLUMNS = ", ".join(f"({n}, '{name}', '{kind}')" for n, (name, kind) in enumerate(_GOLD))
+
 ORACLE_SQL: dict[str, str] = {
     "gold_daily_summary": GOLD,
     "source_profile": """
@@ -440,6 +452,16 @@ GROUP BY run_id HAVING count(*) > 1""",
     "run_status": f"WITH {RUNS} SELECT {RUN_COLUMNS} FROM run_rows",
     "run_summary": f"WITH {RUNS} SELECT {SUMMARY_COLUMNS} FROM run_rows",
     "run_summary_roundtrip": f"WITH {RUNS} SELECT {SUMMARY_COLUMNS} FROM run_rows",
+    "attempt_limit_violations": f"""WITH {ATTEMPTS}
+SELECT shard || '-0' AS run_id, city_id, CAST(place AS INTEGER) AS attempt FROM placed
+WHERE place > 3""",
+    "run_city_lists": f"""WITH {RUNS}
+SELECT run_id, CAST(city_id // 10 AS BIGINT) AS block,
+  coalesce(string_agg(city_id || ':' || city || ':' || attempts_made, ',' ORDER BY city_id)
+    FILTER (succeeded), '') AS successful_cities,
+  coalesce(string_agg(city_id || ':' || city || ':' || error_message || ':' || attempts_made,
+    ',' ORDER BY city_id) FILTER (NOT succeeded), '') AS failed_cities
+FROM outcomes GROUP BY run_id, city_id // 10""",
     "newest_run": f"""WITH {RUNS} SELECT {RUN_COLUMNS} FROM run_rows
 ORDER BY run_completed_at_utc DESC, run_id DESC LIMIT 1""",
     "documents_of_run": f"""WITH {DOCUMENTS}
@@ -447,9 +469,20 @@ SELECT run_id, d.city_id, city, ingested_at_utc
 FROM documents_flat d JOIN cities c ON d.city_id = c.city_id WHERE run_id = 'run-2024-01-15'""",
     "documents_per_run": f"""WITH {DOCUMENTS}
 SELECT run_id, count(*) AS document_count FROM documents_flat GROUP BY run_id""",
+    "unlisted_city_documents": f"""WITH {DOCUMENTS}
+SELECT run_id, city_id FROM documents_flat
+WHERE city_id NOT IN (SELECT city_id FROM cities WHERE city_id % 10 <> 0)""",
+    "gold_schema": f"""WITH {DAILY},
+daily AS (SELECT count(*) AS row_count FROM rollup_rows)
+SELECT CAST(n AS INTEGER) AS position, name AS column_name, kind AS column_type, row_count
+FROM daily, (VALUES {GOLD_COLUMNS}) named(n, name, kind)""",
     "silver_roundtrip": SILVER,
     "gold_roundtrip": GOLD,
     "ingestion_roundtrip": f"""WITH {RESPONSES},
-stored AS (SELECT run_id, count(*) AS document_count FROM tried WHERE ok GROUP BY run_id)
-SELECT {SUMMARY_COLUMNS}, document_count FROM run_rows LEFT JOIN stored USING (run_id)""",
+stored AS (
+  SELECT run_id, count(*) AS document_count,
+    CAST(sum(length(payload)) AS BIGINT) AS payload_characters
+  FROM tried JOIN judged USING (run_id, city_id) WHERE ok GROUP BY run_id
+)
+SELECT {SUMMARY_COLUMNS}, document_count, payload_characters FROM run_rows LEFT JOIN stored USING (run_id)""",
 }

@@ -19,7 +19,7 @@ from hourlake.plans.silver import (
     profile_documents,
     timed_measurements,
 )
-from hourlake.schemas import MEASUREMENT_KEY, RUN_SUMMARY
+from hourlake.schemas import MEASUREMENT_KEY, RUN_CITIES, RUN_SUMMARY
 from hourlake.sources import readers, writers
 from hourlake.spec import DEFAULT_METRICS, DEFAULT_SPEC, array_column
 from verification import fixtures
@@ -215,8 +215,10 @@ def duplicate_summary(spark, sf_dir):
 
 
 def recency_rank(spark, sf_dir):
-    """The three newest records of every key."""
-    ranked = dedupe.rank_by_recency(_checked(spark, sf_dir), depth=3)
+    """All records of every key, newest first: an hour is in one document for each day of the
+    window at most."""
+    window_days = DEFAULT_SPEC.past_days + DEFAULT_SPEC.forecast_days
+    ranked = dedupe.rank_by_recency(_checked(spark, sf_dir), depth=window_days)
     return _plain(ranked.select("run_id", "ingested_at_utc", *MEASUREMENT_KEY, "recency_rank"))
 
 
@@ -336,6 +338,11 @@ def payload_reject_reasons(spark, sf_dir):
     return judged.select("run_id", "city_id", "reject_reason")
 
 
+def attempt_limit_violations(spark, sf_dir):
+    """Attempts beyond the limit, where a day's events are all one run's."""
+    return gates.attempt_limit_violations(fixtures.attempts(spark, sf_dir, tries=None))
+
+
 def attempt_classification(spark, sf_dir):
     return accounting.classify_attempts(fixtures.attempts(spark, sf_dir))
 
@@ -359,25 +366,14 @@ def _run_summaries(spark, sf_dir):
 
 
 def _summary_as_text(summaries: DataFrame) -> DataFrame:
-    """Summary documents with their lists as text, to be compared across engines."""
-
-    def entry(*fields: str) -> Callable[[Column], Column]:
-        return lambda x: F.concat_ws(":", *(x[f].cast("string") for f in fields))
-
+    """Run summaries with their list of variables as text, to be compared across engines."""
     return _plain(
         summaries.select(
             "run_id",
-            "part",
             "run_started_at_utc",
             "run_completed_at_utc",
             "status",
             "counts.*",
-            _joined(F.col("successful_cities"), entry("city_id", "city", "attempts_made")).alias(
-                "successful_cities"
-            ),
-            _joined(
-                F.col("failed_cities"), entry("city_id", "city", "error_message", "attempts_made")
-            ).alias("failed_cities"),
             F.array_join("request_config.hourly_variables", ",").alias("hourly_variables"),
             "request_config.past_days",
             "request_config.forecast_days",
@@ -386,6 +382,22 @@ def _summary_as_text(summaries: DataFrame) -> DataFrame:
     )
 
 
+def _lists_as_text(lists: DataFrame) -> DataFrame:
+    def entry(*fields: str) -> Callable[[Column], Column]:
+        return lambda x: F.concat_ws(":", *(x[f].cast("string") for f in fields))
+
+    return lists.select(
+        "run_id",
+        "block",
+        _joined(F.col("successful_cities"), entry("city_id", "city", "attempts_made")).alias(
+            "successful_cities"
+        ),
+        _joined(
+            F.col("failed_cities"), entry("city_id", "city", "error_message", "attempts_made")
+        ).alias("failed_cities"),
+    )
+
+
 def run_summary(spark, sf_dir):
     return _summary_as_text(_run_summaries(spark, sf_dir))
 
@@ -396,6 +408,14 @@ def run_summary_roundtrip(spark, sf_dir):
     return _summary_as_text(spark.read.schema(RUN_SUMMARY).parquet(path))
 
 
+def run_city_lists(spark, sf_dir):
+    """Cities of each run, ten neighbouring ids in a row, written and read back."""
+    path = f"{writers.work_folder(spark)}/run-cities"
+    lists = accounting.run_city_lists(city_outcomes(spark, sf_dir), cities_per_block=10)
+    writers.append_city_lists(lists, path)
+    return _lists_as_text(spark.read.schema(RUN_CITIES).parquet(path))
+
+
 def newest_run(spark, sf_dir):
     return _plain(accounting.newest_run(_run_counts(spark, sf_dir)))
 
@@ -405,6 +425,22 @@ def documents_of_run(spark, sf_dir):
     return _plain(accounting.documents_of_run(documents, "run-2024-01-15"))
 
 
+def unlisted_city_documents(spark, sf_dir):
+    """Documents of the cities that a dimension without every tenth city doesn't have."""
+    listed = fixtures.cities(spark, sf_dir).filter("city_id % 10 <> 0")
+    documents = accounting.build_documents(
+        listed, fixtures.payloads(spark, sf_dir), fixtures.ENDPOINT, fixtures.SOURCE
+    )
+    return accounting.unlisted_city_documents(documents)
+
+
+def gold_schema(spark, sf_dir):
+    """Names and types of written daily rows, as the files have them."""
+    path = f"{writers.work_folder(spark)}/gold"
+    gold_daily_summary(spark, sf_dir).write.parquet(path)
+    return readers.source_profile(spark.read.parquet(path))
+
+
 def documents_per_run(spark, sf_dir):
     return accounting.documents_per_run(fixtures.documents(spark, sf_dir))
 
@@ -433,7 +469,8 @@ def gold_roundtrip(spark, sf_dir):
 
 
 def ingestion_roundtrip(spark, sf_dir):
-    """Run summaries and stored documents of the response log."""
+    """Run summaries, number of stored documents and bytes of their payload texts, of the
+    response log."""
     folder = writers.work_folder(spark)
     account_runs(
         spark,
@@ -442,10 +479,15 @@ def ingestion_roundtrip(spark, sf_dir):
         fixtures.responses(spark, sf_dir),
         f"{folder}/documents",
         f"{folder}/runs",
+        f"{folder}/run-cities",
         endpoint=fixtures.ENDPOINT,
         source=fixtures.SOURCE,
     )
-    stored = accounting.documents_per_run(readers.read_documents(spark, f"{folder}/documents"))
+    documents = readers.read_documents(spark, f"{folder}/documents")
+    stored = documents.groupBy("run_id").agg(
+        F.count("*").alias("document_count"),
+        F.sum(F.char_length("payload_text")).alias("payload_characters"),
+    )
     summaries = spark.read.schema(RUN_SUMMARY).parquet(f"{folder}/runs")
     return _summary_as_text(summaries).join(stored, "run_id", "left")
 
@@ -491,15 +533,19 @@ QUERIES: dict[str, Query] = {
         duplicate_business_keys,
         run_id_uniqueness,
         payload_reject_reasons,
+        attempt_limit_violations,
         attempt_classification,
         city_outcomes,
         run_status,
         run_summary,
         run_summary_roundtrip,
+        run_city_lists,
         newest_run,
         documents_of_run,
         documents_per_run,
+        unlisted_city_documents,
         silver_roundtrip,
+        gold_schema,
         gold_roundtrip,
         ingestion_roundtrip,
     )
