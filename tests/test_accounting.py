@@ -1,193 +1,191 @@
-from datetime import datetime
-from urllib.parse import parse_qs, urlencode, urlparse
+"""Requests, attempts, outcomes and run tables, on invented stations of an invented feed."""
+
+from datetime import datetime, timedelta
+from urllib.parse import parse_qsl, urlencode, urlsplit
 
 import pytest
 from pyspark.sql import functions as F
 
 from hourlake import schemas
 from hourlake.functions.runs import run_status
-from hourlake.operators import accounting, joins
+from hourlake.operators import accounting, gates, joins
 from hourlake.spec import DEFAULT_METRICS
 
-START, END = datetime(2026, 7, 16, 10), datetime(2026, 7, 16, 10, 1)
-ENDPOINT = "https://feed.example/v1/hourly"
-CITIES = [
-    (1, "Athens", "Greece", 37.9838, 23.7275),
-    (2, "Thessaloniki", "Greece", 40.6401, 22.9444),
-    (3, "Null Island", "Nowhere", 0.0005, -0.00001),
+OPENED = datetime(2029, 2, 27, 23, 15)
+CLOSED = OPENED + timedelta(hours=3)
+ENDPOINT = "http://stations.invalid/readings"
+STATIONS = [
+    (510, "Nordkap & Söhne", "Eisland", 71.25, -8.5),
+    (511, "Tief=Tal?", "Talland", -0.125, 179.75),
+    (512, "Nullpunkt", "Meer", 0.0003, -0.00002),
 ]
 
 
-def cities(spark):
-    return spark.createDataFrame(CITIES, schemas.CITY)
+def stations(spark):
+    return spark.createDataFrame(STATIONS, schemas.CITY)
 
 
-def test_request_url_carries_every_parameter(spark):
-    for row in accounting.request_urls(cities(spark), ENDPOINT).collect():
-        url = urlparse(row["request_url"])
-        query = parse_qs(url.query)
-        assert f"{url.scheme}://{url.netloc}{url.path}" == ENDPOINT
-        assert float(query["latitude"][0]) == row["latitude"]
-        assert float(query["longitude"][0]) == row["longitude"]
-        assert query["hourly"] == [",".join(DEFAULT_METRICS)]
-        assert (query["timezone"], query["forecast_days"], query["past_days"]) == (
-            ["UTC"], ["1"], ["2"],
-        )
+def test_request_url_is_the_form_encoding_of_its_parameters(spark):
+    shown = {510: ("71.25", "-8.5"), 511: ("-0.125", "179.75"), 512: ("0.0003", "-0.00002")}
+    for row in accounting.request_urls(stations(spark), ENDPOINT).collect():
+        latitude, longitude = shown[row["city_id"]]
+        parameters = [
+            ("latitude", latitude),
+            ("longitude", longitude),
+            ("hourly", ",".join(DEFAULT_METRICS)),
+            ("timezone", "UTC"),
+            ("forecast_days", "1"),
+            ("past_days", "2"),
+        ]
+        assert parse_qsl(urlsplit(row["request_url"]).query) == parameters
+        assert row["request_url"] == ENDPOINT + "?" + urlencode(parameters)
 
 
-def test_request_url_is_encoded_like_a_form(spark):
-    row = accounting.request_urls(cities(spark), ENDPOINT).filter("city_id = 1").first()
-    parameters = {
-        "latitude": 37.9838, "longitude": 23.7275, "hourly": ",".join(DEFAULT_METRICS),
-        "timezone": "UTC", "forecast_days": 1, "past_days": 2,
-    }
-    assert row["request_url"] == f"{ENDPOINT}?{urlencode(parameters)}"
+PAYLOADS = f"""run_id STRING, city_id INT, run_started_at_utc TIMESTAMP, ingested_at_utc TIMESTAMP,
+    raw_payload {schemas.payload()}, payload_text STRING"""
 
 
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
 def test_documents_nest_city_request_and_payload(spark, limit, monkeypatch):
-    monkeypatch.setattr(joins.join_dimension, "__defaults__", (limit,))
-    payload = {"hourly": {"time": ["2026-07-15T00:00"], **{m: [1.5] for m in DEFAULT_METRICS}}}
-    payloads = spark.createDataFrame(
-        [("r1", 1, START, END, payload), ("r1", 99, START, END, payload)],
-        "run_id STRING, city_id INT, run_started_at_utc TIMESTAMP, ingested_at_utc TIMESTAMP,"
-        f"raw_payload {schemas.payload()}",
-    )
-    documents = accounting.build_documents(cities(spark), payloads, ENDPOINT, "feed")
+    monkeypatch.setattr(joins.join_dimension, "__defaults__", (limit, "inner"))
+    readings = {m: [place + 0.5, None] for place, m in enumerate(DEFAULT_METRICS)}
+    payload = {"hourly": {"time": ["later", None], **readings}}
+    known, unknown = 511, 600
+    rows = [("night", c, OPENED, CLOSED, payload, f"text of {c}") for c in (known, unknown)]
+    frame = spark.createDataFrame(rows, PAYLOADS)
+    documents = accounting.build_documents(stations(spark), frame, ENDPOINT, "sky")
     plan = documents._jdf.queryExecution().executedPlan().toString()
     assert ("SortMergeJoin" if limit == 0 else "BroadcastHashJoin") in plan
-    assert [r.asDict(recursive=True) for r in documents.collect()] == [
-        {
-            "run_id": "r1",
-            "city": {
-                "city_id": 1, "city": "Athens", "country": "Greece",
-                "requested_latitude": 37.9838, "requested_longitude": 23.7275,
-            },
-            "request": {
-                "endpoint": ENDPOINT, "hourly_variables": list(DEFAULT_METRICS),
-                "timezone": "UTC", "forecast_days": 1, "past_days": 2,
-            },
-            "ingestion_metadata": {
-                "run_started_at_utc": START, "ingested_at_utc": END,
-                "source": "feed", "status": "ingest_complete",
-            },
-            "raw_payload": payload,
-        }
-    ]
-
-
-@pytest.mark.parametrize(
-    "successful, intended, status",
-    [(12, 12, "completed"), (1, 12, "partial_failure"), (0, 12, "failed"), (0, 0, "completed")],
-)
-def test_run_status(spark, successful, intended, status):
-    frame = spark.createDataFrame([(successful, intended)], "s INT, i INT")
-    assert frame.select(run_status(F.col("s"), F.col("i"))).first()[0] == status
-
-
-ATTEMPT = """run_id STRING, city_id INT, city STRING, attempt INT, ok BOOLEAN,
-    error_kind STRING, http_code INT, error_message STRING"""
-
-
-def attempt(city_id, number, kind=None, code=None, run_id="r1"):
-    ok = kind is None
-    message = None if ok else f"{kind} {number}"
-    return (run_id, city_id, f"city {city_id}", number, ok, kind, code, message)
-
-
-def attempts(spark, *rows):
-    return spark.createDataFrame(list(rows), ATTEMPT)
-
-
-@pytest.mark.parametrize(
-    "kind, code, expected",
-    [
-        (None, None, "success"),
-        ("http", 429, "retryable"), ("http", 500, "retryable"), ("http", 599, "retryable"),
-        ("http", 600, "final"), ("http", 404, "final"), ("http", 499, "final"),
-        ("http", None, "final"), ("network", None, "retryable"), ("validation", None, "final"),
-        ("storage", None, "final"), ("unexpected", None, "final"),
-    ],
-)
-def test_failure_class(spark, kind, code, expected):
-    classified = accounting.classify_attempts(attempts(spark, attempt(1, 1, kind, code)))
-    assert classified.first()["failure_class"] == expected
-
-
-def outcome_log(spark):
-    return attempts(
-        spark,
-        attempt(1, 1),
-        attempt(2, 1, "network"), attempt(2, 2, "http", 503), attempt(2, 3),
-        attempt(3, 1, "network"), attempt(3, 2, "network"), attempt(3, 3, "http", 429),
-        attempt(4, 1, "http", 404),
-        attempt(5, 1, "network"), attempt(5, 2, "validation"),
-        # Not part of the retry loop: past its end, or past the third attempt.
-        attempt(4, 2), attempt(3, 4),
-    )
-
-
-def test_city_outcomes(spark):
-    outcomes = accounting.city_outcomes(outcome_log(spark)).orderBy("city_id").collect()
-    assert [tuple(r) for r in outcomes] == [
-        ("r1", 1, "city 1", 1, True, None),
-        ("r1", 2, "city 2", 3, True, None),
-        ("r1", 3, "city 3", 3, False, "http 3"),
-        ("r1", 4, "city 4", 1, False, "http 1"),
-        ("r1", 5, "city 5", 2, False, "validation 2"),
+
+    found = {r["city"]["city_id"]: r.asDict(recursive=True) for r in documents.collect()}
+    assert found.keys() == {known, unknown}
+    for city_id, row in found.items():
+        assert (row["run_id"], row["raw_payload"]) == ("night", payload)
+        assert row["payload_text"] == f"text of {city_id}"
+        assert list(row["request"].values()) == [ENDPOINT, [*DEFAULT_METRICS], "UTC", 1, 2]
+        stamps = list(row["ingestion_metadata"].values())
+        assert stamps == [OPENED, CLOSED, "sky", "ingest_complete"]
+    assert tuple(found[known]["city"].values()) == STATIONS[1]
+    assert set(found[unknown]["city"].values()) == {unknown, None}
+    unlisted = accounting.unlisted_city_documents(documents).collect()
+    assert [tuple(r) for r in unlisted] == [("night", unknown)]
+    with pytest.raises(RuntimeError, match="1 documents are of cities that are not listed"):
+        gates.check_listed_cities(documents)
+
+
+def test_run_status_over_all_counts_of_a_small_run(spark):
+    counts = [(s, i) for i in range(4) for s in range(i + 1)]
+    frame = spark.createDataFrame(counts, "s INT, i INT")
+    found = frame.select("s", "i", run_status(F.col("s"), F.col("i"))).collect()
+    for successful, intended, status in found:
+        if successful == intended:
+            assert status == "completed"
+        else:
+            assert status == ("failed" if successful == 0 else "partial_failure")
+
+
+LOG = """run_id STRING, city_id INT, city STRING, attempt INT, ok BOOLEAN, error_kind STRING,
+    http_code INT, error_message STRING"""
+
+
+def log(spark, tries, run="night"):
+    """A log out of station → what its attempts met, by number: ``ok``, a kind, or an HTTP code."""
+    rows = []
+    for station, met in tries.items():
+        for number, what in met.items():
+            kind = None if what == "ok" else "http" if isinstance(what, int) else what
+            code = what if isinstance(what, int) else None
+            message = kind and f"{what}@{number}"
+            rows.append((run, station, f"S{station}", number, what == "ok", kind, code, message))
+    return spark.createDataFrame(rows, LOG)
+
+
+def test_failure_class(spark):
+    wanted = {"ok": "success", "network": "retryable", 429: "retryable"}
+    wanted |= dict.fromkeys(range(500, 600, 11), "retryable")
+    wanted |= dict.fromkeys([200, 302, 400, 428, 430, 499, 600], "final")
+    wanted |= dict.fromkeys(["validation", "storage", "unexpected", "unheard of"], "final")
+    frame = log(spark, {i: {1: what} for i, what in enumerate(wanted)})
+    found = accounting.classify_attempts(frame).orderBy("city_id").collect()
+    assert [r["failure_class"] for r in found] == list(wanted.values())
+    blank = accounting.classify_attempts(log(spark, {1: {1: "http"}}))
+    assert blank.first()["failure_class"] == "final"
+
+
+TRIES = {
+    21: {1: 502, 2: "network", 3: "ok"},
+    22: {1: "storage", 2: "ok"},
+    23: {1: "ok", 2: 404},
+    24: {1: "network", 2: 429},
+    25: {4: "network", 5: "ok"},
+    26: {7: 503},
+}
+
+
+def test_the_first_stop_decides_or_else_the_last_attempt(spark):
+    found = accounting.city_outcomes(log(spark, TRIES)).orderBy("city_id").collect()
+    assert [tuple(r)[1:] for r in found] == [
+        (21, "S21", 3, True, None),
+        (22, "S22", 1, False, "storage@1"),
+        (23, "S23", 1, True, None),
+        (24, "S24", 2, False, "429@2"),
+        (25, "S25", 5, True, None),
+        (26, "S26", 7, False, "503@7"),
     ]
 
 
-def runs(spark, *rows):
+def test_numbers_beyond_the_limit_are_reported_and_refused(spark):
+    frame = log(spark, TRIES | {27: {None: "ok", 0: "network"}})
+    found = gates.attempt_limit_violations(frame).collect()
+    numbers = sorted(((r["city_id"], r["attempt"]) for r in found), key=str)
+    assert numbers == [(25, 4), (25, 5), (26, 7), (27, 0), (27, None)]
+    with pytest.raises(RuntimeError, match="5 logged attempts are beyond the limit of 3"):
+        gates.check_attempt_limit(frame)
+    gates.check_attempt_limit(log(spark, {i: TRIES[i] for i in (21, 22, 23, 24)}))
+
+
+def runs(spark, **intended):
     return spark.createDataFrame(
-        list(rows),
-        "run_id STRING, run_started_at_utc TIMESTAMP, run_completed_at_utc TIMESTAMP,"
-        "cities_intended BIGINT",
+        [(run, OPENED, CLOSED, n) for run, n in intended.items()],
+        """run_id STRING, run_started_at_utc TIMESTAMP, run_completed_at_utc TIMESTAMP,
+           cities_intended BIGINT""",
     )
 
 
-def test_run_summary_documents(spark):
-    outcomes = accounting.city_outcomes(outcome_log(spark))
-    two_runs = runs(spark, ("r1", START, END, 5), ("r2", START, END, 2))
-    first, idle = accounting.run_summary(two_runs, outcomes).orderBy("run_id").collect()
-    assert first.asDict(recursive=True) == {
-        "run_id": "r1",
-        "part": 0,
-        "run_started_at_utc": START,
-        "run_completed_at_utc": END,
-        "status": "partial_failure",
-        "counts": {"cities_intended": 5, "successful_ingestions": 2, "failed_ingestions": 3},
-        "successful_cities": [
-            {"city_id": 1, "city": "city 1", "attempts_made": 1},
-            {"city_id": 2, "city": "city 2", "attempts_made": 3},
-        ],
-        "failed_cities": [
-            {"city_id": 3, "city": "city 3", "error_message": "http 3", "attempts_made": 3},
-            {"city_id": 4, "city": "city 4", "error_message": "http 1", "attempts_made": 1},
-            {"city_id": 5, "city": "city 5", "error_message": "validation 2", "attempts_made": 2},
-        ],
-        "request_config": {
-            "hourly_variables": list(DEFAULT_METRICS), "past_days": 2, "forecast_days": 1,
-            "timezone": "UTC",
-        },
-    }
-    assert (idle["status"], idle["part"], idle["failed_cities"]) == ("failed", 0, [])
-    assert tuple(idle["counts"]) == (2, 0, 0)
-
-
-def test_summary_of_a_large_run_is_spread_but_whole(spark):
-    log = attempts(spark, *(attempt(i, 1, "validation" if i % 3 else None) for i in range(500)))
-    outcomes = accounting.city_outcomes(log)
-    parts = accounting.run_summary(runs(spark, ("r1", START, END, 500)), outcomes,
-                                   cities_per_part=50).collect()
-    assert len(parts) == 10
-    assert {r["part"] for r in parts} == set(range(10))
-    assert {tuple(r["counts"]) for r in parts} == {(500, 167, 333)}
-    listed = [c["city_id"] for r in parts for c in (*r["successful_cities"], *r["failed_cities"])]
-    assert sorted(listed) == list(range(500))
-    assert max(len(r["failed_cities"]) + len(r["successful_cities"]) for r in parts) < 100
-
-
-def test_newest_run(spark):
-    summaries = runs(spark, ("a", START, END, 1), ("c", START, END, 1), ("b", START, START, 1))
-    assert accounting.newest_run(summaries).first()["run_id"] == "c"
+def test_each_run_has_one_header_with_or_without_attempts(spark):
+    outcomes = accounting.city_outcomes(log(spark, TRIES))
+    summaries = accounting.run_summary(runs(spark, night=6, idle=4, empty=0), outcomes)
+    found = {r["run_id"]: r for r in summaries.collect()}
+    assert {k: (r["status"], *r["counts"]) for k, r in found.items()} == {
+        "night": ("partial_failure", 6, 3, 3),
+        "idle": ("failed", 4, 0, 0),
+        "empty": ("completed", 0, 0, 0),
+    }
+    assert tuple(found["night"]["request_config"]) == ([*DEFAULT_METRICS], 2, 1, "UTC")
+    names = [f.name for f in spark.createDataFrame([], schemas.RUN_SUMMARY).schema]
+    assert summaries.columns == names
+
+
+@pytest.mark.parametrize("stations_of_run", [3, 250])
+def test_city_lists_have_the_same_blocks_at_every_size(spark, stations_of_run):
+    tries = {i: {1: "ok" if i % 4 else "validation"} for i in range(95, 95 + stations_of_run)}
+    outcomes = accounting.city_outcomes(log(spark, tries))
+    lists = accounting.run_city_lists(outcomes, cities_per_block=40).collect()
+    seen = []
+    for r in lists:
+        both = [*r["successful_cities"], *r["failed_cities"]]
+        assert len(both) <= 40
+        assert {c["city_id"] // 40 for c in both} == {r["block"]}
+        for part in (r["successful_cities"], r["failed_cities"]):
+            ids = [c["city_id"] for c in part]
+            assert ids == sorted(ids)
+        assert {c["error_message"] for c in r["failed_cities"]} <= {"validation@1"}
+        seen += [c["city_id"] for c in both]
+    assert sorted(seen) == list(tries)
+
+
+def test_newest_run_by_completion_then_id(spark):
+    finished = {"m": 5, "n": 9, "k": 9, "z": 2}
+    rows = [(run, CLOSED + timedelta(minutes=m)) for run, m in finished.items()]
+    frame = spark.createDataFrame(rows, "run_id STRING, run_completed_at_utc TIMESTAMP")
+    assert accounting.newest_run(frame).first()["run_id"] == "n"

@@ -1,3 +1,5 @@
+"""Daily rollup and peaks, on generated days whose results are worked out by plain Python."""
+
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 
@@ -7,137 +9,144 @@ from hourlake import schemas
 from hourlake.operators import daily
 from hourlake.spec import DEFAULT_METRICS, DEFAULT_SPEC
 
-DAY = date(2026, 7, 20)
-MIDNIGHT = datetime(2026, 7, 20)
+NEW_YEAR = datetime(2030, 1, 1)
 SCHEMA = "city_id INT, city STRING, measurement_timestamp TIMESTAMP, " + ", ".join(
     [f"{m} DOUBLE" for m in DEFAULT_METRICS] + [f"{f} BOOLEAN" for f in DEFAULT_SPEC.flags]
 )
+COUNTINGS = ["distinct", "unique_rows", "whole_hours"]
 
 
-def measurement(hour, *readings, city_id=1, city="Athens", valid_time=True, minutes=0):
-    time = MIDNIGHT + timedelta(hours=hour, minutes=minutes) if valid_time else None
-    flags = [r is not None and r >= 0 for r in readings]
-    return (city_id, city, time, *readings, valid_time, *flags)
+def slot(hour, *values, place=(70, "Quellheim"), timed=True, minutes=0):
+    """One measurement row; one value stands for all metrics."""
+    values = values * 4 if len(values) == 1 else values
+    time = NEW_YEAR + timedelta(hours=hour, minutes=minutes) if timed else None
+    return (*place, time, *values, timed, *(v is not None and v >= 0 for v in values))
 
 
-def dated(spark, *rows):
+def dated(spark, rows):
     return daily.add_date(spark.createDataFrame(list(rows), SCHEMA))
 
 
-def full_day(**changes):
-    return [measurement(h, 1.0, 1.0, changes.get("pm2_5", 1.0), 1.0) for h in range(24)]
-
-
-THREE_HOURS = [
-    measurement(0, 30.0, 10.0, 5.0, 20.0),
-    measurement(1, 60.0, 20.0, 10.0, 40.0),
-    measurement(2, 45.0, None, 15.0, 40.0),
-]
-
-
-@pytest.mark.parametrize("observed", ["distinct", "unique_rows", "whole_hours"])
-def test_rollup_of_three_hours(spark, observed):
-    rows = daily.daily_rollup(dated(spark, *THREE_HOURS), observed=observed).collect()
-    assert [r.asDict() for r in rows] == [
-        {
-            "city_id": 1, "measurement_date": DAY, "city": "Athens",
-            "average_european_aqi": 45.0, "maximum_european_aqi": 60.0,
-            "average_pm10": 15.0, "maximum_pm10": 20.0,
-            "average_pm2_5": 10.0, "maximum_pm2_5": 15.0,
-            "average_nitrogen_dioxide": pytest.approx(100 / 3), "maximum_nitrogen_dioxide": 40.0,
-            "observed_hour_count": 3,
-            "valid_daily_european_aqi_count": 3, "valid_daily_pm10_count": 2,
-            "valid_daily_pm2_5_count": 3, "valid_daily_nitrogen_dioxide_count": 3,
-            "expected_hour_count": 24, "completeness_percentage": 12.5,
-            "is_complete_day": False, "is_fully_valid_day": False,
-        }
-    ]
+def evening():
+    """Seven hours of which metric number k misses those divisible by k + 2."""
+    return [
+        slot(h, *(None if h % (k + 2) == 0 else float((h * (k + 3)) % 11) for k in range(4)))
+        for h in range(17, 24)
+    ]
 
 
-@pytest.mark.parametrize("observed", ["distinct", "unique_rows", "whole_hours"])
-def test_whole_day_flags(spark, observed):
-    full = daily.daily_rollup(dated(spark, *full_day()), observed=observed).first()
-    assert (full["completeness_percentage"], full["is_complete_day"]) == (100.0, True)
-    assert full["is_fully_valid_day"]
-    negative = daily.daily_rollup(dated(spark, *full_day(pm2_5=-1.0)), observed=observed).first()
-    assert negative["is_complete_day"] and not negative["is_fully_valid_day"]
-    assert negative["average_pm2_5"] is None and negative["valid_daily_pm2_5_count"] == 0
+def expected(rows):
+    """What one day's rows give, by the rules: only valid readings count."""
+    row = {}
+    for k, m in enumerate(DEFAULT_METRICS):
+        valid = [r[3 + k] for r in rows if r[3 + k] is not None and r[3 + k] >= 0]
+        row[f"average_{m}"] = pytest.approx(sum(valid) / len(valid)) if valid else None
+        row[f"maximum_{m}"] = max(valid, default=None)
+        row[f"valid_daily_{m}_count"] = len(valid)
+    seen = len({r[2] for r in rows})
+    return row | {
+        "observed_hour_count": seen,
+        "expected_hour_count": 24,
+        "completeness_percentage": pytest.approx(seen / 24 * 100),
+        "is_complete_day": seen == 24,
+        "is_fully_valid_day": all(row[f"valid_daily_{m}_count"] == 24 for m in DEFAULT_METRICS),
+    }
+
+
+@pytest.mark.parametrize("observed", COUNTINGS)
+@pytest.mark.parametrize(
+    "rows",
+    [
+        evening(),
+        [slot(h, float(h)) for h in range(24)],
+        [slot(h, float(h), -0.5, None, 0.0) for h in range(24)],
+        [slot(h, float(h)) for h in range(23)] + [slot(23, 5.0, 5.0, 5.0, -1.0)],
+        [slot(11, None)],
+    ],
+    ids=["gaps", "full", "one metric only", "last reading bad", "nothing valid"],
+)
+def test_rollup_of_one_day(spark, rows, observed):
+    found = [r.asDict() for r in daily.daily_rollup(dated(spark, rows), observed=observed).collect()]
+    key = {"city_id": 70, "city": "Quellheim", "measurement_date": date(2030, 1, 1)}
+    assert found == [key | expected(rows)]
 
 
 def test_observed_hours_are_distinct_timestamps(spark):
-    twice = dated(spark, *THREE_HOURS, *THREE_HOURS)
+    rows = evening()
+    tripled = dated(spark, rows * 3)
     for observed in ("distinct", "whole_hours"):
-        assert daily.daily_rollup(twice, observed=observed).first()["observed_hour_count"] == 3
-    half_hours = dated(spark, *THREE_HOURS, measurement(0, 1.0, 1.0, 1.0, 1.0, minutes=30))
-    assert daily.daily_rollup(half_hours).first()["observed_hour_count"] == 4
-    assert daily.has_whole_hours_only(twice)
-    assert not daily.has_whole_hours_only(half_hours)
+        assert daily.daily_rollup(tripled, observed=observed).first()["observed_hour_count"] == 7
+    between = dated(spark, [*rows, slot(20, 2.5, minutes=45)])
+    assert daily.daily_rollup(between).first()["observed_hour_count"] == 8
+    assert (daily.has_whole_hours_only(tripled), daily.has_whole_hours_only(between)) == (True, False)
 
 
 def test_unknown_counting_method_is_refused(spark):
     with pytest.raises(ValueError, match="unknown method"):
-        daily.daily_rollup(dated(spark, *THREE_HOURS), observed="guess")
+        daily.daily_rollup(dated(spark, evening()), observed="guess")
 
 
-def test_peak_is_the_earliest_of_equal_maxima(spark):
-    readings = [(0, 45.0), (1, 60.0), (2, 60.0), (3, None), (4, -99.0)]
-    frame = dated(spark, *(measurement(h, aqi, 1.0, 1.0, 1.0) for h, aqi in readings))
-    assert [tuple(r) for r in daily.daily_peak(frame).collect()] == [
-        (1, DAY, datetime(2026, 7, 20, 1))
-    ]
+@pytest.mark.parametrize("order", [1, -1])
+def test_peak_is_the_earliest_of_equal_maxima(spark, order):
+    # The maximum of 8 is reached at 5, 13 and 21 o'clock; unusable readings come before it.
+    rows = [slot(h, float(h % 8) + (h % 8 == 5) * 3) for h in range(3, 24)]
+    rows += [slot(0, None), slot(1, -70.0), slot(2, 900.0, timed=False)]
+    peaks = daily.daily_peak(dated(spark, rows[::order])).collect()
+    assert [tuple(r) for r in peaks] == [(70, date(2030, 1, 1), NEW_YEAR + timedelta(hours=5))]
 
 
-def report_cases(spark):
+def several_places(spark):
+    blind = (71, "Dunkelau")
     return dated(
         spark,
-        *THREE_HOURS,
-        measurement(5, None, 1.0, 1.0, 1.0, city_id=2),
-        measurement(6, -5.0, 1.0, 1.0, 1.0, city_id=2),
-        measurement(7, 3.0, 1.0, 1.0, 1.0, city_id=None),
-        measurement(30, 7.0, 1.0, 1.0, 1.0),
-        measurement(31, 7.0, 1.0, 1.0, 1.0),
-        measurement(0, 500.0, 1.0, 1.0, 1.0, valid_time=False),
-        measurement(9, float("nan"), 1.0, 1.0, 1.0, city_id=3)[:7] + (True,) * 5,
-        measurement(9, 8.0, 1.0, 1.0, 1.0, city_id=3),
+        [
+            *evening(),
+            *(slot(h, float(h)) for h in (40, 47, 71)),
+            slot(4, None, 6.0, 6.0, 6.0, place=blind),
+            slot(8, -2.0, 6.0, 6.0, 6.0, place=blind),
+            slot(9, 3.5, place=(None, "Nirgends")),
+            slot(10, float("nan"), place=(72, "Zahlbach"))[:7] + (True,) * 5,
+            slot(10, 1.25, place=(72, "Zahlbach")),
+            slot(12, 640.0, timed=False),
+        ],
     )
 
 
 @pytest.mark.parametrize("observed", ["distinct", "whole_hours"])
 def test_report_in_one_pass_equals_rollup_joined_with_peaks(spark, observed):
-    frame = report_cases(spark)
-    joined = daily.join_peak(daily.daily_rollup(frame), daily.daily_peak(frame))
-    report = daily.daily_report(frame, observed=observed)
+    rows = several_places(spark)
     columns = list(schemas.gold())
-    assert report.columns == columns
 
-    def shown(result):
-        return sorted(str(tuple(r)) for r in result.select(*columns).collect())
+    def shown(frame):
+        return sorted(str(tuple(r)) for r in frame.select(*columns).collect())
 
+    report = daily.daily_report(rows, observed=observed)
+    joined = daily.join_peak(daily.daily_rollup(rows), daily.daily_peak(rows))
+    assert report.columns == columns
     assert shown(report) == shown(joined)
-    peaks = {r["city_id"]: r["maximum_european_aqi_timestamp"] for r in report.collect()}
-    assert len(report.collect()) == 5
-    assert peaks[2] is None and peaks[None] is None
+    peaks = [(r["city_id"], r["maximum_european_aqi_timestamp"]) for r in report.collect()]
+    assert len(peaks) == 6
+    assert {city for city, time in peaks if time is None} == {None, 71}
 
 
 def test_only_invalid_timestamps_give_no_day(spark):
-    frame = dated(spark, measurement(0, 1.0, 1.0, 1.0, 1.0, valid_time=False))
-    assert daily.daily_report(frame).collect() == []
+    assert daily.daily_report(dated(spark, [slot(6, 2.0, timed=False)])).collect() == []
 
 
 def test_other_metrics_and_day_lengths(spark):
-    spec = replace(DEFAULT_SPEC, metrics=("pm10",), peak_metric="pm10", hours_per_day=2)
-    row = daily.daily_report(dated(spark, *THREE_HOURS[:2]), spec).first()
+    short_days = replace(DEFAULT_SPEC, metrics=("pm2_5",), peak_metric="pm2_5", hours_per_day=3)
+    rows = [slot(h, 0.0, 0.0, float(v), 0.0) for h, v in ((1, 4), (2, 9), (3, 6))]
+    row = daily.daily_report(dated(spark, rows), short_days).first().asDict()
     assert row["is_fully_valid_day"] and row["completeness_percentage"] == 100.0
-    assert row["maximum_pm10_timestamp"] == datetime(2026, 7, 20, 1)
-    assert "average_european_aqi" not in row.asDict()
+    assert row["maximum_pm2_5_timestamp"] == NEW_YEAR + timedelta(hours=2)
+    assert not [c for c in row if "pm10" in c]
 
 
 def test_report_takes_one_scan_and_one_shuffle(spark, tmp_path):
     path = str(tmp_path / "silver")
-    spark.createDataFrame(THREE_HOURS, SCHEMA).write.parquet(path)
-    frame = daily.add_date(spark.read.schema(SCHEMA).parquet(path))
-    report = daily.daily_report(frame, observed="whole_hours")
+    spark.createDataFrame(evening(), SCHEMA).write.parquet(path)
+    rows = daily.add_date(spark.read.schema(SCHEMA).parquet(path))
+    report = daily.daily_report(rows, observed="whole_hours")
     plan = report._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("FileScan parquet") == plan.count("Exchange hashpartitioning") == 1
     assert "PushedFilters: [IsNotNull(is_valid_measurement_timestamp)" in plan

@@ -114,52 +114,73 @@ RESPONSE = """run_id STRING, city_id INT, city STRING, attempt INT, error_kind S
 
 
 def test_ingestion_job(spark, tmp_path):
-    stored, summaries = str(tmp_path / "documents"), str(tmp_path / "runs")
-    start = datetime(2026, 7, 20, 6)
+    stored, summaries, lists = (str(tmp_path / n) for n in ("documents", "runs", "cities"))
+    start = datetime(2034, 8, 1, 4)
     good = {"hourly": {"time": HOURS, **{m: [1] * 72 for m in DEFAULT_METRICS}}}
+    extra = json.dumps({"latitude": 4.5} | good | {"hourly_units": {"pm10": "x"}})
+    bad_element = json.loads(json.dumps(good))
+    bad_element["hourly"]["pm10"][:2] = ["n/a", 2.5]
+    repeated = json.dumps(good)[:-1] + ', "hourly": ' + json.dumps(bad_element["hourly"]) + "}"
 
     def response(city_id, attempt, kind=None, code=None, payload=None):
         message = kind and f"{kind} {attempt}"
-        times = (start, start)
-        return ("r1", city_id, f"city {city_id}", attempt, kind, code, message, payload, *times)
+        return ("r1", city_id, f"city {city_id}", attempt, kind, code, message, payload, start, start)
 
     log = spark.createDataFrame(
         [
             response(1, 1, "network"),
-            response(1, 2, payload=json.dumps(good)),
+            response(1, 2, payload=extra),
             response(2, 1, payload='{"error": true, "reason": "limit"}'),
             response(3, 1, "http", 404),
+            # An answer after a final failure, and a second one after the first.
+            response(3, 2, payload=json.dumps(good)),
+            response(4, 1, payload=json.dumps(bad_element)),
+            response(4, 2, payload=json.dumps(good)),
+            response(5, 1, payload=repeated),
+            response(9, 1, payload=json.dumps(good)),
         ],
         RESPONSE,
     )
     cities = spark.createDataFrame(
-        [(i, f"city {i}", "x", 1.0, 2.0) for i in (1, 2, 3)], schemas.CITY
+        [(i, f"city {i}", "x", 1.0, 2.0) for i in (1, 2, 3, 4, 5)], schemas.CITY
     )
     runs = spark.range(1).select(
         F.lit("r1").alias("run_id"),
         F.lit(start).alias("run_started_at_utc"),
         F.lit(start).alias("run_completed_at_utc"),
-        F.lit(3).alias("cities_intended"),
+        F.lit(6).alias("cities_intended"),
     )
 
-    def account():
+    def account(responses=log):
         endpoint = "https://feed.example"
         ingestion.account_runs(
-            spark, cities, runs, log, stored, summaries, endpoint, source="feed"
+            spark, cities, runs, responses, stored, summaries, lists, endpoint, source="feed"
         )
 
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    with pytest.raises(RuntimeError, match="1 logged attempts are beyond the limit"):
+        account(log.union(log.limit(1).withColumn("attempt", F.lit(4))))
     account()
+    assert spark.conf.get("spark.sql.session.timeZone") == zone
     documents_read = readers.read_documents(spark, stored)
-    assert [r["city"]["city_id"] for r in documents_read.collect()] == [1]
+    found = {r["city"]["city_id"]: r for r in documents_read.collect()}
+    assert found.keys() == {1, 4, 5, 9}
+    assert found[1]["payload_text"] == extra
+    assert found[9]["city"]["city"] is None
+    for city_id in (4, 5):
+        assert found[city_id]["raw_payload"]["hourly"]["pm10"][:3] == [None, 2.5, 1.0]
     summary = spark.read.schema(schemas.RUN_SUMMARY).parquet(summaries).first()
-    assert summary["status"] == "partial_failure"
-    assert [(c["city_id"], c["attempts_made"]) for c in summary["successful_cities"]] == [(1, 2)]
-    assert [(c["city_id"], c["error_message"]) for c in summary["failed_cities"]] == [
+    assert (summary["status"], *summary["counts"]) == ("partial_failure", 6, 4, 2)
+    row = spark.read.schema(schemas.RUN_CITIES).parquet(lists).first()
+    assert [(c["city_id"], c["attempts_made"]) for c in row["successful_cities"]] == [
+        (1, 2), (4, 1), (5, 1), (9, 1),
+    ]
+    assert [(c["city_id"], c["error_message"]) for c in row["failed_cities"]] == [
         (2, "API returned an error: limit"),
         (3, "http 1"),
     ]
-    assert silver.build_silver(spark, documents_read, str(tmp_path / "silver")).row_count == 72
+    assert silver.build_silver(spark, documents_read, str(tmp_path / "silver")).row_count == 288
 
     with pytest.raises(RuntimeError, match="Run summaries contains 1 duplicate key groups"):
         account()
-    assert readers.read_documents(spark, stored).count() == 1
+    assert readers.read_documents(spark, stored).count() == 4

@@ -5,7 +5,7 @@ import pytest
 from hourlake import schemas
 from hourlake.sources import readers, writers
 
-CITY = {"city_id": 1, "city": "Athens", "country": "Greece", "latitude": 37.9838, "longitude": 23.7275}
+CITY = {"city_id": 904, "city": "Łąka", "country": "Øst", "latitude": -33.0, "longitude": 0.5}
 
 
 def configuration(tmp_path, content):
@@ -15,9 +15,9 @@ def configuration(tmp_path, content):
 
 
 def test_cities_are_read_across_lines(spark, tmp_path):
-    path = configuration(tmp_path, [CITY, CITY | {"city_id": 2, "city": "Θεσσαλονίκη"}])
-    rows = [r.asDict() for r in readers.read_cities(spark, path).collect()]
-    assert rows == [CITY, CITY | {"city_id": 2, "city": "Θεσσαλονίκη"}]
+    listed = [CITY | {"city_id": n, "city": "zwei\nZeilen" * (n % 2)} for n in range(5)]
+    path = configuration(tmp_path, listed)
+    assert [r.asDict() for r in readers.read_cities(spark, path).collect()] == listed
 
 
 @pytest.mark.parametrize(
@@ -26,7 +26,7 @@ def test_cities_are_read_across_lines(spark, tmp_path):
         ([], "City configuration list must not be empty"),
         (CITY, "City configuration must be a list"),
         (None, "City configuration must be a list"),
-        ("Athens", "City configuration must be a list"),
+        (904, "City configuration must be a list"),
     ],
 )
 def test_wrong_configurations_are_refused(spark, tmp_path, content, message):
@@ -37,16 +37,16 @@ def test_wrong_configurations_are_refused(spark, tmp_path, content, message):
 def test_documents_from_json_lines(spark, tmp_path):
     document = {
         "run_id": "r1",
-        "city": {"city_id": 1, "city": "Athens"},
-        "ingestion_metadata": {"ingested_at_utc": "2026-07-20T10:00:00Z"},
-        "raw_payload": {"hourly": {"time": ["2026-07-20T00:00"], "pm10": [3], "other": [1]}},
+        "city": {"city_id": 904, "city": "Łąka"},
+        "ingestion_metadata": {"ingested_at_utc": "2035-04-01T21:30:00Z"},
+        "raw_payload": {"hourly": {"time": ["whenever"], "pm10": [8], "other": [1]}},
     }
     path = tmp_path / "documents.json"
     path.write_text(json.dumps(document))
     row = readers.read_documents(spark, str(path), fmt="json").first()
-    assert row["raw_payload"]["hourly"]["pm10"] == [3.0]
+    assert row["raw_payload"]["hourly"]["pm10"] == [8.0]
     assert row["raw_payload"]["hourly"]["pm2_5"] is None
-    assert str(row["ingestion_metadata"]["ingested_at_utc"]) == "2026-07-20 10:00:00"
+    assert str(row["ingestion_metadata"]["ingested_at_utc"]) == "2035-04-01 21:30:00"
 
 
 def test_source_profile(spark):
@@ -77,10 +77,13 @@ def test_replacing_a_table_keeps_the_old_one_until_the_check_passes(spark, tmp_p
 
 
 def test_work_folder_is_the_clusters_shared_folder_where_one_is_named(spark, monkeypatch):
-    named = {"spark.checkpoint.dir": "hdfs://shared/work"}
-    session = type("Session", (), {"conf": type("Conf", (), {"get": lambda self, k, d: named.get(k, d)})()})()
+    named = {"spark.checkpoint.dir": "hdfs://shared/work", "spark.sql.warehouse.dir": "s3a://house"}
+    conf = type("Conf", (), {"get": lambda self, k, d=None: named.get(k, d)})()
+    session = type("Session", (), {"conf": conf})()
     assert writers.work_folder(session).startswith("hdfs://shared/work/hourlake-")
     assert writers.work_folder(session) != writers.work_folder(session)
+    del named["spark.checkpoint.dir"]
+    assert writers.work_folder(session).startswith("s3a://house/hourlake-")
 
 
 def test_schemas_have_the_persisted_columns():
