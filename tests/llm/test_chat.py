@@ -1,0 +1,70 @@
+from llm_cases import clashing
+
+from hourlake.llm import chat
+
+SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
+
+
+def turns(conv_id, *said):
+    return [(conv_id, i, "user" if i % 2 == 0 else "bot", text) for i, text in enumerate(said)]
+
+
+def brute(rows):
+    by = {}
+    key = lambda r: tuple((x is not None, x) for x in r[1:])
+    for r in sorted((r for r in rows if r[0] is not None), key=key):
+        by.setdefault(r[0], []).append(r[2:])
+    whole = {}
+    for conv_id, said in by.items():
+        whole.setdefault(tuple(said), []).append(conv_id)
+    begun = {said[:k] for said in whole for k in range(1, len(said))}
+    return sorted((min(ids), len(s), len(ids)) for s, ids in whole.items() if s not in begun)
+
+
+ROWS = [
+    *turns(1, "hello", "hi", "how", "fine"),
+    *turns(2, "hello", "hi"),
+    *turns(3, "hello", "hi", "how"),
+    *turns(4, "hello", "other"),
+    *turns(5, "hello", "hi", "how", "fine"),
+    *turns(6, "hellohi"),
+    *turns(7, None, ""),
+    *turns(8, None),
+    (9, 0, None, "hello"),
+    (10, 5, "user", "hello"),
+    (11, None, "user", "x"), (11, 3, "user", "y"), (11, 3, "user", "y"), (11, 3, "bot", None),
+    (None, 0, "user", "lost"),
+]
+
+
+def test_snapshots_collapse_like_brute_force(spark, monkeypatch):
+    for size in (4096, 2):
+        monkeypatch.setattr(chat, "CHUNK", size)
+        frame = clashing(spark.createDataFrame(ROWS, SCHEMA), "place", "n_turns")
+        found = chat.collapse_and_render(frame).collect()
+        assert sorted((r["conv_id"], r["n_turns"], r["n_logged"]) for r in found) == brute(ROWS)
+
+
+def test_rendering(spark, monkeypatch):
+    found = chat.collapse_and_render(spark.createDataFrame(turns(1, "a", None), SCHEMA)).first()
+    assert found["rendered"] == "<|user|>\na<|end|>\n<|bot|>\n<|end|>\n"
+    monkeypatch.setattr(chat, "PART", 2)
+    parts = chat.collapse_and_render(spark.createDataFrame(turns(1, *"abcde"), SCHEMA)).orderBy("part")
+    texts = [r["rendered"] for r in parts.collect()]
+    assert [t.count("<|end|>") for t in texts] == [2, 2, 1]
+    assert "".join(texts).replace("<|user|>", "").replace("<|bot|>", "").split() == [
+        f"{c}<|end|>" for c in "abcde"
+    ]
+
+
+def test_empty_table_and_plan(spark):
+    empty = chat.collapse_and_render(spark.createDataFrame([], SCHEMA))
+    assert empty.collect() == []
+    plan = empty._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_thousand_copies_cost_one_row(spark):
+    rows = [r for i in range(1000) for r in turns(i, "same", "words")] + turns(5000, "same", "words", "more")
+    found = chat.collapse_and_render(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r["conv_id"], r["n_turns"], r["n_logged"]) for r in found] == [(5000, 3, 1)]
