@@ -178,7 +178,7 @@ def find_leaks(
 
 
 def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per document: counts, digest of the item ids, verdict, and spans."""
+    """One row per document: counts, digest of the item ids, and verdict."""
     found = find_leaks(documents.select("doc_id", "text"), items)
     leaks = F.col("leaks")
     return found.select(
@@ -188,7 +188,6 @@ def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
         F.size(leaks["item_ids"]).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(leaks["item_ids"], ","), 256).alias("items_sha256"),
         (leaks["n_hit"] > 0).alias("contaminated"),
-        F.array_join(leaks["spans"].cast("array<string>"), ",").alias("spans"),
     )
 
 

@@ -1,4 +1,4 @@
-"""The registered queries over the given tables, and the SQL for those that SQL can express."""
+"""The registered queries over the given tables."""
 
 from __future__ import annotations
 
@@ -82,45 +82,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_toxicity,
     )
 }
-
-#: The same rows by plain SQL: a conversation is dropped if its turns, written out, are the first
-#: turns of a longer one, or those of an equal one with a smaller id.
-CHAT_SQL = """
-WITH turns AS (
-    SELECT conv_id,
-           row_number() OVER (
-               PARTITION BY conv_id
-               ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
-           ) AS place,
-           coalesce('r' || role, 'null') || chr(1) || coalesce('t' || text, 'null') || chr(2) AS exact,
-           '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '')
-               || '<|end|>' || chr(10) AS line
-    FROM conversations WHERE conv_id IS NOT NULL
-),
-whole AS (
-    SELECT conv_id, count(*) AS n_turns, string_agg(exact, '' ORDER BY place) AS exact
-    FROM turns GROUP BY conv_id
-),
-beginnings AS (
-    SELECT DISTINCT t.place, string_agg(t.exact, '') OVER (
-               PARTITION BY t.conv_id ORDER BY t.place
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW
-           ) AS exact, w.n_turns
-    FROM turns t JOIN whole w USING (conv_id)
-),
-chosen AS (
-    SELECT min(conv_id) AS conv_id, n_turns, count(*) AS n_logged
-    FROM whole w
-    WHERE NOT EXISTS (
-        SELECT 1 FROM beginnings b
-        WHERE b.place = w.n_turns AND b.n_turns > w.n_turns AND b.exact = w.exact
-    )
-    GROUP BY n_turns, exact
-)
-SELECT conv_id, (place - 1) // 1024 AS part, n_turns, n_logged,
-       string_agg(line, '' ORDER BY place) AS rendered
-FROM chosen JOIN turns USING (conv_id)
-GROUP BY conv_id, part, n_turns, n_logged
-"""
-
-ORACLE_SQL: dict[str, str] = {"op5_chat_formatting": CHAT_SQL}

@@ -7,7 +7,8 @@ from llm_cases import rows
 from oracle_check import compare, connect
 
 import corpus_pipeline
-from hourlake.llm.queries import ORACLE_SQL, QUERIES
+from hourlake.llm.queries import QUERIES
+from hourlake.llm.sql import ORACLE_SQL
 from hourlake.llm.tables import read_table
 
 SF_DIR = "/root/testdata/sf0.001"
