@@ -111,8 +111,95 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_i
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached USING (doc_id)
 """
 
+
+
+def _fences(name: str, keys: str, rows: int) -> str:
+    """Fences of groups by ``keys`` (each with a comma after it), from counts of 2 % wide buckets."""
+    return f"""
+{name} AS (
+    SELECT {keys} ratio, low - 4 * width AS least, high + 4 * width AS most
+    FROM (
+        SELECT *, greatest(high - low, 0.25 * high, CASE ratio WHEN 'symbol_ratio' THEN 0.02
+            WHEN 'dup_line_ratio' THEN 0.12 WHEN 'repeat_ratio' THEN 0.06 ELSE 0.3 END) AS width
+        FROM (
+            SELECT {keys} ratio, max(total) AS total,
+                   min(value) FILTER (below >= 0.25 * total) AS low,
+                   min(value) FILTER (below >= 0.75 * total) AS high
+            FROM (
+                SELECT *, CASE WHEN bucket IS NULL THEN 0::DOUBLE
+                           ELSE pow(1.02::DOUBLE, bucket + 0.5::DOUBLE) * 0.001::DOUBLE END AS value,
+                       sum(n) OVER (PARTITION BY {keys} ratio ORDER BY bucket NULLS FIRST) AS below,
+                       sum(n) OVER (PARTITION BY {keys} ratio) AS total
+                FROM (SELECT {keys} ratio, bucket, count(*) AS n FROM bucketed GROUP BY ALL)
+            ) GROUP BY {keys} ratio
+        )
+    ) WHERE total >= {rows}
+)"""
+
+
+QUALITY_RULES_SQL = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           [x FOR x IN string_split(coalesce(text, ''), chr(10))
+            IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+    FROM documents
+),
+windows AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, p) AS times
+    FROM (
+        SELECT r, i, array_to_string(words[i : i + 7], ' ') AS p
+        FROM texts, unnest(range(1, len(words) - 6)) places(i)
+    )
+),
+repeated AS (
+    SELECT r, count(DISTINCT w) AS n_repeat_words
+    FROM windows, unnest(range(i, i + 8)) words(w) WHERE times > 1 GROUP BY r
+),
+counts AS (
+    SELECT r, doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(coalesce(list_sum([length(w) FOR w IN words]), 0) AS BIGINT) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           len(lines) AS n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM texts LEFT JOIN repeated USING (r)
+),
+judged AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+           coalesce(n_symbols / nullif(word_chars, 0), 0) AS symbol_ratio,
+           coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_ratio,
+           coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_ratio,
+           coalesce(word_chars / nullif(n_words, 0), 0) AS word_length
+    FROM counts
+),
+long AS (
+    UNPIVOT judged ON symbol_ratio, dup_line_ratio, repeat_ratio, word_length
+    INTO NAME ratio VALUE v
+),
+bucketed AS (
+    SELECT lang, source, ratio, CASE WHEN v < 0.001 THEN NULL
+        ELSE CAST(floor(ln(v / 0.001::DOUBLE) / ln(1.02::DOUBLE)) AS INTEGER) END AS bucket
+    FROM long WHERE NOT base_failed
+),{_fences("by_source", "lang, source,", 200)},{_fences("by_language", "lang,", 200)},
+{_fences("overall", "", 0)},
+verdicts AS (
+    SELECT r, bool_and(v <= coalesce(s.most, l.most, o.most)
+        AND (d.ratio <> 'word_length' OR v >= coalesce(s.least, l.least, o.least))) AS inside
+    FROM long d
+    LEFT JOIN by_source s ON d.ratio = s.ratio AND d.lang IS NOT DISTINCT FROM s.lang
+        AND d.source IS NOT DISTINCT FROM s.source
+    LEFT JOIN by_language l ON d.ratio = l.ratio AND d.lang IS NOT DISTINCT FROM l.lang
+    LEFT JOIN overall o ON d.ratio = o.ratio
+    GROUP BY r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(inside, TRUE) AS kept
+FROM judged LEFT JOIN verdicts USING (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": LEAKS_SQL,
     "op5_chat_formatting": CHAT_SQL,
     "op7_minhash_near_dedup": NEAR_SQL,
+    "op8_quality_rules": QUALITY_RULES_SQL,
 }
