@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,12 @@ from hourlake.llm.tables import as_bytes, new_folder, stored, text_bytes
 LENGTH = 50
 TRIGGER = 16
 #: Bytes of text in one block, and for one bucket of blocks or of dictionary entries.
-BLOCK_BYTES = 1 << 21
-BUCKET_BYTES = 24 << 20
+BLOCK_BYTES = 1 << 20
+BUCKET_BYTES = 8 << 20
 #: Phrases of one trigger beyond which its suffixes are dealt out one by one.
 MANY = 20_000
 #: Bytes that are parsed at once.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 _STARTS = LENGTH - TRIGGER + 1
 _POSITION = np.uint64((1 << 21) - 1)
@@ -149,7 +149,8 @@ def _parse_segment(data: np.ndarray, begin: int, ends: np.ndarray) -> tuple[np.n
     new[1:] = (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1)
     starts = np.flatnonzero(new)
     first, last = at[starts], at[np.append(starts[1:], len(at)) - 1]
-    trigger = rolled[(least[starts] & _POSITION).astype(np.int64)]
+    # Least hashes are small; mixed once more they spread over all buckets.
+    trigger = mix(rolled[(least[starts] & _POSITION).astype(np.int64)] + np.uint64(1))
     owner = np.searchsorted(ends, first + begin, side="right")
     return trigger, hashes(first, last + LENGTH), first + begin, last + begin, owner
 
@@ -490,10 +491,18 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     Where a cut splits a character, its other bytes go as well. A null text stays null; no document
     goes, also if nothing of its text is left.
     """
-    found = with_removals(documents.withColumn("_null", F.col("text").isNull()))
-    out = found.withColumn("text", F.when(~F.col("_null"), F.col("_text")))
-    if "n_chars" in documents.columns:
-        length = F.char_length("text").cast(documents.schema["n_chars"].dataType)
-        n_chars = F.when(F.col("_n_removed") == 0, F.col("n_chars")).otherwise(length)
-        out = out.withColumn("n_chars", n_chars)
-    return out.select(*(F.col(f"`{c}`") for c in documents.columns))
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns if c != "text"), F.col("text").isNull().alias("_null"))
+    found = with_removals(documents.select("doc_id", "text", row.alias("_row")))
+    text = F.when(~F.col("_row._null"), F.col("_text"))
+    changed = F.col("_n_removed") > 0
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return text.alias(name)
+        value = F.col(f"_row.`{name}`")
+        if name == "n_chars":
+            length = F.char_length(text).cast(documents.schema[name].dataType)
+            return F.when(changed, length).otherwise(value).alias(name)
+        return value
+
+    return found.select(*map(column, documents.columns))
