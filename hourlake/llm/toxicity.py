@@ -24,7 +24,7 @@ BITS = 20
 #: Lengths in bytes of the word beginnings that are features beside the words.
 STEMS = (5, 6, 7, 8)
 #: Bounds of the sample to learn from: documents of either class, and bytes of a document in it.
-PER_CLASS = 4000
+PER_CLASS = 2000
 MAX_TRAIN_BYTES = 50_000
 #: L1 penalty, in pulls of one toxic document.
 PENALTY = 0.5
