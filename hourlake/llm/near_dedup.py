@@ -254,7 +254,11 @@ def _links(sketches: DataFrame, documents: DataFrame) -> DataFrame:
     several = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
     several = several.where("lo < hi").select("key")
     rest = stored(labelled.join(several, "key", "left_semi"), "band-members")
-    pairs = _pairs(rest, rest, F.lit(True))
+    # Each pair comes from the first of its common buckets only.
+    keys = rest.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+    rest = rest.join(keys.hint("merge"), "doc_id")
+    here = F.array_min(F.array_intersect("keys", "keys_other")) == F.col("key")
+    pairs = _pairs(rest, rest, (F.col("doc_id") < F.col("doc_id_other")) & here)
     pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     more = _confirmed(pairs, sets)
     return components(found.union(more))
