@@ -46,7 +46,8 @@ def test_held_out_documents_are_told_apart(spark, run, label, modulus, held):
 
 @pytest.mark.parametrize("run", [quality_model.quality_scores, toxicity.toxicity_scores])
 def test_awkward_rows_and_labels(spark, run):
-    texts, labels = labelled(spark, 60)
+    # Ids of their own, apart from those of the awkward rows.
+    texts, labels = (f.withColumn("doc_id", F.col("doc_id") + 1000) for f in labelled(spark, 60))
     broken = spark.createDataFrame(
         [(3, None, None), (None, 1, 1), (4, 7, 7)], "doc_id BIGINT, quality INT, toxic INT"
     )
