@@ -50,15 +50,15 @@ def remainder(column: str, modulus: int) -> Column:
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, max_bytes: int
 ) -> list[tuple[int, bytes, int]]:
-    """(doc_id, text bytes, label) of at most ``per_class`` documents of either class, chosen by a
-    hash of their id among the labelled rows where ``learn`` holds and whose text is not longer
-    than ``max_bytes``. Texts are whole. Bounded by 2 * per_class rows and so fit for the driver.
+    """(doc_id, text bytes, label) of at most ``per_class`` labelled rows of either class, chosen by
+    a hash of their id among those where ``learn`` holds. Texts are whole; those longer than
+    ``max_bytes`` aren't learned from. Bounded by 2 * per_class rows, so the chosen ids are fit to
+    be broadcast, and no text but theirs moves; repeated ids bring in a row each.
     """
     rows = labels.where(learn & F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("y"))
+    order: Sequence[Column] = (F.xxhash64("doc_id"), F.col("doc_id"))
+    negative, positive = (rows.where(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1))
     texts = documents.select("doc_id", as_bytes("text").alias("data"))
     texts = texts.where(F.length("data") <= max_bytes)
-    found = texts.join(rows, "doc_id")
-    # Of the texts only the chosen rows reach the driver: a top-k of each class by hash.
-    order: Sequence[Column] = (F.xxhash64("doc_id"), F.col("doc_id"), F.col("data"))
-    parts = [found.where(F.col("y") == y).orderBy(*order).limit(per_class).collect() for y in (0, 1)]
-    return sorted((r.doc_id, bytes(r.data), int(r.y)) for part in parts for r in part)
+    chosen = texts.join(F.broadcast(negative.union(positive)), "doc_id").collect()
+    return sorted((r.doc_id, bytes(r.data), int(r.y)) for r in chosen)
