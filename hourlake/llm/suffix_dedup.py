@@ -383,13 +383,21 @@ def _covered(block: Block, said: np.ndarray, buckets: int, answers: list[dict] |
     np.add.at(step, p.last[whole] + LENGTH, -1)
     found = OpenStrings.of(block, said, buckets)
     bounds = np.searchsorted(found.bucket, np.arange(buckets + 1))
+    goes = np.zeros(len(block.data), bool)
     for a in answers or []:
         part = slice(bounds[a["bucket"]], bounds[a["bucket"] + 1])
         sizes = found.last[part] - found.first[part] + 1
         starts = np.repeat(found.first[part], sizes) + _counting(sizes)
-        goes = starts[np.unpackbits(_unpack(a["data"])[0], count=len(starts)).astype(bool)]
-        np.add.at(step, goes, 1)
-        np.add.at(step, goes + LENGTH, -1)
+        goes[starts] = np.unpackbits(_unpack(a["data"])[0], count=len(starts)).astype(bool)
+    # An entry is asked about once; its document has the phrase at other places as well.
+    at = block.entries[block.entry]
+    again = np.flatnonzero(~whole & (said[block.entry] >= OPEN) & (at != np.arange(len(at))))
+    sizes = p.last[again] - p.first[again] + 1
+    count = _counting(sizes)
+    goes[np.repeat(p.first[again], sizes) + count] = goes[np.repeat(p.first[at[again]], sizes) + count]
+    starts = np.flatnonzero(goes)
+    np.add.at(step, starts, 1)
+    np.add.at(step, starts + LENGTH, -1)
     return np.cumsum(step[:-1]) > 0
 
 

@@ -53,6 +53,22 @@ def test_report_equals_brute_force(spark, many, monkeypatch):
     assert sum(w[2] > 0 for w in wanted) > 20
 
 
+@pytest.mark.parametrize("many", [20_000, 1])
+def test_phrase_again_in_its_document_loses_all_its_strings(spark, many, monkeypatch):
+    monkeypatch.setattr(op, "MANY", many)
+    line = prose(1, 20)
+    found = [
+        (1, prose(2, 20) + line + prose(3, 20), "en", "s", 1),
+        (2, "\n".join([line] * 6), "en", "s", 1),
+        # Rows with one id, each with the line twice and the same in between.
+        (3, line + prose(4, 9) + line + prose(4, 9) + line, "en", "s", 1),
+        (3, prose(4, 9) + line + prose(4, 9) + line, "en", "s", 1),
+    ]
+    wanted = brute([(i, t) for i, t, *_ in found])
+    assert rows(op.removal_report(documents(spark, found))) == wanted
+    assert wanted[1][2] == 6 * len(line)
+
+
 def test_very_long_text_is_parsed_in_segments(monkeypatch):
     data = np.frombuffer(LONG.encode(), np.uint8)
     whole = op.parse(data, np.array([len(data)]))
