@@ -7,14 +7,13 @@ phrase is what the stretches of one trigger cover together; neighbouring phrases
 phrases in a document is its parse. Repetitive text has few distinct phrases, so the work after
 parsing follows the dictionary and not the corpus:
 
-1. Dictionary entries are sorted by trigger, phrase and first document. All occurrences but those
-   in the first document of a phrase are repeats as a whole; nothing more is done with them. A
-   trigger with one phrase only is settled thereby.
+1. Dictionary entries are sorted by hashes of trigger and phrase and by first document. All
+   occurrences but those in the first document of a phrase are repeats as a whole; nothing more is
+   done with them. A trigger with one phrase only is settled thereby.
 2. Of phrases that share a trigger with another phrase, the suffixes of at least 50 bytes are sorted
-   by their first 50 bytes, and by the first document of their phrase. This is the part of the
-   suffix array of the dictionary in which order is still open; beyond 50 bytes it doesn't matter,
-   which is why a suffix never needs the parse to break ties. Each run of equal suffixes belongs to
-   its first document.
+   by their first 50 bytes, and by the first document of their phrase. No other suffix of the
+   dictionary is sorted; beyond 50 bytes order doesn't matter, which is why a suffix never needs the
+   parse to break ties. Each run of equal suffixes belongs to its first document.
 3. The parse carries both answers back to corpus order: each document learns which of its phrases,
    and which suffixes of its other phrases, start in an earlier document.
 
@@ -55,7 +54,6 @@ SEGMENT = 1 << 19
 
 _STARTS = LENGTH - TRIGGER + 1
 _POSITION = np.uint64((1 << 21) - 1)
-_OTHER = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LATE = np.iinfo(np.int64).max
 
 BLOCKS = T.StructType(
@@ -304,7 +302,7 @@ class OpenStrings:
         last = np.concatenate([p.last[whole], starts])
         document = np.concatenate([block.documents[whole], np.repeat(block.documents[many], sizes)])
         bucket = np.concatenate(
-            [_bucket(p.trigger[whole], buckets), _bucket(_string_hashes(block.data, starts)[0], buckets)]
+            [_bucket(p.trigger[whole], buckets), _bucket(_string_hashes(block.data, starts), buckets)]
         )
         order = np.argsort(bucket, kind="stable")
         return cls(first[order], last[order], document[order], bucket[order])
@@ -315,17 +313,32 @@ def _counting(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def _string_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of the 50 bytes from each start on; segments keep the arrays small."""
-    out = np.empty((2, len(starts)), np.uint64)
+def _string_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the 50 bytes from each start on; segments keep the arrays small."""
+    out = np.empty(len(starts), np.uint64)
     for begin in range(0, len(data), SEGMENT):
         mine = np.flatnonzero((starts >= begin) & (starts < begin + SEGMENT))
         if len(mine):
-            part = data[begin : begin + SEGMENT + LENGTH]
             at = starts[mine] - begin
-            out[0, mine] = RangeHash(part)(at, at + LENGTH)
-            out[1, mine] = RangeHash(part, _OTHER)(at, at + LENGTH)
-    return out[0], out[1]
+            out[mine] = RangeHash(data[begin : begin + SEGMENT + LENGTH])(at, at + LENGTH)
+    return out
+
+
+def _sorted_strings(data: np.ndarray, starts: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the 50-byte strings from each start on, by their bytes and then by document, and
+    which of them differ from the one before."""
+    # Eight bytes from any place on, as a number; nothing is copied.
+    words = np.ndarray(len(data) - 7, ">u8", np.ascontiguousarray(data), 0, (1,))
+    places = (0, 8, 16, 24, 32, 40, LENGTH - 8)
+    order = np.argsort(document, kind="stable")
+    for k in reversed(places):
+        order = order[np.argsort(words[starts[order] + k].astype(np.uint64), kind="stable")]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in places:
+        word = words[starts[order] + k]
+        new[1:] |= word[1:] != word[:-1]
+    return order, new
 
 
 def _strings_task(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -357,11 +370,7 @@ def _suffixes(key: tuple, table: pa.Table) -> pa.Table:
     strings = sizes - LENGTH + 1
     starts = np.repeat(np.cumsum(sizes) - sizes, strings) + _counting(strings)
     d = np.repeat(document, strings)
-    one, two = _string_hashes(data, starts)
-    order = np.lexsort((d, two, one))
-    new = np.ones(len(order), bool)
-    o, w = one[order], two[order]
-    new[1:] = (o[1:] != o[:-1]) | (w[1:] != w[:-1])
+    order, new = _sorted_strings(data, starts, d)
     least = d[order][np.flatnonzero(new)][np.cumsum(new) - 1]
     earlier = np.empty(len(order), np.uint8)
     earlier[order] = d[order] > least
@@ -445,7 +454,7 @@ def with_removals(documents: DataFrame) -> DataFrame:
     A byte goes if a 50-byte string over it also starts in a document with a smaller doc_id; strings
     never cross documents and are judged on the input. A null text counts as empty; texts of fewer
     than 50 bytes stay. Rows with one id don't repeat each other; a row without an id comes after
-    all others. Strings are compared by 128 bits of hash beside their trigger's bucket.
+    all others. Phrases are compared by hashes of them and of their trigger, strings by their bytes.
     """
     spark = documents.sparkSession
     buckets = max(1, -(-text_bytes(documents) // BUCKET_BYTES))

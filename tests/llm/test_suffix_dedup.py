@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import LONG, clashing, documents, prose, rows
 
@@ -69,6 +70,22 @@ def test_phrase_again_in_its_document_loses_all_its_strings(spark, many, monkeyp
     assert wanted[1][2] == 6 * len(line)
 
 
+def test_suffixes_are_told_apart_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(op, "_string_hashes", lambda data, starts: np.zeros((2, len(starts)), np.uint64))
+    texts = [b"a" * 60 + b"b", b"a" * 61, bytes(range(200, 250)) + b"a" * 50, b"b" * 50, b"a" * 49 + b"b"]
+    ids = np.array([7, 3, 9, 1, 8])
+    bits = []
+    for t, i in zip(texts, ids, strict=True):
+        for p in range(len(t) - 49):
+            bits.append(any(t[p : p + 50] in u for u, j in zip(texts, ids, strict=True) if j < i))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.uint32)
+    blob = op._pack(data, sizes, np.arange(5, dtype=np.uint32), ids)
+    asked = pa.Table.from_batches([op._entry_batch([(0, 1, blob)])])
+    answer = op._suffixes((pa.scalar(0),), asked).column("data")[0].as_py()
+    assert np.unpackbits(op._unpack(answer)[0], count=len(bits)).astype(bool).tolist() == bits
+
+
 def test_very_long_text_is_parsed_in_segments(monkeypatch):
     data = np.frombuffer(LONG.encode(), np.uint8)
     whole = op.parse(data, np.array([len(data)]))
