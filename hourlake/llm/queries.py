@@ -16,6 +16,7 @@ from hourlake.llm import (
     suffix_dedup,
     token_files,
     toxicity,
+    turn_repair,
     warc,
 )
 from hourlake.llm.tables import read_table
@@ -67,6 +68,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_report(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_token_files,
         op10_toxicity,
+        op13_turn_repair,
     )
 }
