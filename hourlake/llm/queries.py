@@ -11,6 +11,7 @@ from hourlake.llm import (
     decontaminate,
     near_dedup,
     packing,
+    periodic_runs,
     quality_model,
     quality_rules,
     suffix_dedup,
@@ -68,6 +69,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(read_table(spark, sf_dir, "documents"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair_report(read_table(spark, sf_dir, "conversations"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_token_files,
         op10_toxicity,
+        op12_periodic_runs,
         op13_turn_repair,
     )
 }
