@@ -18,6 +18,7 @@ from hourlake.llm import (
     token_files,
     toxicity,
     turn_repair,
+    url_templates,
     warc,
 )
 from hourlake.llm.tables import read_table
@@ -69,6 +70,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judged(read_table(spark, sf_dir, "pages"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(read_table(spark, sf_dir, "documents"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_token_files,
         op10_toxicity,
+        op11_url_templates,
         op12_periodic_runs,
         op13_turn_repair,
     )

@@ -197,9 +197,100 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged LEFT JOIN verdicts USING (r)
 """
 
+_WILD = """CASE WHEN {0} IS NULL THEN NULL WHEN {0} = '' THEN ''
+    WHEN regexp_full_match({0}, '[0-9]+') THEN '{{n}}' WHEN contains({0}, '.') THEN '*.*' ELSE '*' END"""
+_NEAR_SHARES = " AND ".join(
+    f"abs({f} / rows - first({f}) OVER size / first(rows) OVER size)"
+    " <= 1.3581015157406195::DOUBLE * (1 / sqrt(rows) + 1 / sqrt(first(rows) OVER size))"
+    for f in ("ended", "indexed", "numbered", "dotted", "allowed", "blocked")
+)
+
+
+def _level(d: int) -> str:
+    """One level of the url tree: urls with more than ``d`` segments get a branch, the others stay."""
+    return f"""
+children{d} AS (
+    SELECT host, node, segments[{d + 1}] AS segment, sum(n) AS c FROM tree{d} WHERE len(segments) > {d} GROUP BY ALL
+),
+named{d} AS (
+    SELECT t.*, CASE WHEN 10 * c >= total + 20 THEN segment ELSE {_WILD.format("segment")} END AS name
+    FROM tree{d} t
+    JOIN (SELECT *, sum(c) OVER (PARTITION BY host, node) AS total FROM children{d}) s
+        ON t.host = s.host AND t.node = s.node AND t.segments[{d + 1}] = s.segment
+),
+sums{d} AS (
+    SELECT host, node, name, sum(n) AS rows, sum(allowed) AS allowed, sum(blocked) AS blocked, max(purity) AS parent,
+           coalesce(sum(n) FILTER (following IS NULL), 0) AS ended, coalesce(sum(n) FILTER (following = ''), 0) AS indexed,
+           coalesce(sum(n) FILTER (following = '{{n}}'), 0) AS numbered,
+           coalesce(sum(n) FILTER (following = '*.*'), 0) AS dotted
+    FROM (SELECT *, {_WILD.format(f"segments[{d + 2}]")} AS following FROM named{d}) GROUP BY host, node, name
+),
+groups{d} AS (
+    SELECT *, CASE WHEN {_NEAR_SHARES} THEN '' ELSE '/' || name END AS g FROM sums{d}
+    WINDOW size AS (PARTITION BY host, node ORDER BY rows DESC, name ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+),
+branches{d} AS (
+    SELECT host, node, unnest(names) AS name,
+           CASE WHEN len(names) > 1 THEN '(' || array_to_string(names, '|') || ')' ELSE names[1] END AS branch, purity
+    FROM (
+        SELECT host, node, list(name ORDER BY name) AS names,
+               (sum(blocked) + 5 * max(parent)) / (sum(allowed) + sum(blocked) + 5) AS purity
+        FROM groups{d} GROUP BY host, node, g
+    )
+),
+tree{d + 1} AS (
+    SELECT t.host, t.path, segments, n, allowed, blocked, t.node || '/' || branch AS node, b.purity AS purity
+    FROM named{d} t JOIN branches{d} b ON t.host = b.host AND t.node = b.node AND t.name = b.name
+    UNION ALL SELECT * FROM tree{d} WHERE len(segments) <= {d}
+)"""
+
+
+#: The template tree of all hosts, level by level.
+URL_SQL = rf"""
+WITH rules(verdict, host, path) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+           ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+),
+parts AS (
+    SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+    FROM (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages)
+),
+ruled AS (
+    SELECT u.host, u.path, n, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+           arg_max(r.verdict, length(r.host || r.path)) AS verdict
+    FROM (SELECT host, path, count(*) AS n FROM parts GROUP BY ALL) u
+    LEFT JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+    GROUP BY ALL
+),
+urls AS (
+    SELECT host, path, n, CASE WHEN verdict = 'allow' THEN n ELSE 0 END AS allowed,
+           CASE WHEN verdict = 'block' THEN n ELSE 0 END AS blocked,
+           CASE WHEN len(s) > 5 THEN s[:4] || [array_to_string(s[5:], '/')] ELSE s END AS segments
+    FROM (SELECT *, string_split(path, '/')[2:] AS s FROM ruled)
+),
+overall AS (
+    SELECT (sum(blocked) + 5 * 0.5::DOUBLE) / (sum(allowed) + sum(blocked) + 5) AS purity FROM urls
+),
+hosts AS (
+    SELECT host, (sum(blocked) + 5 * max(o.purity)) / (sum(allowed) + sum(blocked) + 5) AS purity
+    FROM urls, overall o GROUP BY host
+),
+tree0 AS (
+    SELECT u.host, path, segments, n, allowed, blocked, '' AS node, h.purity FROM urls u JOIN hosts h ON u.host = h.host
+),{",".join(map(_level, range(5)))}
+SELECT page_id, p.host, p.path, rule,
+       coalesce(verdict, CASE WHEN purity > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, node AS template, purity
+FROM parts p
+JOIN ruled r ON p.host = r.host AND p.path = r.path
+JOIN tree5 t ON p.host = t.host AND p.path = t.path
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": LEAKS_SQL,
     "op5_chat_formatting": CHAT_SQL,
     "op7_minhash_near_dedup": NEAR_SQL,
     "op8_quality_rules": QUALITY_RULES_SQL,
+    "op11_url_templates": URL_SQL,
 }
