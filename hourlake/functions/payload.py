@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +26,21 @@ def _object(parsed: Column, path: str) -> Column:
     return F.try_variant_get(parsed, path, "map<string,variant>")
 
 
-def _list(parsed: Column, path: str) -> Column:
-    """The JSON list at the path, NULL where there is something else."""
-    return F.try_variant_get(parsed, path, "array<variant>")
+def _length(parsed: Column, path: str) -> Column:
+    """Length of the JSON list at the path, NULL where there is something else."""
+    return F.array_size(F.try_variant_get(parsed, path, "array<variant>"))
+
+
+def _texts(parsed: Column, path: str) -> Column:
+    """The JSON list at the path with its elements as texts."""
+    return F.try_variant_get(parsed, path, "array<string>")
+
+
+def _path(metric: str) -> str:
+    quote = '"' if '"' not in metric else "'"
+    if quote in metric:
+        raise ValueError(f"metric {metric!r} has both kinds of quotes")
+    return f"$.hourly[{quote}{metric}{quote}]"
 
 
 def _is_true(parsed: Column, path: str) -> Column:
@@ -47,55 +60,69 @@ def _error_text(parsed: Column) -> Column:
     return F.concat(F.lit(API_ERROR), given)
 
 
-def with_reject_reason(
+def with_parsed_payload(
     payloads: DataFrame, payload: str = "payload", spec: HourlySpec = DEFAULT_SPEC
 ) -> DataFrame:
-    """Add ``reject_reason``: the first rule the JSON text breaks, NULL when it is accepted.
+    """Add ``reject_reason``, the first rule the JSON text breaks, NULL when it is accepted; and
+    ``raw_payload``, the part that is read, NULL where the text is refused.
+
+    The text is parsed once per row. Text that is not JSON at all counts as "not an object"; of a
+    repeated key the last value counts. What isn't a number is a missing reading.
 
-    Text that is not JSON at all counts as "not an object"; of a repeated key the last value
-    counts. The text is parsed once per row; the later tests look into the parsed value.
+    The rules go by the lists' lengths, so that no list is copied for them. A list found below
+    ``hourly`` shows that there are objects above it, so those are looked at only where a list is missing.
     """
-    parsed = F.col("parsed_payload")
-    hourly = F.col("hourly_section")
-    times = F.col("time_list")
-    required = F.array(*map(F.lit, sorted(spec.metrics)))
-    missing = F.array_except(required, F.map_keys(hourly))
+    parsed, times = F.col("parsed_payload"), F.col("time_length")
+    lengths = {m: F.col(f"length_{i}") for i, m in enumerate(spec.metrics)}
+
+    def missing(metric: str) -> Column:
+        there = F.try_variant_get(parsed, _path(metric), "variant").isNotNull()
+        return lengths[metric].isNull() & ~there
 
+    names = F.concat_ws("', '", *(F.when(missing(m), F.lit(m)) for m in sorted(spec.metrics)))
     reason = (
-        F.when(_object(parsed, "$").isNull(), F.lit(NOT_AN_OBJECT))
+        F.when(times.isNull() & _object(parsed, "$").isNull(), F.lit(NOT_AN_OBJECT))
         .when(_is_true(parsed, "$.error"), _error_text(parsed))
-        .when(hourly.isNull(), F.lit(NO_HOURLY_SECTION))
-        .when(times.isNull() | (F.size(times) == 0), F.lit(NO_TIME_LIST))
+        .when(times.isNull() & _object(parsed, "$.hourly").isNull(), F.lit(NO_HOURLY_SECTION))
+        .when(times.isNull() | (times == 0), F.lit(NO_TIME_LIST))
         .when(
-            F.size(missing) > 0,
-            F.concat(
-                F.lit(MISSING_VARIABLES), F.lit("['"), F.array_join(missing, "', '"), F.lit("']")
-            ),
+            reduce(or_, (missing(m) for m in spec.metrics)),
+            F.concat(F.lit(MISSING_VARIABLES), F.lit("['"), names, F.lit("']")),
         )
     )
 
     def variable_rules(chain: Column, metric: str) -> Column:
-        values = _list(F.try_element_at(hourly, F.lit(metric)), "$")
+        length = lengths[metric]
         uneven = F.concat(
             F.lit(f"Hourly variable '{metric}' has "),
-            F.size(values).cast("string"),
+            length.cast("string"),
             F.lit(" values; expected "),
-            F.size(times).cast("string"),
+            times.cast("string"),
+        )
+        return chain.when(length.isNull(), F.lit(f"Hourly variable '{metric}' must be a list")).when(
+            length != times, uneven
         )
-        return chain.when(
-            values.isNull(), F.lit(f"Hourly variable '{metric}' must be a list")
-        ).when(F.size(values) != F.size(times), uneven)
 
+    readings = (
+        F.transform(_texts(parsed, _path(m)), lambda x: x.try_cast("double")).alias(m) for m in spec.metrics
+    )
+    typed = F.struct(F.struct(_texts(parsed, "$.hourly.time").alias("time"), *readings).alias("hourly"))
     # The setting is read when the expression is resolved, which is at once.
     with setting(payloads.sparkSession, "spark.sql.variant.allowDuplicateKeys", "true"):
         with_parsed = payloads.withColumn("parsed_payload", F.try_parse_json(payload))
     return (
         with_parsed.withColumns(
-            {
-                "hourly_section": _object(parsed, "$.hourly"),
-                "time_list": _list(parsed, "$.hourly.time"),
-            }
+            {"time_length": _length(parsed, "$.hourly.time")}
+            | {f"length_{i}": _length(parsed, _path(m)) for i, m in enumerate(spec.metrics)}
         )
         .withColumn("reject_reason", reduce(variable_rules, spec.metrics, reason))
-        .drop("parsed_payload", "hourly_section", "time_list")
+        .withColumn("raw_payload", F.when(F.col("reject_reason").isNull(), typed))
+        .drop("parsed_payload", "time_length", *(f"length_{i}" for i in range(len(lengths))))
     )
+
+
+def with_reject_reason(
+    payloads: DataFrame, payload: str = "payload", spec: HourlySpec = DEFAULT_SPEC
+) -> DataFrame:
+    """``with_parsed_payload`` without what the parse found."""
+    return with_parsed_payload(payloads, payload, spec).drop("raw_payload")

@@ -84,17 +84,22 @@ def classify_attempts(attempts: DataFrame) -> DataFrame:
 def decisive_attempts(attempts: DataFrame, *carried: str) -> DataFrame:
     """The attempt at which each city of each run stopped, with further columns of the log.
 
-    That is the first success or final failure, or else the last attempt. The whole log is folded,
-    whatever numbers it holds; numbers beyond the limit are for
+    That is the first success or final failure, or else the last attempt. Of several rows with that
+    number a success counts before a failure; then the first by error kind, HTTP code, message and city
+    (NULL first) does, and at last by a hash of what is carried, so that the order of the log never
+    matters. The whole log is folded, whatever numbers it holds; numbers beyond the limit are for
     ``gates.check_attempt_limit`` to refuse. The aggregate keeps one attempt per city, so it
     combines on the map side whatever the length of the log.
     """
-    attempt = F.col("attempt")
+    attempt, known = F.col("attempt"), F.col("attempt").isNotNull()
     stops = F.col("failure_class") != "retryable"
     state = F.struct("attempt", "ok", "city", "error_message", *carried)
+    ties = [~F.col("ok"), "error_kind", "http_code", "error_message", "city"]
+    if carried:
+        ties.append(F.xxhash64(*carried))
     decisive = F.coalesce(
-        F.min_by(state, F.when(stops, attempt)),
-        F.max_by(state, attempt),
+        F.min_by(state, F.when(stops & known, F.struct(attempt, *ties))),
+        F.min_by(state, F.when(known, F.struct(-attempt, *ties))),
     )
     return (
         classify_attempts(attempts)

@@ -1,12 +1,12 @@
 """Latest record per measurement key.
 
-Both forms combine on the map side before the shuffle, so one key with a huge number of
+All forms combine on the map side before the shuffle, so one key with a huge number of
 copies sends at most one row per map task to the task that owns it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourlake import schemas
@@ -62,6 +62,39 @@ def deduplicate(checked: DataFrame) -> DataFrame:
     return latest_valid_rows(checked).unionByName(invalid_timestamp_rows(checked))
 
 
+def latest_and_set_aside(checked: DataFrame) -> DataFrame:
+    """The rows of ``deduplicate`` from one scan and one shuffle, with ``record_count``.
+
+    ``checked`` has the ``position`` of each row in its document. A row without a valid timestamp has all its
+    columns and its position as a further part of the key, so that it stands alone; where whole documents
+    are repeated its equals are counted and told apart again after the shuffle. Valid rows have no such
+    part, and one of each key is left, with the number there was.
+    """
+    valid, extra = "is_valid_measurement_timestamp", ("position", "is_valid_measurement_timestamp")
+    carried = [c for c in checked.columns if c not in (*MEASUREMENT_KEY, *extra)]
+    recency = F.struct("ingested_at_utc", "run_id")
+    alone = F.when(~F.col(valid), F.struct(*carried, "position"))
+    is_valid = F.col("set_aside").isNull()
+    rows = (
+        checked.withColumn("set_aside", alone)
+        .groupBy(*MEASUREMENT_KEY, "set_aside")
+        .agg(
+            F.max_by(F.struct(*carried), F.when(is_valid, recency)).alias("latest"),
+            F.count("*").alias("record_count"),
+        )
+    )
+
+    def column(name: str) -> Column:
+        return F.coalesce(f"latest.{name}", f"set_aside.{name}").alias(name) if name in carried else F.col(name)
+
+    copies = F.when(is_valid, 1).otherwise(F.col("record_count"))
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies))).select(
+        *(column(c) for c in checked.columns if c not in extra),
+        is_valid.alias(valid),
+        F.when(is_valid, F.col("record_count")).alias("record_count"),
+    )
+
+
 def silver_rows(deduplicated: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     """The persisted columns in their fixed order."""
     return deduplicated.select(*schemas.silver(spec))

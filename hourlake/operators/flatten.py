@@ -60,6 +60,11 @@ def unnest_equal_arrays(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> Dat
     when all arrays are present and equally long, and lets the optimizer drop the arrays of
     readings that nothing downstream asks for, which it cannot do inside a zipped struct.
     """
+    return unnest_with_positions(flat, spec).drop("position")
+
+
+def unnest_with_positions(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """``unnest_equal_arrays`` with the ``position`` of each row in its document."""
     positions = flat.select(
         "*", F.posexplode("time_array").alias("position", "measurement_timestamp_raw")
     )
@@ -67,4 +72,5 @@ def unnest_equal_arrays(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> Dat
         *DOCUMENT_PATHS,
         "measurement_timestamp_raw",
         *(F.get(array_column(m), F.col("position")).alias(m) for m in spec.metrics),
+        "position",
     )

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake import schemas
-from hourlake.functions.payload import with_reject_reason
+from hourlake.functions.payload import with_parsed_payload
 from hourlake.operators import gates
 from hourlake.operators.accounting import (
     build_documents,
@@ -15,14 +14,10 @@ from hourlake.operators.accounting import (
     run_city_lists,
     run_summary,
 )
+from hourlake.sources.publish import live_folders
+from hourlake.sources.readers import read_run_summaries
 from hourlake.sources.session import utc_session
-from hourlake.sources.writers import (
-    append_city_lists,
-    append_documents,
-    append_run_summaries,
-    exists,
-    work_folder,
-)
+from hourlake.sources.writers import Batch, document_batch, summary_batch, work_folder
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 
@@ -31,13 +26,14 @@ def judge_responses(responses: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> Da
 
     ``responses`` has ``run_id, city_id, city, attempt, error_kind, http_code, error_message,
     payload``. An attempt without an error kind brought a payload, and succeeded if the
-    payload passes the structure check; else it is a validation failure.
+    payload passes the structure check; else it is a validation failure. ``raw_payload`` is
+    what the check's parse found in it.
     """
     answered = F.col("error_kind").isNull()
     reason, message, kind = map(F.col, ("reject_reason", "error_message", "error_kind"))
     refused = answered & reason.isNotNull()
     return (
-        with_reject_reason(responses, "payload", spec)
+        with_parsed_payload(responses, "payload", spec)
         .withColumns(
             {
                 "ok": answered & reason.isNull(),
@@ -49,24 +45,6 @@ def judge_responses(responses: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> Da
     )
 
 
-def parsed_payloads(decisive: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
-    """``raw_payload`` out of the text ``payload``, which stays as ``payload_text``.
-
-    Readings are cast one by one: what isn't a number is a missing reading, and the others stay.
-    """
-    hourly = F.col("parsed.hourly")
-    readings = (
-        F.transform(hourly[m], lambda x: x.try_cast("double")).alias(m) for m in spec.metrics
-    )
-    typed = F.struct(F.struct(hourly["time"].alias("time"), *readings).alias("hourly"))
-    return (
-        decisive.withColumnRenamed("payload", "payload_text")
-        .withColumn("parsed", F.from_json("payload_text", schemas.payload_texts(spec)))
-        .withColumn("raw_payload", typed)
-        .drop("parsed")
-    )
-
-
 def accepted_documents(
     cities: DataFrame,
     decisive: DataFrame,
@@ -74,8 +52,8 @@ def accepted_documents(
     source: str,
     spec: HourlySpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Raw documents of the cities whose decisive attempt succeeded: one for each."""
-    accepted = parsed_payloads(decisive.filter("ok").drop("city"), spec)
+    """Raw documents of the cities whose decisive attempt succeeded: one for each, with the response's text."""
+    accepted = decisive.filter("ok").drop("city").withColumnRenamed("payload", "payload_text")
     return build_documents(cities, accepted, endpoint, source, spec)
 
 
@@ -91,30 +69,48 @@ def account_runs(
     source: str,
     spec: HourlySpec = DEFAULT_SPEC,
 ) -> None:
-    """Append the documents, city lists and run summaries of the logged runs.
+    """Append the documents, city lists and run summaries of the logged runs, once.
 
     The log is judged once: the attempt at which each city stopped goes to the work folder, and
     everything is made from there. Run ids must be new and attempt numbers within the limit,
-    which is checked before anything is appended. Documents of unlisted cities are stored like
-    any other, and refused by ``gates.check_listed_cities`` where that is wanted. Summaries are
-    written last, so a run that has one has all its documents. Should the job fail between the
-    appends, remove the documents and lists of its runs before starting it again, or they will be
-    stored twice.
+    which is checked before anything is written. Documents of unlisted cities are stored like
+    any other, and refused by ``gates.check_listed_cities`` where that is wanted.
+
+    Rows are written to folders that nobody reads, and published when all are there: documents, lists, and
+    summaries last, each under a key made of the run ids. A job that failed at any point is started again as
+    it was: what it had published is replaced by the same, what it had only written counts for nothing. Runs
+    of a batch that was interrupted between its publications have to be started again before others.
     """
     with utc_session(spark, spec.timezone):
+        key = batch_key(runs)
+        summarised = live_folders(spark, summaries_path)
         run_ids = runs.select("run_id")
-        if exists(spark, summaries_path):
-            known = spark.read.schema(schemas.RUN_SUMMARY).parquet(summaries_path)
+        if summarised:
+            known = read_run_summaries(spark, summaries_path)
             run_ids = run_ids.unionByName(known.select("run_id"))
         gates.check_no_duplicate_keys(run_ids, ["run_id"], "Run summaries")
         gates.check_attempt_limit(responses, spec)
+        open_batches = live_folders(spark, documents_path).keys() - summarised.keys() - {key}
+        if open_batches:
+            raise RuntimeError(f"batches {sorted(open_batches)} were interrupted; start their runs again first")
 
-        carried = ("payload", "run_started_at_utc", "ingested_at_utc")
+        carried = ("payload", "raw_payload", "run_started_at_utc", "ingested_at_utc")
         judged = decisive_attempts(judge_responses(responses, spec), *carried)
         staged = f"{work_folder(spark)}/decisive"
         judged.write.parquet(staged)
         decisive = spark.read.schema(judged.schema).parquet(staged)
         outcomes = outcomes_of(decisive)
-        append_documents(accepted_documents(cities, decisive, endpoint, source, spec), documents_path)
-        append_city_lists(run_city_lists(outcomes), city_lists_path)
-        append_run_summaries(run_summary(runs, outcomes, spec), summaries_path)
+        batches = [
+            document_batch(accepted_documents(cities, decisive, endpoint, source, spec), documents_path, key),
+            Batch(city_lists_path, key).write(run_city_lists(outcomes)),
+            summary_batch(run_summary(runs, outcomes, spec), summaries_path, key),
+        ]
+        for batch in batches:
+            batch.publish(spark)
+
+
+def batch_key(runs: DataFrame) -> str:
+    """A key for a set of runs, the same in whatever order they come."""
+    two = (F.xxhash64("run_id"), F.xxhash64(F.lit("second"), "run_id"))
+    sums = runs.agg(F.count("*"), *(F.coalesce(F.bit_xor(h), F.lit(0)) for h in two)).first()
+    return "-".join(f"{n % 2**64:x}" for n in sums)

@@ -4,31 +4,31 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.functions.validity import has_length_issue
 from hourlake.operators import gates
-from hourlake.operators.dedupe import latest_valid_rows_with_counts, silver_rows
-from hourlake.operators.flatten import flatten_documents, unnest_equal_arrays
+from hourlake.operators.dedupe import latest_and_set_aside, silver_rows
+from hourlake.operators.flatten import flatten_documents, unnest_equal_arrays, unnest_with_positions
 from hourlake.operators.quality import (
     add_metric_flags,
     add_timestamp,
     add_timestamp_flag,
     add_validity,
-    invalid_timestamp_rows,
 )
 from hourlake.schemas import MEASUREMENT_KEY
 from hourlake.sources.readers import read_silver
 from hourlake.sources.session import utc_session
-from hourlake.sources.writers import replace_table
+from hourlake.sources.writers import replace_table, work_folder
 from hourlake.spec import DEFAULT_SPEC, HourlySpec, array_column
 
 
 @dataclass(frozen=True)
 class SilverReport:
     row_count: int
-    validity_census: list[Row]
+    #: Rows per combination of flags, as a table.
+    validity_census: DataFrame
     duplicate_key_groups: int
     redundant_rows: int | None
     max_records_per_key: int | None
@@ -44,6 +44,22 @@ def timed_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) ->
     )
 
 
+def deduplicated_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """Silver rows with ``record_count``, out of documents that passed the length gate: one scan of the
+    documents and one shuffle of their rows.
+
+    Flags of readings follow from the readings, so they need not go through the shuffle.
+    """
+    return (
+        documents.transform(flatten_documents, spec)
+        .transform(unnest_with_positions, spec)
+        .transform(add_timestamp, spec)
+        .transform(add_timestamp_flag)
+        .transform(latest_and_set_aside)
+        .transform(add_metric_flags, spec)
+    )
+
+
 def checked_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     """Measurement rows with all validity columns."""
     return documents.transform(timed_measurements, spec).transform(add_metric_flags, spec)
@@ -90,48 +106,39 @@ def _build_silver(
     """Replace the Silver table at ``path`` with what ``documents`` hold.
 
     Pass one scans the arrays only and settles the length gate and the census. Pass two
-    deduplicates, counting rows and duplicates on the way to the staging files. Pass three
-    reads the keys back and checks row count and uniqueness before the table is replaced.
-    The counts of pass two are taken after the last shuffle, where a lost executor cannot
-    make Spark count a row twice. They also have to add up to the census: a source that
+    deduplicates and sets rows without a valid timestamp aside, counting rows and duplicates on the way
+    to the new files. Then the keys are read back, and row count and uniqueness checked, before the
+    table is replaced. The counts of pass two are taken after the last shuffle, where a lost executor
+    cannot make Spark count a row twice. They also have to add up to the census: a source that
     changed in between would have got past the length gate.
     """
-    flat = flatten_documents(documents, spec)
-    profile = profile_documents(flat, spec).collect()  # at most 2 ** (metrics + 1) rows
-    gates.require_no_length_issues(sum(row["length_issues"] for row in profile))
-    valid, invalid = (
-        sum(row["count"] for row in profile if row["is_valid_measurement_timestamp"] is flag)
-        for flag in (True, False)
-    )
+    census = f"{work_folder(spark)}/census"
+    profile_documents(flatten_documents(documents, spec), spec).write.parquet(census)
+    profile = spark.read.parquet(census)
+    is_valid, count = F.col("is_valid_measurement_timestamp"), F.col("count")
+    sums = profile.agg(
+        F.coalesce(F.sum("length_issues"), F.lit(0)).alias("issues"),
+        F.coalesce(F.sum(F.when(is_valid, count)), F.lit(0)).alias("valid"),
+        F.coalesce(F.sum(F.when(~is_valid, count)), F.lit(0)).alias("set_aside"),
+    ).first()
+    gates.require_no_length_issues(sums["issues"])
 
-    # Flags of readings follow from the readings, so they need not go through the shuffle.
-    timed = timed_measurements(documents, spec)
     copies = F.col("record_count")
     duplicated = F.when(copies > 1, copies)
-    deduplicated, written = Observation(), Observation()
-    rows = (
-        latest_valid_rows_with_counts(timed)
-        .observe(
-            deduplicated,
-            F.coalesce(F.sum(copies), F.lit(0)).alias("valid_rows"),
-            F.count(duplicated).alias("duplicate_key_groups"),
-            F.sum(duplicated - 1).alias("redundant_rows"),
-            F.max(duplicated).alias("max_records_per_key"),
-        )
-        .drop("record_count")
-    )
-    if invalid:
-        # Without rebalancing every scan task would write its few invalid rows to a file.
-        set_aside = invalid_timestamp_rows(timed).hint("rebalance", "run_id", "city_id")
-        rows = rows.unionByName(set_aside)
-    rows = (
-        rows.transform(add_metric_flags, spec)
-        .transform(silver_rows, spec)
-        .observe(written, F.count("*").alias("row_count"))
+    written = Observation()
+    rows = deduplicated_measurements(documents, spec).observe(
+        written,
+        F.count("*").alias("row_count"),
+        F.count_if(copies.isNull()).alias("set_aside"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("valid"),
+        F.count(duplicated).alias("duplicate_key_groups"),
+        F.sum(duplicated - 1).alias("redundant_rows"),
+        F.max(duplicated).alias("max_records_per_key"),
     )
 
     def check(staging: str) -> None:
-        gates.check_row_counts(valid, deduplicated.get["valid_rows"], "Silver source")
+        for kind in ("valid", "set_aside"):
+            gates.check_row_counts(sums[kind], written.get[kind], "Silver source")
         gates.check_keyed_table(
             read_silver(spark, staging, spec),
             MEASUREMENT_KEY,
@@ -140,11 +147,11 @@ def _build_silver(
             unique_where=F.col("is_valid_measurement_timestamp"),
         )
 
-    replace_table(rows, path, check)
+    replace_table(silver_rows(rows, spec), path, check)
     return SilverReport(
         row_count=written.get["row_count"],
-        validity_census=[row for row in profile if row["count"] > 0],
-        duplicate_key_groups=deduplicated.get["duplicate_key_groups"],
-        redundant_rows=deduplicated.get["redundant_rows"],
-        max_records_per_key=deduplicated.get["max_records_per_key"],
+        validity_census=profile.filter("count > 0").drop("length_issues"),
+        duplicate_key_groups=written.get["duplicate_key_groups"],
+        redundant_rows=written.get["redundant_rows"],
+        max_records_per_key=written.get["max_records_per_key"],
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake import schemas
+from hourlake.operators.accounting import documents_of_run, newest_run
+from hourlake.sources.publish import DATA, file_system, is_table, live_folders
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 # What a rejected city configuration reports.
@@ -14,6 +16,24 @@ EMPTY_LIST = "City configuration list must not be empty"
 # End of fixed values.
 
 
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What a table holds now; a folder that isn't a published table is read as it is.
+
+    The folders that count are looked up once: the frame stays on them, whatever is published later.
+    """
+    reader = spark.read.schema(schema)
+    if not is_table(spark, path):
+        return reader.parquet(path)
+    return reader.option("basePath", path).parquet(*_published(spark, path)).drop(DATA)
+
+
+def _published(spark: SparkSession, path: str) -> list[str]:
+    folders = list(live_folders(spark, path).values())
+    if not folders:
+        raise FileNotFoundError(f"nothing has been published to {path}")
+    return folders
+
+
 def read_documents(
     spark: SparkSession,
     path: str | None = None,
@@ -21,18 +41,71 @@ def read_documents(
     spec: HourlySpec = DEFAULT_SPEC,
     **options: str,
 ) -> DataFrame:
-    """Raw documents from files, or from any connector on the class path via ``fmt``."""
-    reader = spark.read.format(fmt).schema(schemas.raw_document(spec)).options(**options)
+    """Raw documents from a table or files, or from any connector on the class path via ``fmt``.
+
+    Those of a table also have ``run_day``, the day on which their run started and by which they are stored.
+    """
+    schema = schemas.raw_document(spec)
+    if fmt == "parquet" and path and is_table(spark, path):
+        return read_table(spark, path, f"{schema}, run_day DATE")
+    reader = spark.read.format(fmt).schema(schema).options(**options)
     return reader.load(path) if path else reader.load()
 
 
+def read_run_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """Run summaries, with ``completed_day``, the day by which they are stored."""
+    return read_table(spark, path, f"{schemas.RUN_SUMMARY}, completed_day DATE")
+
+
+def read_city_lists(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path, schemas.RUN_CITIES)
+
+
+def stored_documents_of_run(
+    spark: SparkSession, documents_path: str, summaries_path: str, run_id: str, spec: HourlySpec = DEFAULT_SPEC
+) -> DataFrame:
+    """What one run stored. The run's header tells the day, and only documents of that day are read; a run
+    without a header has stored nothing that counts."""
+    started = F.to_date("run_started_at_utc")
+    days = read_run_summaries(spark, summaries_path).filter(F.col("run_id") == run_id).select(started)
+    header = days.first()
+    documents = read_documents(spark, documents_path, spec=spec)
+    day = F.lit(header[0] if header else None).cast("date")
+    on_day = F.col("run_day").eqNullSafe(day) if header else F.lit(False)
+    return documents_of_run(documents.filter(on_day), run_id)
+
+
+def newest_stored_run(spark: SparkSession, summaries_path: str) -> DataFrame:
+    """``newest_run`` of the stored summaries, of which only those of the newest day are read: the names of
+    the folders tell that day."""
+    summaries = read_run_summaries(spark, summaries_path)
+    days = _partition_days(spark, summaries_path, "completed_day")
+    if days:
+        newest = F.lit(max(days)).cast("date")
+        summaries = summaries.filter(F.col("completed_day") == newest)
+    return newest_run(summaries.drop("completed_day"))
+
+
+def _partition_days(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The days of a table's partitions, from the names of folders; none for rows without a day."""
+    found = []
+    for folder in live_folders(spark, path).values():
+        files, location = file_system(spark, folder)
+        names = (status.getPath().getName() for status in files.listStatus(location))
+        days = (name.removeprefix(f"{column}=") for name in names if name.startswith(f"{column}="))
+        found += [day for day in days if day[:1].isdigit()]
+    return found
+
+
 def read_silver(spark: SparkSession, path: str, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
-    return spark.read.schema(schemas.ddl(schemas.silver(spec))).parquet(path)
+    return read_table(spark, path, schemas.ddl(schemas.silver(spec)))
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Daily rows as written; the schema gate compares what the files say."""
-    return spark.read.parquet(path)
+    if not is_table(spark, path):
+        return spark.read.parquet(path)
+    return spark.read.option("basePath", path).parquet(*_published(spark, path)).drop(DATA)
 
 
 def city_configuration_issue(text: str = "value") -> Column:

@@ -1,4 +1,4 @@
-"""Writing tables: appends, and overwrites that are checked before they take effect."""
+"""Writing tables: batches that are appended once, and overwrites that are checked before they take effect."""
 
 from __future__ import annotations
 
@@ -6,29 +6,80 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hourlake.sources.publish import begin, new_folder, publish
 
 # Documents grow manyfold when exploded, so they are stored in small row groups: a scan task
 # then starts from a few megabytes instead of a few gigabytes of measurements.
 DOCUMENT_ROW_GROUP_BYTES = 16 * 1024 * 1024
+#: The key of tables that are replaced as a whole.
+WHOLE = "table"
+
+
+class Batch:
+    """Rows that are to be in a table once, whatever number of times their job was started.
+
+    ``write`` puts them into a data folder that no reader looks at; ``publish`` makes them the batch's rows,
+    in place of what an earlier start may have published under the same key.
+    """
+
+    def __init__(self, path: str, key: str | None = None) -> None:
+        self.path, self.key, self.folder = path, key or uuid.uuid4().hex, new_folder(path)
+
+    def write(self, frame: DataFrame, partition: str | None = None, **options: str) -> Batch:
+        """Write the rows, in folders by the column ``partition`` if there is one. Adaptive execution splits a
+        hot value of it and brings small ones together, so that files are neither huge nor many."""
+        begin(frame.sparkSession, self.path)
+        if partition:
+            frame = frame.hint("rebalance", partition)
+        writer = frame.write.options(**options)
+        (writer.partitionBy(partition) if partition else writer).parquet(self.folder)
+        return self
+
+    def publish(self, spark: SparkSession) -> None:
+        publish(spark, self.path, {self.key: self.folder})
+
+
+def document_batch(documents: DataFrame, path: str, key: str | None = None, **options: str) -> Batch:
+    """Write documents by the day on which their run started, without publishing them."""
+    options = {"parquet.block.size": str(DOCUMENT_ROW_GROUP_BYTES)} | options
+    started = F.col("ingestion_metadata.run_started_at_utc")
+    return Batch(path, key).write(documents.withColumn("run_day", F.to_date(started)), "run_day", **options)
+
+
+def summary_batch(summaries: DataFrame, path: str, key: str | None = None, **options: str) -> Batch:
+    """Write run summaries by the day on which their run was completed, without publishing them."""
+    day = F.to_date("run_completed_at_utc")
+    return Batch(path, key).write(summaries.withColumn("completed_day", day), "completed_day", **options)
 
 
 def append_documents(
-    documents: DataFrame, path: str | None = None, fmt: str = "parquet", **options: str
+    documents: DataFrame, path: str | None = None, fmt: str = "parquet", batch: str | None = None, **options: str
 ) -> None:
-    options = {"parquet.block.size": str(DOCUMENT_ROW_GROUP_BYTES)} | options
-    _append(documents, path, fmt, options)
+    """Add documents to a table of Parquet files, once for each ``batch`` key; or through a connector."""
+    if fmt == "parquet":
+        document_batch(documents, path, batch, **options).publish(documents.sparkSession)
+    else:
+        _append(documents, path, fmt, options)
 
 
 def append_run_summaries(
-    summaries: DataFrame, path: str | None = None, fmt: str = "parquet", **options: str
+    summaries: DataFrame, path: str | None = None, fmt: str = "parquet", batch: str | None = None, **options: str
 ) -> None:
-    _append(summaries, path, fmt, options)
+    if fmt == "parquet":
+        summary_batch(summaries, path, batch, **options).publish(summaries.sparkSession)
+    else:
+        _append(summaries, path, fmt, options)
 
 
 def append_city_lists(
-    lists: DataFrame, path: str | None = None, fmt: str = "parquet", **options: str
+    lists: DataFrame, path: str | None = None, fmt: str = "parquet", batch: str | None = None, **options: str
 ) -> None:
-    _append(lists, path, fmt, options)
+    if fmt == "parquet":
+        Batch(path, batch).write(lists, **options).publish(lists.sparkSession)
+    else:
+        _append(lists, path, fmt, options)
 
 
 def _append(frame: DataFrame, path: str | None, fmt: str, options: dict[str, str]) -> None:
@@ -36,50 +87,18 @@ def _append(frame: DataFrame, path: str | None, fmt: str, options: dict[str, str
 
 
 def replace_table(frame: DataFrame, path: str, check: Callable[[str], None]) -> None:
-    """Overwrite a Parquet table with ``frame`` once ``check`` has passed on the new files.
+    """Let a table hold the rows of ``frame`` once ``check`` has passed on the new files.
 
-    The rows go to a staging folder beside the table. If the check raises, the table stays as
-    it was and the staging folder is left for inspection.
+    The rows go to a new data folder of the table. If the check raises, the table stays as it was and the
+    folder is left for inspection. A reader finds the old rows or the new ones at any time.
     """
-    staging = f"{path.rstrip('/')}_staging-{uuid.uuid4().hex}"
-    frame.write.parquet(staging)
+    batch = Batch(path, WHOLE).write(frame)
     try:
-        check(staging)
+        check(batch.folder)
     except Exception as error:
-        error.add_note(f"rejected rows are kept in {staging}")
+        error.add_note(f"rejected rows are kept in {batch.folder}")
         raise
-    promote(frame.sparkSession, staging, path)
-
-
-def promote(spark: SparkSession, staging: str, path: str) -> None:
-    """Put the staged folder in the table's place.
-
-    Two renames, with the old table put back if the second fails. On file systems a reader may
-    briefly find no table; on object stores renames copy and are not atomic.
-    """
-    files, source = _file_system(spark, staging)
-    _, target = _file_system(spark, path.rstrip("/"))
-    _, old = _file_system(spark, f"{path.rstrip('/')}_replaced-{uuid.uuid4().hex}")
-    had_table = files.exists(target)
-    if had_table and not files.rename(target, old):
-        raise OSError(f"could not set {path} aside")
-    if not files.rename(source, target):
-        if had_table:
-            files.rename(old, target)
-        raise OSError(f"could not promote {staging} to {path}")
-    if had_table:
-        files.delete(old, True)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, location = _file_system(spark, path)
-    return files.exists(location)
-
-
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop's file system for a path, and the path in its terms."""
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+    batch.publish(frame.sparkSession)
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -6,8 +6,9 @@ from test_flatten import document, full
 from pyspark.sql import functions as F
 
 from hourlake import schemas
+from hourlake.operators import dedupe
 from hourlake.plans import gold, ingestion, silver
-from hourlake.sources import readers
+from hourlake.sources import readers, writers
 from hourlake.spec import DEFAULT_METRICS
 
 real = silver.profile_documents
@@ -34,7 +35,7 @@ def test_silver_and_gold_jobs(spark, tmp_path):
     report = silver.build_silver(spark, raw, path)
     assert (report.row_count, report.duplicate_key_groups) == (144, 72)
     assert (report.redundant_rows, report.max_records_per_key) == (72, 2)
-    assert sorted(r["count"] for r in report.validity_census) == [2, 214]
+    assert sorted(r["count"] for r in report.validity_census.collect()) == [2, 214]
 
     stored = readers.read_silver(spark, path)
     assert stored.columns == list(schemas.silver())
@@ -74,7 +75,31 @@ def test_silver_job_stops_at_the_length_gate(spark, tmp_path):
 def test_silver_without_invalid_rows_scans_once(spark, tmp_path):
     report = silver.build_silver(spark, documents(spark, complete()), str(tmp_path / "silver"))
     assert report.row_count == 72
-    assert [r["count"] for r in report.validity_census] == [72]
+    assert [r["count"] for r in report.validity_census.collect()] == [72]
+
+
+def test_silver_rows_come_from_one_scan_and_one_shuffle(spark, tmp_path):
+    """Valid rows and those set aside, of stored documents, where both kinds are there."""
+    raw = documents(spark, complete(), complete(city_id=2, time=["nonsense", *HOURS[1:]]))
+    writers.append_documents(raw, str(tmp_path / "documents"))
+    stored = readers.read_documents(spark, str(tmp_path / "documents"))
+    plan = silver.deduplicated_measurements(stored)._jdf.queryExecution().optimizedPlan().toString()
+    physical = silver.deduplicated_measurements(stored)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert "Union" not in plan and "Join" not in plan
+    assert physical.count("FileScan") == 1
+
+
+def test_rows_set_aside_keep_their_copies(spark, tmp_path):
+    """A document stored twice has its invalid rows twice, and equal ones within a document stay apart."""
+    bad = ["nonsense", None, None, *HOURS[3:]]
+    raw = documents(spark, complete(time=bad), complete(time=bad), complete("r2", hour=11, time=bad))
+    report = silver.build_silver(spark, raw, str(tmp_path / "silver"))
+    stored = readers.read_silver(spark, str(tmp_path / "silver"))
+    assert stored.filter("NOT is_valid_measurement_timestamp").count() == 9
+    assert (report.row_count, report.max_records_per_key, report.redundant_rows) == (78, 3, 138)
+    wanted = dedupe.silver_rows(dedupe.deduplicate(silver.checked_measurements(raw)))
+    assert sorted(map(str, stored.collect())) == sorted(map(str, wanted.collect()))
 
 
 def test_source_that_grows_after_the_gate_is_refused(spark, tmp_path, monkeypatch):
@@ -87,7 +112,8 @@ def test_source_that_grows_after_the_gate_is_refused(spark, tmp_path, monkeypatc
         RuntimeError, match="Silver source row-count validation failed: expected 72, found 145"
     ):
         silver.build_silver(spark, grown, path)
-    assert not (tmp_path / "silver").exists()
+    with pytest.raises(FileNotFoundError, match="nothing has been published"):
+        readers.read_silver(spark, path)
 
 
 def test_gold_counts_distinct_timestamps_off_the_full_hour(spark, tmp_path):
@@ -113,7 +139,7 @@ RESPONSE = """run_id STRING, city_id INT, city STRING, attempt INT, error_kind S
     ingested_at_utc TIMESTAMP"""
 
 
-def test_ingestion_job(spark, tmp_path):
+def test_ingestion_job(spark, tmp_path, monkeypatch):
     stored, summaries, lists = (str(tmp_path / n) for n in ("documents", "runs", "cities"))
     start = datetime(2034, 8, 1, 4)
     good = {"hourly": {"time": HOURS, **{m: [1] * 72 for m in DEFAULT_METRICS}}}
@@ -151,27 +177,47 @@ def test_ingestion_job(spark, tmp_path):
         F.lit(6).alias("cities_intended"),
     )
 
-    def account(responses=log):
+    def account(responses=log, of=runs):
         endpoint = "https://feed.example"
         ingestion.account_runs(
-            spark, cities, runs, responses, stored, summaries, lists, endpoint, source="feed"
+            spark, cities, of, responses, stored, summaries, lists, endpoint, source="feed"
         )
 
     zone = spark.conf.get("spark.sql.session.timeZone")
     with pytest.raises(RuntimeError, match="1 logged attempts are beyond the limit"):
         account(log.union(log.limit(1).withColumn("attempt", F.lit(4))))
+
+    # Lost after the documents were written, then after they were published: nothing is stored twice.
+    for lost in ("write", "publish"):
+        with monkeypatch.context() as patch:
+            real_step = getattr(writers.Batch, lost)
+
+            def step(batch, *rest, real_step=real_step, **options):
+                if batch.path != stored:
+                    raise KeyboardInterrupt
+                return real_step(batch, *rest, **options)
+
+            patch.setattr(writers.Batch, lost, step)
+            with pytest.raises(KeyboardInterrupt):
+                account()
+        if lost == "write":
+            with pytest.raises(FileNotFoundError):
+                readers.read_documents(spark, stored)
+    with pytest.raises(RuntimeError, match="were interrupted; start their runs again first"):
+        account(of=runs.withColumn("run_id", F.lit("r2")))
     account()
     assert spark.conf.get("spark.sql.session.timeZone") == zone
     documents_read = readers.read_documents(spark, stored)
     found = {r["city"]["city_id"]: r for r in documents_read.collect()}
+    assert documents_read.count() == len(found)
     assert found.keys() == {1, 4, 5, 9}
     assert found[1]["payload_text"] == extra
     assert found[9]["city"]["city"] is None
     for city_id in (4, 5):
         assert found[city_id]["raw_payload"]["hourly"]["pm10"][:3] == [None, 2.5, 1.0]
-    summary = spark.read.schema(schemas.RUN_SUMMARY).parquet(summaries).first()
+    summary = readers.read_run_summaries(spark, summaries).first()
     assert (summary["status"], *summary["counts"]) == ("partial_failure", 6, 4, 2)
-    row = spark.read.schema(schemas.RUN_CITIES).parquet(lists).first()
+    row = readers.read_city_lists(spark, lists).first()
     assert [(c["city_id"], c["attempts_made"]) for c in row["successful_cities"]] == [
         (1, 2), (4, 1), (5, 1), (9, 1),
     ]
@@ -184,3 +230,13 @@ def test_ingestion_job(spark, tmp_path):
     with pytest.raises(RuntimeError, match="Run summaries contains 1 duplicate key groups"):
         account()
     assert readers.read_documents(spark, stored).count() == 4
+
+    # Lookups read the partition of the run's day.
+    lookup = readers.stored_documents_of_run(spark, stored, summaries, "r1")
+    plan = lookup._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_day" in plan or "PartitionFilters: [(run_day" in plan
+    assert sorted(r["city_id"] for r in lookup.collect()) == [1, 4, 5, 9]
+    assert readers.stored_documents_of_run(spark, stored, summaries, "r9").collect() == []
+    newest = readers.newest_stored_run(spark, summaries)
+    assert "completed_day" in newest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1][:60]
+    assert [r["run_id"] for r in newest.collect()] == ["r1"]

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from hourlake import schemas
-from hourlake.sources import readers, writers
+from hourlake.sources import publish, readers, writers
 
 CITY = {"city_id": 904, "city": "Łąka", "country": "Øst", "latitude": -33.0, "longitude": 0.5}
 
@@ -55,25 +55,85 @@ def test_source_profile(spark):
     assert rows == [(2, 0, "id", "int"), (2, 1, "tags", "array<string>")]
 
 
+def stored(spark, path):
+    return sorted(r["id"] for r in readers.read_table(spark, path, "id BIGINT").collect())
+
+
 def test_replacing_a_table_keeps_the_old_one_until_the_check_passes(spark, tmp_path):
     path = str(tmp_path / "table")
 
-    def stored():
-        return sorted(r["id"] for r in spark.read.parquet(path).collect())
-
     def refuse(staging):
         assert spark.read.parquet(staging).count() == 3
         raise RuntimeError("not good enough")
 
     writers.replace_table(spark.range(2), path, lambda staging: None)
-    assert stored() == [0, 1]
-    with pytest.raises(RuntimeError, match="not good enough"):
+    assert stored(spark, path) == [0, 1]
+    with pytest.raises(RuntimeError, match="not good enough") as refused:
         writers.replace_table(spark.range(3), path, refuse)
-    assert stored() == [0, 1]
+    assert "rejected rows are kept in" in refused.value.__notes__[0]
+    assert stored(spark, path) == [0, 1]
     writers.replace_table(spark.range(4), path, lambda staging: None)
-    assert stored() == [0, 1, 2, 3]
-    leftovers = [p.name for p in tmp_path.iterdir() if p.name != "table"]
-    assert len(leftovers) == 1 and leftovers[0].startswith("table_staging-")
+    assert stored(spark, path) == [0, 1, 2, 3]
+
+
+def test_old_table_is_read_whole_whatever_step_a_writer_stops_at(spark, tmp_path, monkeypatch):
+    """Each file that publishing creates may be the last one; only the last of all changes the table."""
+    path = str(tmp_path / "table")
+    writers.replace_table(spark.range(2), path, lambda staging: None)
+    real = publish.file_system
+
+    def stopping_at(step):
+        left = [step]
+
+        def file_system(session, location):
+            files, found = real(session, location)
+
+            class Files:
+                def __getattr__(self, name):
+                    return getattr(files, name)
+
+                def createNewFile(self, target):
+                    left[0] -= 1
+                    if left[0] < 0:
+                        raise KeyboardInterrupt
+                    return files.createNewFile(target)
+
+            return Files(), found
+
+        return file_system
+
+    for step in range(3):
+        with monkeypatch.context() as patch:
+            patch.setattr(publish, "file_system", stopping_at(step))
+            with pytest.raises(KeyboardInterrupt):
+                writers.replace_table(spark.range(3), path, lambda staging: None)
+        assert stored(spark, path) == [0, 1]
+    frame = readers.read_table(spark, path, "id BIGINT")
+    writers.replace_table(spark.range(5), path, lambda staging: None)
+    assert stored(spark, path) == [0, 1, 2, 3, 4]
+    # Who began to read before goes on reading the old rows, which clean_up leaves them at first.
+    assert len(publish.clean_up(spark, path, keep=2, older_than=0)) == 3
+    assert frame.count() == 2 and stored(spark, path) == [0, 1, 2, 3, 4]
+    assert len(publish.clean_up(spark, path, keep=1, older_than=0)) == 1
+    assert stored(spark, path) == [0, 1, 2, 3, 4]
+    writers.replace_table(spark.range(1), path, lambda staging: None)
+    assert stored(spark, path) == [0]
+
+
+def test_several_keys_change_at_once_and_a_batch_counts_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first, second, again = (writers.Batch(path, k) for k in ("a", "b", "a"))
+    for batch, count in ((first, 1), (second, 2), (again, 3)):
+        batch.write(spark.range(count))
+    with pytest.raises(FileNotFoundError):
+        stored(spark, path)
+    publish.publish(spark, path, {"a": first.folder, "b": second.folder})
+    assert stored(spark, path) == [0, 0, 1]
+    again.publish(spark)
+    assert stored(spark, path) == [0, 0, 1, 1, 2]
+    with pytest.raises(ValueError, match="can't be part of a file name"):
+        publish.publish(spark, path, {"a.b": first.folder})
+    assert stored(spark, path) == [0, 0, 1, 1, 2]
 
 
 def test_work_folder_is_the_clusters_shared_folder_where_one_is_named(spark, monkeypatch):

@@ -303,6 +303,12 @@ def attempts(
     )
 
 
+def tied_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempt log in which two neighbouring events of a user's day have one attempt number."""
+    log = attempts(spark, sf_dir, tries=2 * DEFAULT_SPEC.max_attempts)
+    return log.withColumn("attempt", F.floor((F.col("attempt") + 1) / 2).cast("int"))
+
+
 def attempt_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The runs of the attempt log, from first to last event."""
     return (

@@ -240,6 +240,12 @@ classified AS (
 )"""
 
 
+#: Two neighbouring events of a user's day share an attempt number; six of them are one run's.
+TIED_ATTEMPTS = ATTEMPTS.replace("(place - 1) // 3", "(place - 1) // 6").replace(
+    "(place - 1) % 3 + 1", "((place - 1) % 6) // 2 + 1"
+)
+
+
 def _outcomes(source: str) -> str:
     """Per city the first attempt that ended the tries, or else the last attempt."""
     return f"""
@@ -469,6 +475,21 @@ SELECT run_id, d.city_id, city, ingested_at_utc
 FROM documents_flat d JOIN cities c ON d.city_id = c.city_id WHERE run_id = 'run-2024-01-15'""",
     "documents_per_run": f"""WITH {DOCUMENTS}
 SELECT run_id, count(*) AS document_count FROM documents_flat GROUP BY run_id""",
+    "stored_documents_of_run": f"""WITH {DOCUMENTS}
+SELECT run_id, d.city_id, city, ingested_at_utc
+FROM documents_flat d JOIN cities c ON d.city_id = c.city_id WHERE run_id = 'run-2024-01-15'""",
+    "newest_stored_run": f"""WITH {RUNS} SELECT {SUMMARY_COLUMNS} FROM run_rows
+ORDER BY run_completed_at_utc DESC, run_id DESC LIMIT 1""",
+    "read_cities": f"""WITH {CONFIGURATIONS}
+SELECT city_id, city, country, latitude, longitude FROM numbered
+WHERE configuration % 7 NOT IN (3, 5)""",
+    "city_outcomes_tied": f"""WITH {TIED_ATTEMPTS}
+SELECT run_id, city_id, city, attempt AS attempts_made, ok AS succeeded, error_message
+FROM classified
+QUALIFY row_number() OVER (PARTITION BY run_id, city_id
+  ORDER BY failure_class = 'retryable',
+    CASE WHEN failure_class = 'retryable' THEN -attempt ELSE attempt END,
+    ok DESC, error_kind NULLS FIRST, http_code NULLS FIRST, error_message NULLS FIRST) = 1""",
     "unlisted_city_documents": f"""WITH {DOCUMENTS}
 SELECT run_id, city_id FROM documents_flat
 WHERE city_id NOT IN (SELECT city_id FROM cities WHERE city_id % 10 <> 0)""",

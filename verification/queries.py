@@ -19,7 +19,7 @@ from hourlake.plans.silver import (
     profile_documents,
     timed_measurements,
 )
-from hourlake.schemas import MEASUREMENT_KEY, RUN_CITIES, RUN_SUMMARY
+from hourlake.schemas import MEASUREMENT_KEY
 from hourlake.sources import readers, writers
 from hourlake.spec import DEFAULT_METRICS, DEFAULT_SPEC, array_column
 from verification import fixtures
@@ -405,7 +405,7 @@ def run_summary(spark, sf_dir):
 def run_summary_roundtrip(spark, sf_dir):
     path = f"{writers.work_folder(spark)}/runs"
     writers.append_run_summaries(_run_summaries(spark, sf_dir), path)
-    return _summary_as_text(spark.read.schema(RUN_SUMMARY).parquet(path))
+    return _summary_as_text(readers.read_run_summaries(spark, path))
 
 
 def run_city_lists(spark, sf_dir):
@@ -413,7 +413,7 @@ def run_city_lists(spark, sf_dir):
     path = f"{writers.work_folder(spark)}/run-cities"
     lists = accounting.run_city_lists(city_outcomes(spark, sf_dir), cities_per_block=10)
     writers.append_city_lists(lists, path)
-    return _lists_as_text(spark.read.schema(RUN_CITIES).parquet(path))
+    return _lists_as_text(readers.read_city_lists(spark, path))
 
 
 def newest_run(spark, sf_dir):
@@ -425,6 +425,49 @@ def documents_of_run(spark, sf_dir):
     return _plain(accounting.documents_of_run(documents, "run-2024-01-15"))
 
 
+def stored_documents_of_run(spark, sf_dir):
+    """The same lookup in stored documents: the run's header tells which day's partition to read."""
+    folder = writers.work_folder(spark)
+    documents = fixtures.documents(spark, sf_dir)
+    writers.append_documents(documents, f"{folder}/documents")
+    header = documents.select("run_id", "ingestion_metadata.run_started_at_utc").distinct()
+    counts = F.struct(*(F.lit(0).cast("bigint").alias(c) for c in (
+        "cities_intended", "successful_ingestions", "failed_ingestions")))
+    summaries = header.select(
+        "run_id",
+        "run_started_at_utc",
+        F.col("run_started_at_utc").alias("run_completed_at_utc"),
+        F.lit("completed").alias("status"),
+        counts.alias("counts"),
+    )
+    writers.append_run_summaries(summaries, f"{folder}/runs")
+    return _plain(
+        readers.stored_documents_of_run(spark, f"{folder}/documents", f"{folder}/runs", "run-2024-01-15")
+    )
+
+
+def newest_stored_run(spark, sf_dir):
+    """The newest run of stored summaries, of which only the newest day's are read."""
+    path = f"{writers.work_folder(spark)}/runs"
+    writers.append_run_summaries(_run_summaries(spark, sf_dir), path)
+    return _summary_as_text(readers.newest_stored_run(spark, path))
+
+
+def read_cities(spark, sf_dir):
+    """City dimension out of configuration files, one list in each, through the loader and its checks."""
+    path = f"{writers.work_folder(spark)}/configurations"
+    texts = fixtures.city_configurations(spark, sf_dir)
+    sound = texts.filter(readers.city_configuration_issue().isNull())
+    # One file for each configuration.
+    sound.write.partitionBy("configuration").text(path)
+    return readers.read_cities(spark, path).select("city_id", "city", "country", "latitude", "longitude")
+
+
+def city_outcomes_tied(spark, sf_dir):
+    """Outcomes where two rows of the log share each attempt number."""
+    return accounting.city_outcomes(fixtures.tied_attempts(spark, sf_dir))
+
+
 def unlisted_city_documents(spark, sf_dir):
     """Documents of the cities that a dimension without every tenth city doesn't have."""
     listed = fixtures.cities(spark, sf_dir).filter("city_id % 10 <> 0")
@@ -488,7 +531,7 @@ def ingestion_roundtrip(spark, sf_dir):
         F.count("*").alias("document_count"),
         F.sum(F.char_length("payload_text")).alias("payload_characters"),
     )
-    summaries = spark.read.schema(RUN_SUMMARY).parquet(f"{folder}/runs")
+    summaries = readers.read_run_summaries(spark, f"{folder}/runs")
     return _summary_as_text(summaries).join(stored, "run_id", "left")
 
 
@@ -543,6 +586,10 @@ QUERIES: dict[str, Query] = {
         newest_run,
         documents_of_run,
         documents_per_run,
+        stored_documents_of_run,
+        newest_stored_run,
+        read_cities,
+        city_outcomes_tied,
         unlisted_city_documents,
         silver_roundtrip,
         gold_schema,
