@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.llm.tables import as_bytes, text_bytes
+from hourlake.llm.tables import as_bytes, bounded, text_bytes
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
@@ -125,9 +125,16 @@ def _blocks(items: DataFrame, window: int, block_bytes: int) -> Iterator[Pattern
         yield patterns_of(sorted((r.item_id, bytes(r.data)) for r in held), window)
 
 
+def scanner_of(patterns) -> Scanner:
+    """The automaton of broadcast patterns, built once in each worker process and dropped with them."""
+    if "scanner" not in vars(patterns):
+        patterns.scanner = Scanner(patterns.value)
+    return patterns.scanner
+
+
 def _scan_task(patterns) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(patterns.value)
+        scanner = scanner_of(patterns)
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in LEAKS}
             texts = batch.column("_data")
@@ -173,7 +180,7 @@ def find_leaks(
     found = documents.withColumn("_data", as_bytes("text")).withColumn("leaks", empty)
     for patterns in _blocks(items, window, block_bytes):
         shared = documents.sparkSession.sparkContext.broadcast(patterns)
-        found = found.mapInArrow(_scan_task(shared), found.schema)
+        found = bounded(found).mapInArrow(_scan_task(shared), found.schema)
     return found.drop("_data")
 
 
@@ -191,7 +198,26 @@ def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without any hit, with the columns they came with."""
-    found = find_leaks(documents, items)
-    return found.where(F.col("leaks.n_hit") == 0).select(*(F.col(f"`{c}`") for c in documents.columns))
+def _clean_task(patterns, column: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = scanner_of(patterns)
+        for batch in batches:
+            texts = batch.column(column).cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array([not scanner.scan(x or b"")[1] for x in texts], pa.bool_()))
+
+    return clean
+
+
+def decontaminate(
+    documents: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The documents without any hit, with the columns they came with, whatever their names.
+
+    A null or empty text has no hit and stays; repeated rows stay or go together; an empty table stays one.
+    """
+    found = documents
+    for patterns in _blocks(items, window, block_bytes):
+        shared = documents.sparkSession.sparkContext.broadcast(patterns)
+        column = documents.columns.index("text")
+        found = bounded(found).mapInArrow(_clean_task(shared, column), documents.schema)
+    return found

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from hourlake.llm.components import components
 from hourlake.llm.features import RangeHash, joined, mix, words_of
-from hourlake.llm.tables import as_bytes, stored
+from hourlake.llm.tables import as_bytes, bounded, stored
 
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
@@ -127,7 +127,7 @@ def bands_of(sketch: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _rows(batch: pa.RecordBatch, bytes_at_once: int = 1 << 24) -> Iterator[tuple[pa.Array, list[bytes]]]:
+def _rows(batch: pa.RecordBatch, bytes_at_once: int = 1 << 21) -> Iterator[tuple[pa.Array, list[bytes]]]:
     """Stretches of a batch of about so many bytes of text."""
     sizes = batch.column(1).to_pylist()
     start, total = 0, 0
@@ -209,7 +209,7 @@ def _members(sketches: DataFrame, documents: DataFrame) -> tuple[DataFrame, Data
     members = stored(banded.join(crowded.hint("merge"), "key", "left_semi"), "band-members")
     ids = members.select("doc_id").distinct()
     chosen = documents.join(ids.hint("merge"), "doc_id", "left_semi")
-    sets = stored(chosen.mapInArrow(_set_task, SETS), "shingle-sets")
+    sets = stored(bounded(chosen).mapInArrow(_set_task, SETS), "shingle-sets")
     single = (
         sets.select("doc_id", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
@@ -273,7 +273,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     (null) and is kept.
     """
     rows = documents.select(F.col("doc_id").cast("bigint"), as_bytes("text").alias("data"))
-    sketches = stored(rows.mapInArrow(_sketch_task, SKETCHES), "sketches")
+    sketches = stored(bounded(rows).mapInArrow(_sketch_task, SKETCHES), "sketches")
     named = sketches.where(F.col("doc_id").isNotNull())
     labels = _links(named, rows)
     first = named.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles")

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.llm.tables import as_bytes, stored
-from hourlake.llm.tokens import WordEncoder
+from hourlake.llm.tables import as_bytes, bounded, stored
+from hourlake.llm.tokens import encoder_of
 
 CAPACITY = 1024
 END_ID = 2
@@ -59,7 +59,7 @@ def cut(ids: bytes, capacity: int = CAPACITY) -> Iterator[tuple[int, int, int]]:
 
 def _cut_task(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, spaced=True)
+        encoder = encoder_of(path, spaced=True)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows = []
@@ -82,7 +82,7 @@ def pieces_of(documents: DataFrame, path: str | None = None) -> DataFrame:
     like any other.
     """
     rows = documents.select(F.col("doc_id").cast("bigint"), as_bytes("text").alias("data"))
-    return rows.mapInArrow(_cut_task(path or public_tokenizers.path(TOKENIZER)), PIECES)
+    return bounded(rows).mapInArrow(_cut_task(path or public_tokenizers.path(TOKENIZER)), PIECES)
 
 
 @dataclass

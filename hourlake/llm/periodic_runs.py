@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourlake.llm.tables import bounded
+
 LEAST_LENGTH, LEAST_PERIODS = 24, 3
 #: The smallest block; together with its own length it covers all periods below 16.
 BASE = 8
@@ -285,7 +287,7 @@ def find_runs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     period) and the ``collapsed`` text."""
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
-    found = rows.mapInArrow(
+    found = bounded(rows).mapInArrow(
         _found, f"key {kind}, n_words bigint, runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string"
     )
     return found.withColumnRenamed("key", key)

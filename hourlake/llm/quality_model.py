@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm.features import RangeHash, joined, mix, words_of
-from hourlake.llm.tables import as_bytes, labelled_sample, remainder
+from hourlake.llm.tables import as_bytes, bounded, labelled_sample, remainder
 
 BITS = 18
 SIZES = (2, 3, 4)
@@ -27,6 +27,8 @@ DIMENSIONS = 16
 SCALE = np.float32(25)
 #: Bounds of the sample to learn from: documents of either class, and bytes of a document in it.
 PER_CLASS = 1500
+#: Passes over the sample, and the least number of steps: few documents are gone through more often.
+EPOCHS, LEAST_STEPS = 12, 6000
 MAX_TRAIN_BYTES = 100_000
 
 
@@ -79,7 +81,7 @@ class QualityModel:
 
 
 def train(
-    rows: list[tuple[int, bytes, int]], epochs: int = 12, rate: float = 0.2, seed: int = 3
+    rows: list[tuple[int, bytes, int]], epochs: int = EPOCHS, rate: float = 0.2, seed: int = 3
 ) -> QualityModel:
     """Stochastic gradient descent on the cross entropy of the softmax, one document at a time.
 
@@ -98,6 +100,7 @@ def train(
     table = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS)).astype(np.float32)
     output = np.zeros((2, DIMENSIONS), np.float32)
     bias = np.zeros(2, np.float32)
+    epochs = max(epochs, -(-LEAST_STEPS // len(rows)))
     for epoch in range(epochs):
         step = np.float32(rate * (1 - epoch / epochs))
         for i in rng.permutation(len(rows)):
@@ -125,6 +128,10 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     return train(labelled_sample(documents, labels, "quality", learn_rows(), per_class, MAX_TRAIN_BYTES))
 
 
+def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
+    return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
+
+
 def _score_task(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,6 +143,14 @@ def _score_task(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return score
 
 
+def _keep_task(model, column: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.value.scores(_texts(batch, column)) >= 0.5))
+
+    return keep
+
+
 def with_scores(documents: DataFrame, model: QualityModel) -> DataFrame:
     """``documents`` with a ``score`` of the whole text, 0 to 1; higher: class 1 is likelier.
 
@@ -145,7 +160,7 @@ def with_scores(documents: DataFrame, model: QualityModel) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.drop("score").withColumn("_data", as_bytes("text")).withColumn("score", F.lit(0.0))
     schema = rows.drop("_data").schema
-    return rows.mapInArrow(_score_task(shared), schema)
+    return bounded(rows).mapInArrow(_score_task(shared), schema)
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -162,9 +177,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier doesn't reject, with the columns they came with.
 
-    A column ``score`` of the input is kept as it is.
+    A null or empty text gets the score of the bias alone; rows are judged one by one, so repeated rows
+    stay or go together, and an empty table stays one.
     """
     model = fit(documents, labels)
-    held = documents.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in documents.columns)))
-    scored = with_scores(held.select("text", "_row"), model).where(F.col("score") >= 0.5)
-    return scored.select("_row.*")
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    column = documents.columns.index("text")
+    return bounded(documents).mapInArrow(_keep_task(shared, column), documents.schema)

@@ -32,6 +32,21 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Bytes of a batch that goes to Python; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(frame: DataFrame) -> DataFrame:
+    """``frame``, about to go to Python: from now on the session's batches hold ``BATCH_BYTES`` at most, or
+    less where it says so itself. Frames are worked out later than they are made, so the setting stays."""
+    conf = frame.sparkSession.conf
+    now = conf.get(_BATCH).removesuffix("b")
+    if not (now.isdigit() and 0 < int(now) <= BATCH_BYTES):
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return frame
+
+
 def text_bytes(documents: DataFrame, text: str = "text") -> int:
     """Bytes of all texts, to size partitions by."""
     return documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -57,8 +72,11 @@ def labelled_sample(
     """
     rows = labels.where(learn & F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("y"))
     order: Sequence[Column] = (F.xxhash64("doc_id"), F.col("doc_id"))
-    negative, positive = (rows.where(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1))
     texts = documents.select("doc_id", as_bytes("text").alias("data"))
+    # Ids of the few long texts go through this join, so the choice is among those to be learned from.
+    long = documents.where(F.octet_length(F.col("text")) > max_bytes).select("doc_id")
+    fit = rows.join(long, "doc_id", "left_anti")
     texts = texts.where(F.length("data") <= max_bytes)
+    negative, positive = (fit.where(F.col("y") == y).orderBy(*order).limit(per_class) for y in (0, 1))
     chosen = texts.join(F.broadcast(negative.union(positive)), "doc_id").collect()
     return sorted((r.doc_id, bytes(r.data), int(r.y)) for r in chosen)

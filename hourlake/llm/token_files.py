@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.llm.tables import as_bytes, new_folder, stored, text_bytes
-from hourlake.llm.tokens import WordEncoder
+from hourlake.llm.tables import as_bytes, bounded, new_folder, stored, text_bytes
+from hourlake.llm.tokens import encoder_of
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -183,7 +183,7 @@ class Reader:
 
 def _write_task(folder: str, path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, spaced=False)
+        encoder = encoder_of(path, spaced=False)
         end = np.array([END_ID], "<u4").tobytes()
         files, place = open_folder(folder)
         files.create_dir(place, recursive=True)
@@ -223,7 +223,7 @@ def write_tokens(documents: DataFrame, folder: str, path: str | None = None) ->
     # The hash splits rows that share an id.
     keyed = rows.withColumn("mark", F.xxhash64("data"))
     ordered = keyed.repartitionByRange(tasks, "doc_id", "mark").sortWithinPartitions("doc_id", "mark")
-    listed = ordered.select("doc_id", "data").mapInArrow(
+    listed = bounded(ordered.select("doc_id", "data")).mapInArrow(
         _write_task(folder, path or public_tokenizers.path(TOKENIZER)), FILES
     )
     return stored(listed, "token-files")

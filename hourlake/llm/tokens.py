@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import re
 from array import array
+from functools import cache
+from os.path import commonprefix
 
 import regex
 from tokenizers import Tokenizer
@@ -44,6 +46,21 @@ def byte_letters() -> list[str]:
     return letters
 
 
+_ASCII_PAIRS = [bytes([c, 32]) for c in (*range(9, 14), *range(28, 33))]
+#: Those of two and three bytes that don't begin with E2, with a space.
+_LONGER_PAIRS = [b"\xc2\x85 ", b"\xc2\xa0 ", b"\xe1\x9a\x80 ", b"\xe3\x80\x80 "]
+
+
+def _has_space_before_space(text: bytes) -> bool:
+    """Whether there is white space of any kind with a space after it. Plain searches are a tenth of the
+    pattern's cost, which is left for texts with an E2 byte."""
+    if any(pair in text for pair in _ASCII_PAIRS):
+        return True
+    if text.isascii():
+        return False
+    return any(pair in text for pair in _LONGER_PAIRS) or (b"\xe2" in text and bool(_AFTER_SPACE.search(text)))
+
+
 class _Known(dict):
     """Ids by word; unknown words are encoded when asked for."""
 
@@ -61,7 +78,8 @@ class WordEncoder:
 
     def __init__(self, path: str, spaced: bool) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        marks = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks, self.mark_start = marks, commonprefix(marks)
         self.tokenize = self.tokenizer.model.tokenize
         self.spaced = spaced
         self.split = regex.compile(SPACED_PATTERN if spaced else WORD_PATTERN).findall
@@ -95,13 +113,31 @@ class WordEncoder:
         ids = self.starts[letters if self.spaced else letters.lower()]
         return ids + self.parts[signs] if signs else ids
 
+    def _whole(self, text: bytes) -> bytes:
+        found = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+        return array("I", found.ids).tobytes()
+
     def ids(self, text: bytes) -> bytes:
-        """The ids of a UTF-8 text as little-endian unsigned 32-bit integers."""
+        """The ids of a UTF-8 text as little-endian unsigned 32-bit integers.
+
+        The library finds its special marks in a text before it is split, so a text that may hold one goes to
+        it whole.
+        """
+        if self.marks and self.mark_start in text.lower():
+            lower = text.lower()
+            if any(mark in lower for mark in self.marks):
+                return self._whole(text)
         if max(map(len, (self.words, self.starts, self.parts))) > REMEMBERED:
             for known in (self.words, self.starts, self.parts):
                 known.clear()
         if not self.spaced:
             return b"".join(map(self.words.__getitem__, text.split()))
         # A space ends what stands before it, if that isn't white space itself.
-        first, *later = _SAFE_CUT.split(text) if _AFTER_SPACE.search(text) else text.split(b" ")
+        first, *later = _SAFE_CUT.split(text) if _has_space_before_space(text) else text.split(b" ")
         return self._word(first) + b"".join(map(self.words.__getitem__, later))
+
+
+@cache
+def encoder_of(path: str, spaced: bool) -> WordEncoder:
+    """The encoder of a tokenizer file, with the words it remembers: one in each worker process."""
+    return WordEncoder(path, spaced)

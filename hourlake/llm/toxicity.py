@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourlake.llm.features import IS_SPACE, RangeHash, joined, mix, words_of
-from hourlake.llm.tables import as_bytes, labelled_sample, remainder
+from hourlake.llm.tables import as_bytes, bounded, labelled_sample, remainder
 
 BITS = 20
 #: Lengths in bytes of the word beginnings that are features beside the words.
@@ -209,7 +209,7 @@ def with_toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
         .withColumn("score", F.lit(0.0))
         .withColumn("offending", F.array().cast(SENTENCES))
     )
-    return rows.mapInArrow(_judge_task(shared), rows.drop("_data").schema)
+    return bounded(rows).mapInArrow(_judge_task(shared), rows.drop("_data").schema)
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def test_spans_are_offsets_of_the_original_text(spark):
 
 def test_decontaminate_keeps_columns_and_clean_rows(spark):
     items = spark.createDataFrame([(1, "one")], "item_id BIGINT, text STRING")
-    frame = clashing(documents(spark), "item_id", "spans", "n_hit")
+    frame = clashing(documents(spark), "item_id", "spans", "n_hit", "leaks", "_data")
     kept = op.decontaminate(frame, items)
     assert kept.columns == frame.columns
     assert rows(kept) == rows(frame.where("doc_id IS NULL OR doc_id <> 8"))

@@ -15,14 +15,13 @@ from hourlake.llm.tokens import WordEncoder
 
 ODD = [
     "", " ", "  a  b ", "a \n b", "tab\t z\x1c q", "İstanbul ǅ ΣΑΣ", "é ́a",
-    "<|endoftext|> x<|startoftext|>", "don't  I'LL '  's", "１２ ² ¼x", "a" * 3000,
+    "<|endoftext|> x<|startoftext|>", "hello <|endoftext|> world", "a<|EndOfText|>  b", "<|endoftext", "don't  I'LL '  's", "１２ ² ¼x", "a" * 3000,
     "日本語 です　 x", "it's5 4you", "\x00\x01 a", "  nbsp  x", "a\r\nb \r\n c",
 ]
 
 
 def library(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
