@@ -12,6 +12,10 @@ from hourlake.schemas import DAILY_KEY
 from hourlake.spec import DEFAULT_SPEC, HourlySpec, flag
 
 
+#: Bits for 25.6 hours of minutes, 64 in a number.
+MINUTE_WORDS = 24
+
+
 def add_date(silver: DataFrame) -> DataFrame:
     return silver.withColumn("measurement_date", F.to_date("measurement_timestamp"))
 
@@ -29,25 +33,38 @@ def _observed_hours(method: str) -> Column:
     """Number of distinct timestamps in a day.
 
     ``distinct`` holds for any input, at the price of a second shuffle. ``unique_rows`` is for
-    rows that are unique per city and timestamp, such as deduplicated ones. ``whole_hours`` is
-    for timestamps on the full hour in UTC, see ``has_whole_hours_only``: a day's hours then
-    fit in the bits of one number.
+    rows that are unique per city and timestamp, such as deduplicated ones. ``minutes`` is for
+    timestamps on the full minute, which is all that a format without seconds can say: a day's minutes
+    are the bits of ``MINUTE_WORDS`` numbers, so one shuffle does. ``whole_hours`` is for timestamps on
+    the full hour in UTC, whose hours fit in the bits of one number.
     """
     timestamp = F.col("measurement_timestamp")
     if method == "distinct":
         return F.count_distinct(timestamp)
     if method == "unique_rows":
         return F.count(timestamp)
+    if method == "minutes":
+        # The day's first moment in the session's zone, so that a day of 25 hours has 1,500 minutes.
+        midnight = F.unix_micros(F.col("measurement_date").cast("timestamp"))
+        minute = F.floor((F.unix_micros(timestamp) - midnight) / 60_000_000)
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (minute % 64).cast("int"))
+        word = F.floor(minute / 64)
+        seen = (F.bit_count(F.bit_or(F.when(word == i, bit))) for i in range(MINUTE_WORDS))
+        return sum((F.coalesce(n, F.lit(0)) for n in seen), F.lit(0)).cast("bigint")
     if method == "whole_hours":
         seen = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.hour(timestamp)))
         return F.bit_count(seen).cast("bigint")
     raise ValueError(f"unknown method {method!r}")
 
 
-def has_whole_hours_only(silver: DataFrame) -> bool:
-    """Whether every timestamp is on the full hour: one scan of one column, no shuffle."""
-    past_hour = F.pmod(F.unix_micros("measurement_timestamp"), F.lit(3_600_000_000))
-    return silver.agg(F.coalesce(F.max(past_hour), F.lit(0)) == 0).first()[0]
+def counting_method(spec: HourlySpec = DEFAULT_SPEC) -> str:
+    """How to count the observed timestamps of a feed: by minutes, unless its format has seconds."""
+    return "distinct" if set("sSAnN") & set(_pattern_letters(spec.timestamp_format)) else "minutes"
+
+
+def _pattern_letters(pattern: str) -> str:
+    """A datetime pattern without its quoted texts."""
+    return "".join(pattern.split("'")[::2])
 
 
 def _statistics(spec: HourlySpec, observed: str) -> list[Column]:

@@ -6,7 +6,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.operators import gates
-from hourlake.operators.daily import add_date, daily_report, has_whole_hours_only
+from hourlake.operators.daily import add_date, counting_method, daily_report
 from hourlake.schemas import DAILY_KEY
 from hourlake.sources.readers import read_gold, read_silver
 from hourlake.sources.session import utc_session
@@ -24,14 +24,11 @@ def build_gold(
 
 
 def _build_gold(spark: SparkSession, silver_path: str, path: str, spec: HourlySpec) -> int:
-    """Replace the Gold table.
-
-    A look at the timestamp column decides how observed hours are counted: on full hours one
-    shuffle does, otherwise the exact distinct count takes two. The result is the same.
+    """Replace the Gold table, from one scan and one shuffle of Silver, unless the feed's timestamps have
+    seconds: their exact distinct count takes a second shuffle.
     """
     silver = read_silver(spark, silver_path, spec)
-    whole_hours = spec.timezone == "UTC" and has_whole_hours_only(silver)
-    report = daily_report(add_date(silver), spec, "whole_hours" if whole_hours else "distinct")
+    report = daily_report(add_date(silver), spec, counting_method(spec))
     written = Observation()
     counted = report.observe(written, F.count("*").alias("row_count"))
 

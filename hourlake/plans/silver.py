@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.functions.validity import has_length_issue
@@ -18,9 +19,17 @@ from hourlake.operators.quality import (
     add_validity,
 )
 from hourlake.schemas import MEASUREMENT_KEY
-from hourlake.sources.readers import read_silver
+from hourlake.sources.publish import live_folders, publish
+from hourlake.sources.readers import (
+    DAY_COLUMN,
+    NO_DAY,
+    partition_values,
+    read_silver,
+    read_silver_days,
+    silver_days,
+)
 from hourlake.sources.session import utc_session
-from hourlake.sources.writers import replace_table, work_folder
+from hourlake.sources.writers import WHOLE, Batch, replace_table, work_folder
 from hourlake.spec import DEFAULT_SPEC, HourlySpec, array_column
 
 
@@ -44,22 +53,31 @@ def timed_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) ->
     )
 
 
-def deduplicated_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
-    """Silver rows with ``record_count``, out of documents that passed the length gate: one scan of the
-    documents and one shuffle of their rows.
-
-    Flags of readings follow from the readings, so they need not go through the shuffle.
-    """
+def positioned_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """``timed_measurements`` with the place of each row in its document."""
     return (
         documents.transform(flatten_documents, spec)
         .transform(unnest_with_positions, spec)
         .transform(add_timestamp, spec)
         .transform(add_timestamp_flag)
-        .transform(latest_and_set_aside)
-        .transform(add_metric_flags, spec)
     )
 
 
+def deduplicated_measurements(
+    documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC, stored: DataFrame | None = None
+) -> DataFrame:
+    """Silver rows with ``record_count``, out of documents that passed the length gate: one scan of the
+    documents and one shuffle of their rows, and of those of ``stored`` Silver rows they are merged with.
+
+    Flags of readings follow from the readings, so they need not go through the shuffle.
+    """
+    rows = positioned_measurements(documents, spec)
+    if stored is not None:
+        # Rows of a table have no place in a document; there are no two of one key.
+        rows = rows.unionByName(stored.withColumn("position", F.lit(-1)).select(*rows.columns))
+    return rows.transform(latest_and_set_aside).transform(add_metric_flags, spec)
+
+
 def checked_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     """Measurement rows with all validity columns."""
     return documents.transform(timed_measurements, spec).transform(add_metric_flags, spec)
@@ -112,6 +130,27 @@ def _build_silver(
     cannot make Spark count a row twice. They also have to add up to the census: a source that
     changed in between would have got past the length gate.
     """
+    profile, sums = _gated_profile(spark, documents, spec)
+    rows, written = _observed(deduplicated_measurements(documents, spec))
+
+    def check(staging: str) -> None:
+        for kind in ("valid", "set_aside"):
+            gates.check_row_counts(sums[kind], written.get[kind], "Silver source")
+        gates.check_keyed_table(
+            read_silver(spark, staging, spec),
+            MEASUREMENT_KEY,
+            "Written Silver",
+            written.get["row_count"],
+            unique_where=F.col("is_valid_measurement_timestamp"),
+        )
+
+    replace_table(silver_rows(rows, spec), path, check)
+    return _report(profile, written)
+
+
+def _gated_profile(spark: SparkSession, documents: DataFrame, spec: HourlySpec) -> tuple[DataFrame, Row]:
+    """The census as a stored table, and how many rows are valid and set aside; raises where documents fail
+    the length gate."""
     census = f"{work_folder(spark)}/census"
     profile_documents(flatten_documents(documents, spec), spec).write.parquet(census)
     profile = spark.read.parquet(census)
@@ -122,11 +161,15 @@ def _build_silver(
         F.coalesce(F.sum(F.when(~is_valid, count)), F.lit(0)).alias("set_aside"),
     ).first()
     gates.require_no_length_issues(sums["issues"])
+    return profile.filter("count > 0").drop("length_issues"), sums
+
 
+def _observed(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """``rows``, counted on the way to their files."""
     copies = F.col("record_count")
     duplicated = F.when(copies > 1, copies)
     written = Observation()
-    rows = deduplicated_measurements(documents, spec).observe(
+    observed = rows.observe(
         written,
         F.count("*").alias("row_count"),
         F.count_if(copies.isNull()).alias("set_aside"),
@@ -135,23 +178,63 @@ def _build_silver(
         F.sum(duplicated - 1).alias("redundant_rows"),
         F.max(duplicated).alias("max_records_per_key"),
     )
+    return observed, written
 
-    def check(staging: str) -> None:
-        for kind in ("valid", "set_aside"):
-            gates.check_row_counts(sums[kind], written.get[kind], "Silver source")
-        gates.check_keyed_table(
-            read_silver(spark, staging, spec),
-            MEASUREMENT_KEY,
-            "Written Silver",
-            written.get["row_count"],
-            unique_where=F.col("is_valid_measurement_timestamp"),
-        )
 
-    replace_table(silver_rows(rows, spec), path, check)
+def _report(census: DataFrame, written: Observation) -> SilverReport:
     return SilverReport(
         row_count=written.get["row_count"],
-        validity_census=profile.filter("count > 0").drop("length_issues"),
+        validity_census=census,
         duplicate_key_groups=written.get["duplicate_key_groups"],
         redundant_rows=written.get["redundant_rows"],
         max_records_per_key=written.get["max_records_per_key"],
     )
+
+
+def update_silver(
+    spark: SparkSession,
+    documents: DataFrame,
+    path: str,
+    spec: HourlySpec = DEFAULT_SPEC,
+    batch: str | None = None,
+) -> SilverReport:
+    """Merge new documents into a Silver table kept by day; its first increment makes the table.
+
+    Only the days that the documents have valid rows of are read and written anew: of each key the newest
+    record counts, whether it came with this increment or an earlier one, so any order of increments ends in
+    the same table as one rebuild. Rows without a valid timestamp are added, once for each ``batch``: an
+    increment that failed, or whose success wasn't noticed, is started again with the same name. All days
+    change at once.
+    """
+    with utc_session(spark, spec.timezone):
+        return _update_silver(spark, documents, path, spec, batch or uuid.uuid4().hex)
+
+
+def _update_silver(
+    spark: SparkSession, documents: DataFrame, path: str, spec: HourlySpec, batch: str
+) -> SilverReport:
+    if WHOLE in live_folders(spark, path):
+        raise ValueError(f"{path} is replaced as a whole; keep increments in a table of their own")
+    census, sums = _gated_profile(spark, documents, spec)
+    day = F.to_date("measurement_timestamp")
+    # A few days for each run of the increment.
+    days = timed_measurements(documents, spec).select(day.cast("string")).distinct().collect()
+    kept = silver_days(spark, path)
+    affected = [kept[f"day-{d}"] for (d,) in days if f"day-{d}" in kept]
+    stored = read_silver_days(spark, path, affected, spec)
+    rows, written = _observed(deduplicated_measurements(documents, spec, stored))
+    new = Batch(path, batch).write(silver_rows(rows, spec).withColumn(DAY_COLUMN, day), DAY_COLUMN)
+
+    gates.check_row_counts(sums["valid"] + stored.count(), written.get["valid"], "Silver source")
+    gates.check_row_counts(sums["set_aside"], written.get["set_aside"], "Silver source")
+    gates.check_keyed_table(
+        read_silver(spark, new.folder, spec),
+        MEASUREMENT_KEY,
+        "Written Silver",
+        written.get["row_count"],
+        unique_where=F.col("is_valid_measurement_timestamp"),
+    )
+    found = partition_values(spark, new.folder, DAY_COLUMN)
+    keys = {f"aside-{batch}" if d == NO_DAY else f"day-{d}" for d in found}
+    publish(spark, path, dict.fromkeys(keys, new.folder))
+    return _report(census, written)

@@ -14,6 +14,8 @@ from hourlake.spec import DEFAULT_SPEC, HourlySpec
 NOT_A_LIST = "City configuration must be a list"
 EMPTY_LIST = "City configuration list must not be empty"
 # End of fixed values.
+#: The column by which a Silver table kept by day is stored, and the folder of rows without a day.
+DAY_COLUMN, NO_DAY = "measurement_day", "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -88,17 +90,44 @@ def newest_stored_run(spark: SparkSession, summaries_path: str) -> DataFrame:
 
 def _partition_days(spark: SparkSession, path: str, column: str) -> list[str]:
     """The days of a table's partitions, from the names of folders; none for rows without a day."""
-    found = []
-    for folder in live_folders(spark, path).values():
-        files, location = file_system(spark, folder)
-        names = (status.getPath().getName() for status in files.listStatus(location))
-        days = (name.removeprefix(f"{column}=") for name in names if name.startswith(f"{column}="))
-        found += [day for day in days if day[:1].isdigit()]
-    return found
+    folders = live_folders(spark, path).values()
+    return [d for folder in folders for d in partition_values(spark, folder, column) if d != NO_DAY]
+
+
+def partition_values(spark: SparkSession, folder: str, column: str) -> list[str]:
+    """The values of a partition column in a data folder, from the names of its folders."""
+    files, location = file_system(spark, folder)
+    names = (status.getPath().getName() for status in files.listStatus(location))
+    return [name.removeprefix(f"{column}=") for name in names if name.startswith(f"{column}=")]
 
 
 def read_silver(spark: SparkSession, path: str, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
-    return read_table(spark, path, schemas.ddl(schemas.silver(spec)))
+    """Silver rows, of a table that is replaced as a whole or of one that is kept by day."""
+    schema = schemas.ddl(schemas.silver(spec))
+    days = silver_days(spark, path)
+    if not days:
+        return read_table(spark, path, schema)
+    return read_silver_days(spark, path, list(days.values()), spec)
+
+
+def silver_days(spark: SparkSession, path: str) -> dict[str, str]:
+    """Key → folder of a Silver table kept by day: ``day-2024-01-31``, or ``aside-`` and a batch."""
+    found = {}
+    for key, folder in live_folders(spark, path).items():
+        kind, _, name = key.partition("-")
+        if kind in ("day", "aside"):
+            found[key] = f"{folder}/{DAY_COLUMN}={name if kind == 'day' else NO_DAY}"
+    return found
+
+
+def read_silver_days(
+    spark: SparkSession, path: str, folders: list[str], spec: HourlySpec = DEFAULT_SPEC
+) -> DataFrame:
+    schema = schemas.ddl(schemas.silver(spec))
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*folders).drop(DATA, DAY_COLUMN)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

@@ -4,16 +4,18 @@ from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from hourlake import schemas
 from hourlake.operators import daily
-from hourlake.spec import DEFAULT_METRICS, DEFAULT_SPEC
+from hourlake.sources.session import setting
+from hourlake.spec import DEFAULT_METRICS, DEFAULT_SPEC, HourlySpec
 
 NEW_YEAR = datetime(2030, 1, 1)
 SCHEMA = "city_id INT, city STRING, measurement_timestamp TIMESTAMP, " + ", ".join(
     [f"{m} DOUBLE" for m in DEFAULT_METRICS] + [f"{f} BOOLEAN" for f in DEFAULT_SPEC.flags]
 )
-COUNTINGS = ["distinct", "unique_rows", "whole_hours"]
+COUNTINGS = ["distinct", "unique_rows", "minutes", "whole_hours"]
 
 
 def slot(hour, *values, place=(70, "Quellheim"), timed=True, minutes=0):
@@ -74,11 +76,35 @@ def test_rollup_of_one_day(spark, rows, observed):
 def test_observed_hours_are_distinct_timestamps(spark):
     rows = evening()
     tripled = dated(spark, rows * 3)
-    for observed in ("distinct", "whole_hours"):
+    for observed in ("distinct", "minutes", "whole_hours"):
         assert daily.daily_rollup(tripled, observed=observed).first()["observed_hour_count"] == 7
     between = dated(spark, [*rows, slot(20, 2.5, minutes=45)])
-    assert daily.daily_rollup(between).first()["observed_hour_count"] == 8
-    assert (daily.has_whole_hours_only(tripled), daily.has_whole_hours_only(between)) == (True, False)
+    for observed in ("distinct", "minutes"):
+        assert daily.daily_rollup(between, observed=observed).first()["observed_hour_count"] == 8
+    every = [slot(i // 60, 1.0, minutes=i % 60) for i in range(1440)]
+    found = daily.daily_rollup(dated(spark, every + every[::7]), observed="minutes").first()
+    assert found["observed_hour_count"] == 1440
+
+
+def test_minutes_of_a_day_of_25_hours(spark):
+    """Where clocks are put back, an hour's minutes come twice and are different times."""
+    with setting(spark, "spark.sql.session.timeZone", "Europe/Paris"):
+        # Midnight of 27 October 2024 there, and every minute since.
+        times = spark.range(25 * 60).selectExpr(
+            "1 AS city_id", "timestamp_seconds(1729980000 + 60 * id) AS measurement_timestamp"
+        )
+        rows = daily.add_date(times).select(
+            "*", F.lit("x").alias("city"), *(F.lit(1.0).alias(m) for m in DEFAULT_METRICS),
+            *(F.lit(True).alias(f) for f in DEFAULT_SPEC.flags),
+        )
+        found = [r["observed_hour_count"] for r in daily.daily_rollup(rows, observed="minutes").collect()]
+    assert found == [1500]
+
+
+def test_counting_goes_by_what_the_format_can_say():
+    formats = {"yyyy-MM-dd'T'HH:mm": "minutes", "yyyy-MM-dd HH:mm:ss": "distinct", "HH:mm 'seconds' dd.MM.yyyy": "minutes"}
+    for text, method in formats.items():
+        assert daily.counting_method(HourlySpec(timestamp_format=text)) == method
 
 
 def test_unknown_counting_method_is_refused(spark):
@@ -112,7 +138,7 @@ def several_places(spark):
     )
 
 
-@pytest.mark.parametrize("observed", ["distinct", "whole_hours"])
+@pytest.mark.parametrize("observed", ["distinct", "minutes", "whole_hours"])
 def test_report_in_one_pass_equals_rollup_joined_with_peaks(spark, observed):
     rows = several_places(spark)
     columns = list(schemas.gold())
@@ -146,7 +172,8 @@ def test_report_takes_one_scan_and_one_shuffle(spark, tmp_path):
     path = str(tmp_path / "silver")
     spark.createDataFrame(evening(), SCHEMA).write.parquet(path)
     rows = daily.add_date(spark.read.schema(SCHEMA).parquet(path))
-    report = daily.daily_report(rows, observed="whole_hours")
-    plan = report._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == plan.count("Exchange hashpartitioning") == 1
-    assert "PushedFilters: [IsNotNull(is_valid_measurement_timestamp)" in plan
+    for observed in ("minutes", "whole_hours"):
+        report = daily.daily_report(rows, observed=observed)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == plan.count("Exchange hashpartitioning") == 1
+        assert "PushedFilters: [IsNotNull(is_valid_measurement_timestamp)" in plan

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from test_flatten import document, full
@@ -102,6 +102,36 @@ def test_rows_set_aside_keep_their_copies(spark, tmp_path):
     assert sorted(map(str, stored.collect())) == sorted(map(str, wanted.collect()))
 
 
+def test_increments_equal_a_rebuild_and_read_only_their_days(spark, tmp_path):
+    def shifted(row, days):
+        hours = [datetime.fromisoformat(t) + timedelta(days=days) for t in HOURS]
+        row["raw_payload"]["hourly"]["time"] = [f"{t:%Y-%m-%dT%H:%M}" for t in hours]
+        return row
+
+    bad = ["nonsense", *HOURS[1:]]
+    first = [shifted(complete("r1", hour=1), 0), shifted(complete("r2", hour=2, value=2.0), 1), complete("r0", time=bad)]
+    second = [shifted(complete("r3", hour=3, value=3.0), 3), shifted(complete("r0", hour=0, value=9.0), 1)]
+    path, whole = str(tmp_path / "days"), str(tmp_path / "whole")
+    silver.update_silver(spark, documents(spark, *first), path, batch="one")
+    before = readers.silver_days(spark, path)
+    assert sorted(before) == ["aside-one", *(f"day-2026-07-{d}" for d in (18, 19, 20, 21))]
+    report = silver.update_silver(spark, documents(spark, *second), path, batch="two")
+    after = readers.silver_days(spark, path)
+    # The day that the second increment has no rows of is neither read nor written.
+    assert {k for k in before if before[k] == after[k]} == {"aside-one", "day-2026-07-18"}
+    assert report.row_count == 120
+    # Started again, an increment changes nothing.
+    silver.update_silver(spark, documents(spark, *first), path, batch="one")
+    silver.build_silver(spark, documents(spark, *first, *second), whole)
+    wanted = readers.read_silver(spark, whole).collect()
+    assert sorted(map(str, readers.read_silver(spark, path).collect())) == sorted(map(str, wanted))
+    with pytest.raises(ValueError, match="replaced as a whole"):
+        silver.update_silver(spark, documents(spark, *first), whole)
+    with pytest.raises(RuntimeError, match="length records"):
+        silver.update_silver(spark, documents(spark, full(pm10=[1.0])), path)
+    assert gold.build_gold(spark, path, str(tmp_path / "gold")) == 6
+
+
 def test_source_that_grows_after_the_gate_is_refused(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "silver")
     grown = documents(spark, complete(), complete("r2", hour=11, time=[*HOURS, "2026-07-21T00:00"]))

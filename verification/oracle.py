@@ -425,6 +425,12 @@ SELECT * EXCLUDE (recency_rank) FROM ranked WHERE recency_rank = 1""",
     "daily_rollup_repeated": f"WITH {MEASUREMENTS},{_daily('checked')} SELECT * FROM rollup_rows",
     "daily_rollup_whole_hours": f"WITH {MEASUREMENTS},{_daily('checked')}"
     " SELECT * FROM rollup_rows",
+    "daily_rollup_minutes": f"""WITH {MEASUREMENTS},
+moved AS (
+  SELECT * REPLACE (measurement_timestamp + CAST((city_id
+      + date_diff('day', DATE '2024-01-01', CAST(substr(run_id, 5, 10) AS DATE))) % 60 AS INTEGER)
+      * INTERVAL 1 MINUTE AS measurement_timestamp) FROM checked
+),{_daily('moved')} SELECT * FROM rollup_rows""",
     "daily_peak": f"WITH {DAILY} SELECT * FROM peaks",
     "daily_peak_texts": f"""WITH {DAILY}
 SELECT city_id, measurement_date,
@@ -498,6 +504,7 @@ daily AS (SELECT count(*) AS row_count FROM rollup_rows)
 SELECT CAST(n AS INTEGER) AS position, name AS column_name, kind AS column_type, row_count
 FROM daily, (VALUES {GOLD_COLUMNS}) named(n, name, kind)""",
     "silver_roundtrip": SILVER,
+    "silver_increments": SILVER,
     "gold_roundtrip": GOLD,
     "ingestion_roundtrip": f"""WITH {RESPONSES},
 stored AS (

@@ -18,6 +18,7 @@ from hourlake.plans.silver import (
     checked_measurements,
     profile_documents,
     timed_measurements,
+    update_silver,
 )
 from hourlake.schemas import MEASUREMENT_KEY
 from hourlake.sources import readers, writers
@@ -251,6 +252,19 @@ def daily_rollup_whole_hours(spark, sf_dir):
     return daily.daily_rollup(daily.add_date(_checked(spark, sf_dir)), observed="whole_hours")
 
 
+def daily_rollup_minutes(spark, sf_dir):
+    """Rollup of timestamps off the full hour, which differ from run to run, with the day's minutes in the
+    bits of numbers."""
+    return daily.daily_rollup(_off_the_hour(spark, sf_dir), observed="minutes")
+
+
+def _off_the_hour(spark, sf_dir):
+    run_day = F.substring("run_id", 5, 10).cast("date")
+    minute = (F.col("city_id") + F.datediff(run_day, F.lit(fixtures.EPOCH).cast("date"))) % 60
+    moved = F.col("measurement_timestamp") + F.make_dt_interval(mins=minute)
+    return daily.add_date(_checked(spark, sf_dir).withColumn("measurement_timestamp", moved))
+
+
 def daily_rollup_unique(spark, sf_dir):
     return daily.daily_rollup(_latest_dated(spark, sf_dir), observed="unique_rows")
 
@@ -503,6 +517,16 @@ def silver_roundtrip(spark, sf_dir):
     return _plain(readers.read_silver(spark, f"{folder}/silver"))
 
 
+def silver_increments(spark, sf_dir):
+    """Silver rows from three increments, two of which bring records that the third one's replace or that
+    come too late to count."""
+    folder = writers.work_folder(spark)
+    documents = _written_documents(spark, sf_dir, folder)
+    for runs in ("run_day < '2024-01-12'", "run_day > '2024-01-18'", "run_day BETWEEN '2024-01-12' AND '2024-01-18'"):
+        update_silver(spark, documents.filter(runs), f"{folder}/silver")
+    return _plain(readers.read_silver(spark, f"{folder}/silver"))
+
+
 def gold_roundtrip(spark, sf_dir):
     folder = writers.work_folder(spark)
     documents = _written_documents(spark, sf_dir, folder)
@@ -565,6 +589,7 @@ QUERIES: dict[str, Query] = {
         daily_rollup,
         daily_rollup_repeated,
         daily_rollup_whole_hours,
+        daily_rollup_minutes,
         daily_rollup_unique,
         daily_peak,
         daily_peak_texts,
@@ -592,6 +617,7 @@ QUERIES: dict[str, Query] = {
         city_outcomes_tied,
         unlisted_city_documents,
         silver_roundtrip,
+        silver_increments,
         gold_schema,
         gold_roundtrip,
         ingestion_roundtrip,
