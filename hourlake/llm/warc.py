@@ -22,11 +22,11 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourlake.llm.tables import as_bytes, new_folder
+from hourlake.llm.tables import as_bytes, bounded, new_folder
 
 VERSION = "WARC/1.1"
 #: Date of responses whose source has none.
@@ -50,14 +50,16 @@ RECORDS = T.StructType(
 )
 
 # Elements whose content isn't shown, and elements that end a line.
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>|<!doctype[^>]*>")
-_LINE = re.compile(
-    r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|nav|header|footer|blockquote|pre)\b[^>]*>"
+_HIDDEN = ("script", "style", "noscript", "template", "head")
+_LINE = frozenset(
+    "p div br li ul ol h1 h2 h3 h4 h5 h6 tr table section article nav header footer blockquote pre".split()
 )
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
+# End of fixed values.
+_TAG = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9]*)|[/!?])")
+_CLOSING = {name: re.compile(rf"(?i)</{name}\s*>") for name in (*_HIDDEN, "title")}
+_TITLE, _LINK, _HREF = re.compile("(?i)<title"), re.compile(r"(?i)<a\b"), re.compile(r"(?i)\bhref\s*=\s*")
 _BLANKS = re.compile(r"[ \t\r\f\v ]+")
-_TITLE = re.compile(r"(?is)<title[^>]*>(.*?)</title\s*>")
-_LINK = re.compile(r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
+_CONTROL = re.compile("[\x00-\x1f\x7f]")
 
 
 def digest(data: bytes) -> str:
@@ -71,13 +73,70 @@ def record_name(*parts: str) -> str:
 
 
 def visible_text(page: str) -> str:
-    """Text of a page, a line for each block element, blanks run together, no empty lines."""
-    text = _LINE.sub("\n", _HIDDEN.sub(" ", page))
-    text = html.unescape(_TAG.sub("", text))
-    lines = (_BLANKS.sub(" ", line).strip() for line in text.split("\n"))
+    """Text of a page, a line for each block element, blanks run together, no empty lines.
+
+    One walk by position. A closing mark that isn't found from one place on isn't looked for again, so
+    unclosed elements and comments cost no more than others; of those only the opening tag is left out.
+    """
+    out, at, missing = [], 0, set()
+    while tag := _TAG.search(page, at):
+        out.append(page[at : tag.start()])
+        at = tag.start()
+        name = "" if tag[1] else (tag[2] or "").lower()
+        end = -1
+        if page.startswith("<!--", at) and "--" not in missing:
+            end = page.find("-->", at + 4)
+            end = end + 3 if end >= 0 else missing.add("--") or -1
+        elif name in _HIDDEN and name not in missing:
+            closing = _CLOSING[name].search(page, tag.end())
+            end = closing.end() if closing else missing.add(name) or -1
+        if end >= 0:
+            out.append(" ")
+            at = end
+            continue
+        close = page.find(">", tag.end())
+        if close < 0:
+            break
+        out.append("\n" if (tag[2] or "").lower() in _LINE else "")
+        at = close + 1
+    out.append(page[at:])
+    lines = (_BLANKS.sub(" ", line).strip() for line in html.unescape("".join(out)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def title_of(page: str) -> str | None:
+    """The text of the first title element, if it is closed."""
+    opening = _TITLE.search(page)
+    begin = page.find(">", opening.end()) if opening else -1
+    closing = _CLOSING["title"].search(page, begin) if begin >= 0 else None
+    return _BLANKS.sub(" ", html.unescape(page[begin + 1 : closing.start()])).strip() if closing else None
+
+
+def links_of(page: str) -> list[str]:
+    """The values of ``href`` in the tags of links, in order, each part of the page looked at once."""
+    found, at, missing = [], 0, set()
+    while (link := _LINK.search(page, at)) and (close := page.find(">", link.end())) >= 0:
+        at = close + 1
+        href = _HREF.search(page, link.end(), close)
+        if not href:
+            continue
+        quote = page[href.end()]
+        end = page.find(quote, href.end() + 1) if quote in "\"'" and quote not in missing else -1
+        if end >= 0:
+            found.append(page[href.end() + 1 : end])
+            at = max(at, end + 1)
+        elif quote in "\"'":
+            missing.add(quote)
+        elif value := page[href.end() : close].split(maxsplit=1):
+            found.append(value[0])
+    return found
+
+
+def header_value(value: str) -> str:
+    """A header's value on one line: control characters are percent-encoded."""
+    return _CONTROL.sub(lambda c: f"%{ord(c[0]):02X}", value)
+
+
 def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
     """Status line, headers by lower-case name and body of an HTTP response."""
     head, gap, body = block.partition(b"\r\n\r\n")
@@ -96,10 +155,11 @@ def _responses_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             block = head.encode() + b"\r\n\r\n" + body
             rows.append(
                 {
-                    "record_id": record_name("response", str(page_id), url or ""),
+                    # Two captures of a page, and pages without id or url, differ by their bodies.
+                    "record_id": record_name("response", repr(page_id), repr(url), digest(body)),
                     "record_type": "response",
                     "refers_to": None,
-                    "target_uri": url,
+                    "target_uri": None if url is None else header_value(url),
                     "date": NO_DATE,
                     "content_type": "application/http; msgtype=response",
                     "block_digest": digest(block),
@@ -124,8 +184,6 @@ def derived(response: dict) -> tuple[dict, dict]:
     """The metadata and the conversion record of one response record."""
     status, headers, body = split_http(response["block"])
     page = body.decode("utf-8", "replace")
-    title = _TITLE.search(page)
-    links = [next(x for x in found if x is not None) for found in _link_values(page)]
     text = visible_text(page).encode()
     source = {
         "WARC-Record-ID": response["record_id"],
@@ -139,8 +197,8 @@ def derived(response: dict) -> tuple[dict, dict]:
         "source": source,
         "http": {"status": status, "headers": headers},
         "html": {
-            "title": _BLANKS.sub(" ", html.unescape(title[1])).strip() if title else None,
-            "links": links,
+            "title": title_of(page),
+            "links": links_of(page),
         },
         "body_length": len(body),
         "text_length": len(text),
@@ -166,10 +224,6 @@ def derived(response: dict) -> tuple[dict, dict]:
     )
 
 
-def _link_values(page: str) -> list[tuple[str | None, ...]]:
-    return [m.groups() for m in _LINK.finditer(page)]
-
-
 def _derive_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [d for r in batch.to_pylist() if r["record_type"] == "response" for d in derived(r)]
@@ -177,9 +231,14 @@ def _derive_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def responses_of(pages: DataFrame) -> DataFrame:
-    """Response records of pages (``page_id``, ``url``, ``html``); a null page is an empty body."""
+    """Response records of pages (``page_id``, ``url``, ``html``); other columns are ignored.
+
+    A null page is an empty body, a null url a record without target. Control characters of a url are
+    percent-encoded, as a header is one line. Ids come from page_id, url and body, so repeated rows have equal
+    records, and two captures of one page have not.
+    """
     rows = pages.select(F.col("page_id").cast("string"), "url", as_bytes("html").alias("body"))
-    return rows.mapInArrow(_responses_task, RECORDS)
+    return bounded(rows).mapInArrow(_responses_task, RECORDS)
 
 
 def derivatives(records: DataFrame) -> DataFrame:
@@ -187,7 +246,7 @@ def derivatives(records: DataFrame) -> DataFrame:
 
     A block without an HTTP head counts as body alone. Repeated responses have repeated derivatives.
     """
-    return records.select(*RECORDS.names).mapInArrow(_derive_task, RECORDS)
+    return bounded(records.select(*RECORDS.names)).mapInArrow(_derive_task, RECORDS)
 
 
 #: WARC headers of the columns of a record, in the order in which they are written.
@@ -205,9 +264,20 @@ HEADERS = {
 
 
 def write_warc(records: DataFrame, folder: str) -> None:
-    """Write records as WARC files. Headers that are null are left out."""
+    """Write records as WARC files. Headers that are null are left out; control characters in their values
+    are percent-encoded."""
+
+    def value(column: str) -> Column:
+        encoded = F.transform(
+            F.split(F.col(column), ""),
+            lambda c: F.when(
+                c.rlike("^[\\x00-\\x1f\\x7f]$"), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))
+            ).otherwise(c),
+        )
+        return F.when(F.col(column).rlike("[\\x00-\\x1f\\x7f]"), F.array_join(encoded, "")).otherwise(F.col(column))
+
     lines = [
-        F.concat(F.lit(f"{name}: "), F.col(column), F.lit("\r\n")) for column, name in HEADERS.items()
+        F.concat(F.lit(f"{name}: "), value(column), F.lit("\r\n")) for column, name in HEADERS.items()
     ]
     head = F.concat(
         F.lit(f"{VERSION}\r\n"),
@@ -231,6 +301,8 @@ def parse_warc(data: bytes) -> Iterator[dict]:
         pairs = (line.partition(": ") for line in lines)
         headers = {name.lower(): value for name, _, value in pairs}
         begin = end + 4
+        if not headers.get("content-length", "").isdigit():
+            raise ValueError(f"the record at byte {at} has no length")
         block = data[begin : begin + int(headers["content-length"])]
         record = {column: headers.get(name) for name, column in columns.items()} | {"block": block}
         if record["block_digest"] != digest(block):
