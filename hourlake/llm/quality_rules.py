@@ -1,10 +1,15 @@
 """Quality rules whose thresholds come from the data, with built-in functions only.
 
 Each document gets a few counts. Ratios of them are compared with what is usual for the document's
-language and source: fences far outside the middle half of the group's values. The quantiles come
-from mergeable sketches: counts of logarithmic buckets per group, which tasks add up before the
-shuffle and which are the same however the rows were dealt out. Small groups borrow from their
-language, and that from all documents.
+language and source: fences around the middle half of the group's values, on a logarithmic scale, as far
+out as the middle half is wide, ``REACH`` times over. A ratio that most documents have none of is compared
+with those that have some; having none is never a reason to refuse.
+
+The quantiles come from mergeable sketches: counts of logarithmic buckets per group, which tasks add up
+before the shuffle and which are the same however the rows were dealt out. To every group's sketch
+``PRIOR`` documents as its language has them are added, and to a language's as many as all documents have
+them: a small group goes by its language, a large one by itself, and between them nothing changes in a step.
+All weights are whole numbers, so that sums don't depend on their order.
 """
 
 from __future__ import annotations
@@ -17,20 +22,12 @@ from hourlake.llm.tables import stored
 WINDOW = 8
 #: Buckets of the sketch are 2 % wide; values under the least count as zero.
 GROWTH, LEAST = 1.02, 1e-3
-#: A group needs so many documents for fences of its own.
-LEAST_ROWS = 200
-#: The fences stand so many widths of the middle range beyond its ends; its width counts as this
-#: share of its upper end at least.
-REACH, WIDTH_SHARE = 4.0, 0.25
-QUANTILES = (0.25, 0.75)
-#: Ratio → whether values below are refused too, and the least width of its middle range: where
-#: most documents have none of something, having a little is no reason to refuse.
-RATIOS = {
-    "symbol_ratio": (False, 0.02),
-    "dup_line_ratio": (False, 0.12),
-    "repeat_ratio": (False, 0.06),
-    "word_length": (True, 0.3),
-}
+#: Documents that a group borrows, and the weight of one of its own.
+PRIOR, SCALE = 200, 1000
+#: The fences stand so many widths of the middle half beyond its ends.
+REACH = 4
+#: Ratio → whether values below are refused too.
+RATIOS = {"symbol_ratio": False, "dup_line_ratio": False, "repeat_ratio": False, "word_length": True}
 
 _SPACE = r" \t\n\x0B\f\r"
 _BLANKS = " \t\n\x0b\f\r"
@@ -78,7 +75,8 @@ def with_counts(documents: DataFrame, text: str = "text") -> DataFrame:
 
     A null text counts as empty: all counts are zero. Columns of these names are replaced, and so
     are ``_words`` and ``_windows``. Windows of eight words are compared by 64-bit hashes of the
-    hashes of their words, within one text only.
+    hashes of their words, within one text only. Store the result before filtering by its counts: a filter
+    would have them worked out once more, and its own way.
     """
     column = F.coalesce(F.col(text), F.lit(""))
     hashed = F.transform("_words", lambda w: F.xxhash64(w))
@@ -137,19 +135,19 @@ def with_ratios(counts: DataFrame) -> DataFrame:
     )
 
 
+def bucket(value: Column) -> Column:
+    """The logarithmic bucket of a value; null for values that count as zero."""
+    return F.when(value >= LEAST, F.floor(F.log(value / LEAST) / F.log(F.lit(GROWTH))).cast("int"))
+
+
 def sketches(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Mergeable quantile sketches: rows per key, ratio and logarithmic bucket.
+    """Mergeable quantile sketches: rows per key, ratio and logarithmic bucket, without zeros.
 
     Sketches of parts of the data are merged by adding up ``n``.
     """
-    values = rows.select(
-        *keys,
-        F.explode(F.create_map(*(x for r in RATIOS for x in (F.lit(r), F.col(r))))).alias("ratio", "v"),
-    )
-    bucket = F.when(F.col("v") < LEAST, F.lit(None).cast("int")).otherwise(
-        F.floor(F.log(F.col("v") / LEAST) / F.log(F.lit(GROWTH))).cast("int")
-    )
-    return values.groupBy(*keys, "ratio", bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    named = F.create_map(*(x for r in RATIOS for x in (F.lit(r), bucket(F.col(r)))))
+    values = rows.select(*keys, F.explode(named).alias("ratio", "bucket")).where("bucket IS NOT NULL")
+    return values.groupBy(*keys, "ratio", "bucket").agg(F.count("*").alias("n"))
 
 
 def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
@@ -157,74 +155,76 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key: documents, and the lower and upper fence of each ratio."""
-    group = Window.partitionBy(*keys, "ratio")
-    order = group.orderBy(F.col("bucket").asc_nulls_first())
-    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(
-        F.pow(F.lit(GROWTH), F.col("bucket") + 0.5) * LEAST
-    )
-    placed = (
-        sketch.withColumn("below", F.sum("n").over(order))
-        .withColumn("rows", F.sum("n").over(group))
-        .withColumn("value", value)
-    )
-    low, high = (F.min(F.when(F.col("below") >= q * F.col("rows"), F.col("value"))) for q in QUANTILES)
-    both = placed.groupBy(*keys, "ratio").agg(
-        F.first("rows").alias("rows"), low.alias("low"), high.alias("high")
-    )
-    width = F.greatest(
-        F.col("high") - F.col("low"),
-        F.col("high") * WIDTH_SHARE,
-        F.element_at(F.create_map(*(F.lit(x) for r in RATIOS for x in (r, RATIOS[r][1]))), F.col("ratio")),
-    )
-    sides = both.withColumn("least", F.col("low") - REACH * width).withColumn(
-        "most", F.col("high") + REACH * width
+def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A null-safe join on ``keys``, which the result has once."""
+    renamed = right.withColumnsRenamed({k: f"other_{k}" for k in keys})
+    on = [left[k].eqNullSafe(renamed[f"other_{k}"]) for k in keys]
+    return left.join(renamed, on, how).drop(*(f"other_{k}" for k in keys))
+
+
+def blended(own: DataFrame, groups: DataFrame, above: DataFrame, keys: list[str], shared: list[str]) -> DataFrame:
+    """Weights per key, ratio and bucket: own documents, and ``PRIOR`` more as the group above has them.
+
+    ``groups`` has every key, ``above`` the weights of the coarser groups by ``shared`` keys: a few hundred
+    buckets a ratio.
+    """
+    totals = above.groupBy(*shared, "ratio").agg(F.sum("w").alias("total"))
+    shares = _matched(above, totals, [*shared, "ratio"]).select(
+        *shared, "ratio", "bucket", F.expr(f"({PRIOR * SCALE} * w) div total").alias("w")
     )
+    every = groups.withColumn("ratio", F.explode(F.array(*map(F.lit, RATIOS))))
+    borrowed = _matched(every, shares, [*shared, "ratio"]).select(*keys, "ratio", "bucket", "w")
+    mine = own.select(*keys, "ratio", "bucket", (F.col("n") * SCALE).alias("w"))
+    return mine.union(borrowed).groupBy(*keys, "ratio", "bucket").agg(F.sum("w").alias("w"))
+
+
+def fences(weights: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key: the least and the largest bucket of each ratio that isn't refused."""
+    group = Window.partitionBy(*keys, "ratio")
+    placed = weights.withColumn("below", F.sum("w").over(group.orderBy("bucket"))).withColumn(
+        "total", F.sum("w").over(group)
+    )
+    low = F.min(F.when(4 * F.col("below") >= F.col("total"), F.col("bucket")))
+    high = F.min(F.when(4 * F.col("below") >= 3 * F.col("total"), F.col("bucket")))
+    ends = placed.groupBy(*keys, "ratio").agg(low.alias("low"), high.alias("high"))
+    width = F.col("high") - F.col("low") + 1
+    sides = ends.withColumn("least", F.col("low") - REACH * width).withColumn("most", F.col("high") + REACH * width)
     return sides.groupBy(*keys).agg(
-        F.max("rows").alias("rows"),
         *(
             F.max(F.when(F.col("ratio") == r, F.col(side))).alias(f"{side}_{r}")
             for r in RATIOS
             for side in ("least", "most")
-        ),
+        )
     )
 
 
+def group_fences(rows: DataFrame) -> DataFrame:
+    """Fences by lang and source, of rows with ratios."""
+    keys = ["lang", "source"]
+    fine = sketches(rows, keys)
+    language = merged(fine, ["lang"])
+    every = merged(language, []).select("ratio", "bucket", (F.col("n") * SCALE).alias("w"))
+    groups = rows.select(*keys).distinct()
+    by_language = blended(language, groups.select("lang").distinct(), every, ["lang"], [])
+    return fences(blended(fine, groups, by_language, keys, ["lang"]), keys)
+
+
 def judged(documents: DataFrame) -> DataFrame:
     """doc_id, counts and verdict of each document.
 
     ``base_failed``: fewer than 20 words, or more than 30 % of the words in repeated windows. The
-    rest is kept if each of its ratios is within the fences of its group: its language and source,
-    or its language where that group has fewer than 200 documents passing the base, or all. Null
-    languages and sources are groups of their own; repeated rows are judged alike.
+    rest is kept if each of its ratios is within the fences of its language and source, which the
+    documents that pass the base make. Null languages and sources are groups of their own; a null or empty
+    text fails the base; repeated rows are judged alike, and count as often as they are there.
     """
-    keys = ["lang", "source"]
     counts = with_ratios(with_counts(documents.select("doc_id", "lang", "source", "text")).drop("text"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = stored(counts.withColumn("base_failed", failed), "quality-counts")
-    fine = sketches(rows.where(~F.col("base_failed")), keys)
-    by_source = fences(fine, keys).where(F.col("rows") >= LEAST_ROWS)
-    language = merged(fine, ["lang"])
-    by_language = fences(language, ["lang"]).where(F.col("rows") >= LEAST_ROWS)
-    overall = fences(merged(language, []), [])
+    found = _matched(rows, group_fences(rows.where(~F.col("base_failed"))), ["lang", "source"], "left")
     inside = F.lit(True)
-    for r, (both, _) in RATIOS.items():
-        inside &= F.col(r) <= F.coalesce(*(F.col(f"{level}.most_{r}") for level in "slo"))
+    for r, both in RATIOS.items():
+        inside &= F.coalesce(bucket(F.col(r)) <= F.col(f"most_{r}"), F.lit(True))
         if both:
-            inside &= F.col(r) >= F.coalesce(*(F.col(f"{level}.least_{r}") for level in "slo"))
-    found = (
-        rows.alias("d")
-        .join(
-            by_source.alias("s"),
-            F.col("d.lang").eqNullSafe(F.col("s.lang")) & F.col("d.source").eqNullSafe(F.col("s.source")),
-            "left",
-        )
-        .join(by_language.alias("l"), F.col("d.lang").eqNullSafe(F.col("l.lang")), "left")
-        .join(F.broadcast(overall.alias("o")), F.lit(True), "left")
-    )
+            inside &= F.coalesce(bucket(F.col(r)) >= F.col(f"least_{r}"), F.lit(True))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return found.select(
-        *(F.col(f"d.{c}") for c in [*names, "base_failed"]),
-        (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"),
-    )
+    return found.select(*names, "base_failed", (~F.col("base_failed") & inside).alias("kept"))

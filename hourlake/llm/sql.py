@@ -113,30 +113,6 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_reached USING (doc
 
 
 
-def _fences(name: str, keys: str, rows: int) -> str:
-    """Fences of groups by ``keys`` (each with a comma after it), from counts of 2 % wide buckets."""
-    return f"""
-{name} AS (
-    SELECT {keys} ratio, low - 4 * width AS least, high + 4 * width AS most
-    FROM (
-        SELECT *, greatest(high - low, 0.25 * high, CASE ratio WHEN 'symbol_ratio' THEN 0.02
-            WHEN 'dup_line_ratio' THEN 0.12 WHEN 'repeat_ratio' THEN 0.06 ELSE 0.3 END) AS width
-        FROM (
-            SELECT {keys} ratio, max(total) AS total,
-                   min(value) FILTER (below >= 0.25 * total) AS low,
-                   min(value) FILTER (below >= 0.75 * total) AS high
-            FROM (
-                SELECT *, CASE WHEN bucket IS NULL THEN 0::DOUBLE
-                           ELSE pow(1.02::DOUBLE, bucket + 0.5::DOUBLE) * 0.001::DOUBLE END AS value,
-                       sum(n) OVER (PARTITION BY {keys} ratio ORDER BY bucket NULLS FIRST) AS below,
-                       sum(n) OVER (PARTITION BY {keys} ratio) AS total
-                FROM (SELECT {keys} ratio, bucket, count(*) AS n FROM bucketed GROUP BY ALL)
-            ) GROUP BY {keys} ratio
-        )
-    ) WHERE total >= {rows}
-)"""
-
-
 QUALITY_RULES_SQL = rf"""
 WITH texts AS (
     SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
@@ -177,24 +153,56 @@ long AS (
     INTO NAME ratio VALUE v
 ),
 bucketed AS (
-    SELECT lang, source, ratio, CASE WHEN v < 0.001 THEN NULL
-        ELSE CAST(floor(ln(v / 0.001::DOUBLE) / ln(1.02::DOUBLE)) AS INTEGER) END AS bucket
-    FROM long WHERE NOT base_failed
-),{_fences("by_source", "lang, source,", 200)},{_fences("by_language", "lang,", 200)},
-{_fences("overall", "", 0)},
+    SELECT r, lang, source, base_failed, ratio,
+           CASE WHEN v >= 0.001 THEN CAST(floor(ln(v / 0.001::DOUBLE) / ln(1.02::DOUBLE)) AS INTEGER) END AS bucket
+    FROM long
+),
+fine AS (
+    SELECT lang, source, ratio, bucket, 1000 * count(*) AS w FROM bucketed
+    WHERE NOT base_failed AND bucket IS NOT NULL GROUP BY ALL
+),
+places AS (SELECT DISTINCT lang, source FROM judged WHERE NOT base_failed),
+overall AS (
+    SELECT ratio, bucket, (200000 * sum(w)) // sum(sum(w)) OVER (PARTITION BY ratio) AS w
+    FROM fine GROUP BY ratio, bucket
+),
+languages AS (
+    SELECT lang, ratio, bucket, sum(w) AS w FROM (
+        SELECT lang, ratio, bucket, w FROM fine
+        UNION ALL SELECT lang, ratio, bucket, w FROM (SELECT DISTINCT lang FROM places), overall
+    ) GROUP BY ALL
+),
+lent AS (
+    SELECT lang, ratio, bucket, (200000 * w) // sum(w) OVER (PARTITION BY lang, ratio) AS w FROM languages
+),
+weights AS (
+    SELECT lang, source, ratio, bucket, sum(w) AS w FROM (
+        SELECT * FROM fine
+        UNION ALL
+        SELECT p.lang, p.source, ratio, bucket, w
+        FROM places p JOIN lent l ON p.lang IS NOT DISTINCT FROM l.lang
+    ) GROUP BY ALL
+),
+ends AS (
+    SELECT lang, source, ratio, min(bucket) FILTER (4 * below >= total) AS low,
+           min(bucket) FILTER (4 * below >= 3 * total) AS high
+    FROM (
+        SELECT *, sum(w) OVER (PARTITION BY lang, source, ratio ORDER BY bucket) AS below,
+               sum(w) OVER (PARTITION BY lang, source, ratio) AS total
+        FROM weights
+    ) GROUP BY lang, source, ratio
+),
 verdicts AS (
-    SELECT r, bool_and(v <= coalesce(s.most, l.most, o.most)
-        AND (d.ratio <> 'word_length' OR v >= coalesce(s.least, l.least, o.least))) AS inside
-    FROM long d
-    LEFT JOIN by_source s ON d.ratio = s.ratio AND d.lang IS NOT DISTINCT FROM s.lang
-        AND d.source IS NOT DISTINCT FROM s.source
-    LEFT JOIN by_language l ON d.ratio = l.ratio AND d.lang IS NOT DISTINCT FROM l.lang
-    LEFT JOIN overall o ON d.ratio = o.ratio
+    SELECT r, bool_and(coalesce(bucket <= high + 4 * (high - low + 1)
+        AND (b.ratio <> 'word_length' OR bucket >= low - 4 * (high - low + 1)), TRUE)) AS inside
+    FROM bucketed b
+    LEFT JOIN ends e ON b.ratio = e.ratio AND b.lang IS NOT DISTINCT FROM e.lang
+        AND b.source IS NOT DISTINCT FROM e.source
     GROUP BY r
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(inside, TRUE) AS kept
-FROM judged LEFT JOIN verdicts USING (r)
+       NOT base_failed AND inside AS kept
+FROM judged JOIN verdicts USING (r)
 """
 
 _WILD = """CASE WHEN {0} IS NULL THEN NULL WHEN {0} = '' THEN ''
