@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hourlake.spec import DEFAULT_SPEC, HourlySpec, array_column
 
-# Where each document-level column sits in the nested document.
+# Where each document-level column sits in the nested document.
 DOCUMENT_PATHS = {
     "run_id": "run_id",
     "city_id": "city.city_id",
@@ -17,6 +17,7 @@ DOCUMENT_PATHS = {
     "requested_longitude": "city.requested_longitude",
     "ingested_at_utc": "ingestion_metadata.ingested_at_utc",
 }
+# End of fixed values.
 
 
 def flatten_documents(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:

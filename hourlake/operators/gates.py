@@ -16,6 +16,15 @@ from hourlake.functions.validity import any_null, has_length_issue
 from hourlake.operators.quality import duplicate_keys
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
+# What the gates say, compared by callers.
+LENGTH_ISSUES = "Issues found in {count} source array-length records."
+ROW_COUNTS_DIFFER = "{label} row-count validation failed: expected {expected}, found {actual}"
+SCHEMAS_DIFFER = "{label} schema does not match the written DataFrame"
+NO_KEY_COLUMNS = "key_columns cannot be empty"
+NULL_KEYS = "{label} contains {count} rows with null business keys"
+DUPLICATE_KEYS = "{label} contains {count} duplicate key groups"
+# End of fixed values.
+
 
 def length_issues(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     """Flattened documents whose arrays are absent, uneven or of the wrong length."""
@@ -24,7 +33,7 @@ def length_issues(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame
 
 def require_no_length_issues(issue_count: int) -> None:
     if issue_count > 0:
-        raise RuntimeError(f"Issues found in {issue_count} source array-length records.")
+        raise RuntimeError(LENGTH_ISSUES.format(count=issue_count))
 
 
 def check_lengths(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> None:
@@ -57,9 +66,7 @@ def check_no_duplicate_measurements(checked: DataFrame, label: str) -> None:
 
 def check_row_counts(expected: int, actual: int, label: str) -> None:
     if expected != actual:
-        raise RuntimeError(
-            f"{label} row-count validation failed: expected {expected}, found {actual}"
-        )
+        raise RuntimeError(ROW_COUNTS_DIFFER.format(label=label, expected=expected, actual=actual))
 
 
 def check_schema(expected: DataFrame, actual: DataFrame, label: str) -> None:
@@ -69,7 +76,7 @@ def check_schema(expected: DataFrame, actual: DataFrame, label: str) -> None:
         return [(f.name, f.dataType.simpleString()) for f in frame.schema.fields]
 
     if columns(expected) != columns(actual):
-        raise RuntimeError(f"{label} schema does not match the written DataFrame")
+        raise RuntimeError(SCHEMAS_DIFFER.format(label=label))
 
 
 def check_keyed_table(
@@ -101,17 +108,17 @@ def check_keyed_table(
 
 def _require_keys(keys: Sequence[str]) -> None:
     if not keys:
-        raise ValueError("key_columns cannot be empty")
+        raise ValueError(NO_KEY_COLUMNS)
 
 
 def _require_no_null_keys(count: int, label: str) -> None:
     if count > 0:
-        raise RuntimeError(f"{label} contains {count} rows with null business keys")
+        raise RuntimeError(NULL_KEYS.format(label=label, count=count))
 
 
 def _require_no_duplicates(count: int, label: str) -> None:
     if count > 0:
-        raise RuntimeError(f"{label} contains {count} duplicate key groups")
+        raise RuntimeError(DUPLICATE_KEYS.format(label=label, count=count))
 
 
 def attempt_limit_violations(attempts: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:

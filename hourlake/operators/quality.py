@@ -9,6 +9,12 @@ from hourlake.functions.validity import parsed_timestamp, reading_is_valid, time
 from hourlake.schemas import MEASUREMENT_KEY
 from hourlake.spec import DEFAULT_SPEC, HourlySpec, flag
 
+# The columns of the duplicate reports.
+RECORD_COUNT = "record_count"
+DUPLICATE_KEY_GROUPS, REDUNDANT_ROWS = "duplicate_key_groups", "redundant_rows"
+MAX_RECORDS_PER_KEY = "max_records_per_key"
+# End of fixed values.
+
 
 def add_timestamp(measurements: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     return measurements.withColumn(
@@ -57,15 +63,15 @@ def duplicate_keys(checked: DataFrame) -> DataFrame:
     return (
         valid_timestamp_rows(checked)
         .groupBy(*MEASUREMENT_KEY)
-        .agg(F.count("*").alias("record_count"))
-        .filter("record_count > 1")
+        .agg(F.count("*").alias(RECORD_COUNT))
+        .filter(F.col(RECORD_COUNT) > 1)
     )
 
 
 def duplicate_summary(duplicates: DataFrame) -> DataFrame:
     """One row: duplicated keys, rows beyond one per key, largest group (NULLs if none)."""
     return duplicates.agg(
-        F.count("*").alias("duplicate_key_groups"),
-        F.sum(F.col("record_count") - 1).alias("redundant_rows"),
-        F.max("record_count").alias("max_records_per_key"),
+        F.count("*").alias(DUPLICATE_KEY_GROUPS),
+        F.sum(F.col(RECORD_COUNT) - 1).alias(REDUNDANT_ROWS),
+        F.max(RECORD_COUNT).alias(MAX_RECORDS_PER_KEY),
     )
