@@ -31,8 +31,8 @@ from hourlake.llm.tables import as_bytes, bounded, stored
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: A pair at the threshold is missed by all bands with odds of 1 in 80,000, a closer one with less.
-BANDS, ROWS = 24, 6
+#: A pair at the threshold is missed by all bands with odds of 1 in 4 million, a closer one with less.
+BANDS, ROWS = 32, 6
 BINS = BANDS * ROWS
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -108,6 +108,6 @@ def test_texts_without_repeats_keep_columns(spark):
     found = op.without_repeats(frame)
     assert found.columns == frame.columns
     texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in found.collect()}
-    assert texts == {1: (cut, 61), 2: ("vorher  nachher"[:6] + " nachher", 14), 3: (None, 7)} or texts[3] == (None, 7)
-    assert texts[1] == (cut, 61) and texts[2][1] == len(texts[2][0]) < 20
+    # The blank behind the repeat isn't part of it: no string of 50 bytes of document 1 ends in it.
+    assert texts == {1: (cut, 61), 2: ("vorher  nachher", 15), 3: (None, 7)}
     assert op.without_repeats(frame.limit(0)).collect() == []
