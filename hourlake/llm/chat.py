@@ -5,8 +5,15 @@ k turns is a running combination of the hashes of the turns; a conversation whos
 hash of the first k turns of a longer one is a snapshot of it. An anti-join drops the snapshots,
 and what is left is rendered. Built-in functions only.
 
-No window or group holds more than ``CHUNK`` turns of a conversation, as one id may hold a third of
-all rows: turns are numbered and hashed in chunks, whose sizes and hashes are then combined.
+One id may hold a third of all rows. Turns are ordered by a range partitioning, which cuts such a
+conversation where its rows differ, and numbered by their place in a partition; no window holds more than
+``CHUNK`` rows of a conversation, whatever their turn numbers are: hashes run within chunks of counted rows,
+and the chunks' totals, one row for each, are combined.
+
+Cases: turns are ordered by number; equal numbers by role, then text; null first. Repeated rows stay, one
+after the other. Rows without a conv_id belong to no conversation and are left out. A null role is rendered
+as ``unknown``, a null text as nothing; a text that holds an end mark is rendered as it is. An empty
+table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +23,10 @@ from pyspark.sql import functions as F
 
 from hourlake.llm.tables import stored
 
+#: Rows of a chunk, a power of two.
 CHUNK = 4096
+#: Bits of a row's number in its partition, as Spark makes such ids.
+ROW_BITS = 33
 #: Turns in one row of rendered text.
 PART = 1024
 
@@ -26,61 +36,60 @@ def _hashes(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns, F.lit(7))
 
 
-def numbered(turns: DataFrame) -> DataFrame:
-    """Turns with ``chunk`` (a stretch of turn numbers) and ``place``, their place in the
-    conversation from 1 on.
-
-    Turns are ordered by number; equal numbers by role, then text; null first. Repeated rows stay,
-    one after the other. Rows without a conv_id belong to no conversation and are left out.
-    """
-    rows = turns.where(F.col("conv_id").isNotNull()).select(
-        "conv_id", "turn", "role", "text", F.floor(F.col("turn") / CHUNK).alias("chunk")
+def ordered(turns: DataFrame) -> DataFrame:
+    """conv_id, ``at`` (rising along each conversation, without gaps in a partition), role, text."""
+    rows = turns.where(F.col("conv_id").isNotNull()).select("conv_id", "turn", "role", "text")
+    order = ["conv_id", "turn", "role", F.substring("text", 1, 64)]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").select(
+        "conv_id", F.monotonically_increasing_id().alias("at"), "role", "text"
     )
-    sizes = rows.groupBy("conv_id", "chunk").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _onto(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    renamed = found.withColumnsRenamed({k: f"other_{k}" for k in keys})
+    on = [rows[k] == renamed[f"other_{k}"] for k in keys]
+    return rows.join(renamed, on).drop(*(f"other_{k}" for k in keys))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Ordered rows with ``place``, their place in the conversation from 1 on, its ``n_turns``, and ``chunk``."""
+    part = F.shiftright("at", ROW_BITS)
+    rows = rows.withColumn("part", part).withColumn("chunk", F.floor(F.col("at") / CHUNK))
+    sizes = rows.groupBy("conv_id", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    # A row for each partition that a conversation has rows in.
+    along = Window.partitionBy("conv_id").orderBy("part")
+    before = F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select(
-        "conv_id", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+        "conv_id",
+        "part",
+        (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"),
+        F.sum("n").over(Window.partitionBy("conv_id")).alias("n_turns"),
     )
-    inside = Window.partitionBy("conv_id", "chunk").orderBy("turn", "role", "text")
-    ranked = rows.withColumn("rank", F.row_number().over(inside))
-    on = (ranked["conv_id"] == sizes["conv_id"]) & ranked["chunk"].eqNullSafe(sizes["chunk"])
-    return ranked.join(sizes, on).select(
-        ranked["conv_id"],
-        ranked["chunk"],
-        (F.col("before") + F.col("rank")).alias("place"),
-        "role",
-        "text",
+    return _onto(rows, sizes, ["conv_id", "part"]).select(
+        "conv_id", "chunk", (F.col("at") + F.col("shift")).alias("place"), "n_turns", "role", "text"
     )
 
 
 def prefixes(places: DataFrame) -> DataFrame:
-    """Per turn: conv_id, ``place``, and the hashes ``a``, ``b`` of all turns up to it.
+    """Per turn: conv_id, ``place``, ``n_turns``, and the hashes ``a``, ``b`` of all turns up to it.
 
     A turn's hash covers its place, so that exclusive or combines them in order; running values
     start from those of the chunks before.
     """
     a, b = _hashes("place", "role", F.col("role").isNull(), "text", F.col("text").isNull())
-    turns = places.select("conv_id", "chunk", "place", a.alias("a"), b.alias("b"))
-    totals = turns.groupBy("conv_id", "chunk").agg(
-        F.min("place").alias("first"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b")
+    turns = places.select("conv_id", "chunk", "place", "n_turns", a.alias("a"), b.alias("b"))
+    chunk = Window.partitionBy("conv_id", "chunk")
+    so_far = chunk.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = turns.select(
+        "conv_id", "chunk", "place", "n_turns", *(F.bit_xor(x).over(so_far).alias(x) for x in "ab")
     )
-    before = Window.partitionBy("conv_id").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    totals = turns.groupBy("conv_id", "chunk").agg(F.bit_xor("a").alias("a0"), F.bit_xor("b").alias("b0"))
+    before = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(
-        "conv_id",
-        "chunk",
-        *(F.coalesce(F.bit_xor(x).over(before), F.lit(0)).alias(f"{x}0") for x in "ab"),
-    )
-    so_far = (
-        Window.partitionBy("conv_id", "chunk")
-        .orderBy("place")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inside = turns.select(
-        "conv_id", "chunk", "place", *(F.bit_xor(x).over(so_far).alias(x) for x in "ab")
+        "conv_id", "chunk", *(F.coalesce(F.bit_xor(x).over(before), F.lit(0)).alias(x) for x in ("a0", "b0"))
     )
-    on = (inside["conv_id"] == totals["conv_id"]) & inside["chunk"].eqNullSafe(totals["chunk"])
-    return inside.join(totals, on).select(
-        inside["conv_id"], "place", *(F.col(x).bitwiseXOR(F.col(f"{x}0")).alias(x) for x in "ab")
+    return _onto(inside, totals, ["conv_id", "chunk"]).select(
+        "conv_id", "place", "n_turns", *(F.col(x).bitwiseXOR(F.col(f"{x}0")).alias(x) for x in "ab")
     )
 
 
@@ -89,28 +98,18 @@ def maximal(rows: DataFrame) -> DataFrame:
 
     ``n_logged`` counts how often the very same conversation was logged; the smallest id stays.
     """
-    ends = rows.groupBy("conv_id").agg(F.max(F.struct("place", "a", "b")).alias("end"))
-    whole = ends.groupBy("end.place", "end.a", "end.b").agg(
+    whole = rows.where(F.col("place") == F.col("n_turns")).groupBy("place", "a", "b").agg(
         F.min("conv_id").alias("conv_id"), F.count("*").alias("n_logged")
     )
-    lengths = ends.select("conv_id", F.col("end.place").alias("length"))
     # Each proper beginning once, however many conversations share it.
-    begun = (
-        rows.join(lengths, "conv_id")
-        .where(F.col("place") < F.col("length"))
-        .groupBy("place", "a", "b")
-        .agg(F.count("*").alias("n_longer"))
-    )
+    begun = rows.where(F.col("place") < F.col("n_turns")).select("place", "a", "b").distinct()
     return whole.join(begun, ["place", "a", "b"], "left_anti").select(
         "conv_id", F.col("place").alias("n_turns"), "n_logged"
     )
 
 
 def rendered(places: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The chosen conversations as text, ``PART`` turns in a row: role marks, turns, end marks.
-
-    A null role is rendered as ``unknown``, a null text as nothing.
-    """
+    """The chosen conversations as text, ``PART`` turns in a row: role marks, turns, end marks."""
     line = F.concat(
         F.lit("<|"),
         F.coalesce("role", F.lit("unknown")),
@@ -119,7 +118,7 @@ def rendered(places: DataFrame, chosen: DataFrame) -> DataFrame:
         F.lit("<|end|>\n"),
     )
     part = F.floor((F.col("place") - 1) / PART).alias("part")
-    turns = places.join(chosen, "conv_id").select(
+    turns = places.drop("n_turns").join(chosen, "conv_id").select(
         "conv_id", "n_turns", "n_logged", part, "place", line.alias("line")
     )
     lines = F.array_sort(F.collect_list(F.struct("place", "line")))
@@ -130,6 +129,6 @@ def rendered(places: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def collapse_and_render(turns: DataFrame) -> DataFrame:
     """One row per part of a maximal conversation: conv_id, part, n_turns, n_logged, rendered."""
-    places = stored(numbered(turns), "chat-turns")
-    chosen = maximal(prefixes(places))
+    places = stored(numbered(stored(ordered(turns), "chat-order")), "chat-turns")
+    chosen = maximal(stored(prefixes(places), "chat-hashes"))
     return rendered(places, chosen).select("conv_id", "part", "n_turns", "n_logged", "rendered")

@@ -14,10 +14,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder: ``spark.checkpoint.dir``, or a folder of the warehouse where
-    that is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/_work").rstrip("/")
+    """The cluster's shared folder, with its file system: ``spark.checkpoint.dir``, or a folder of the
+    warehouse where that is unset, as in tests. An address without a scheme is on the default file system,
+    also for those who open files of it without Spark."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_work"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(place).toString()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -45,6 +45,34 @@ def test_snapshots_collapse_like_brute_force(spark, monkeypatch):
         assert sorted((r["conv_id"], r["n_turns"], r["n_logged"]) for r in found) == brute(ROWS)
 
 
+def test_a_conversation_without_numbers_is_cut_into_chunks(spark):
+    """100,000 rows of one conversation, none of whose turns has a number, and a snapshot of it."""
+    said = [(1, None, "user", f"{i:06d}") for i in range(100_000)]
+    frame = spark.createDataFrame([*said, *((2, *r[1:]) for r in said[:60_000])], SCHEMA)
+    places = chat.stored(chat.numbered(chat.stored(chat.ordered(frame), "chat-order")), "chat-turns")
+    assert places.groupBy("conv_id", "chunk").count().agg({"count": "max"}).first()[0] <= chat.CHUNK
+    chosen = chat.maximal(chat.prefixes(places)).collect()
+    assert [tuple(r) for r in chosen] == [(1, 100_000, 1)]
+
+
+def test_plan_has_fewer_exchanges(spark):
+    """Of all steps together, with what is stored between them."""
+    rows = chat.ordered(spark.createDataFrame(ROWS, SCHEMA))
+    places = chat.numbered(chat.stored(rows, "chat-order"))
+    kept = chat.stored(places, "chat-turns")
+    hashed = chat.prefixes(kept)
+    chosen = chat.maximal(chat.stored(hashed, "chat-hashes"))
+    steps = [rows, places, hashed, chat.rendered(kept, chosen)]
+    with_joins = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in with_joins.items():
+        spark.conf.set(k, v)
+    try:
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in steps]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(p.count("Exchange ") for p in plans) <= 15
+
+
 def test_rendering(spark, monkeypatch):
     found = chat.collapse_and_render(spark.createDataFrame(turns(1, "a", None), SCHEMA)).first()
     assert found["rendered"] == "<|user|>\na<|end|>\n<|bot|>\n<|end|>\n"
