@@ -21,6 +21,10 @@ from hourlake.sources.writers import Batch, document_batch, summary_batch, work_
 from hourlake.spec import DEFAULT_SPEC, HourlySpec
 
 
+#: How the keys of this job's batches begin; documents that were added in another way have others.
+BATCH = "runs-"
+
+
 def judge_responses(responses: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     """Attempt log out of a response log.
 
@@ -90,9 +94,9 @@ def account_runs(
             run_ids = run_ids.unionByName(known.select("run_id"))
         gates.check_no_duplicate_keys(run_ids, ["run_id"], "Run summaries")
         gates.check_attempt_limit(responses, spec)
-        open_batches = live_folders(spark, documents_path).keys() - summarised.keys() - {key}
-        if open_batches:
-            raise RuntimeError(f"batches {sorted(open_batches)} were interrupted; start their runs again first")
+        stored = {k for k in live_folders(spark, documents_path) if k.startswith(BATCH)}
+        if open_batches := sorted(stored - summarised.keys() - {key}):
+            raise RuntimeError(f"batches {open_batches} were interrupted; start their runs again first")
 
         carried = ("payload", "raw_payload", "run_started_at_utc", "ingested_at_utc")
         judged = decisive_attempts(judge_responses(responses, spec), *carried)
@@ -110,7 +114,7 @@ def account_runs(
 
 
 def batch_key(runs: DataFrame) -> str:
-    """A key for a set of runs, the same in whatever order they come."""
+    """A key for the batch of a set of runs, the same in whatever order they come."""
     two = (F.xxhash64("run_id"), F.xxhash64(F.lit("second"), "run_id"))
     sums = runs.agg(F.count("*"), *(F.coalesce(F.bit_xor(h), F.lit(0)) for h in two)).first()
-    return "-".join(f"{n % 2**64:x}" for n in sums)
+    return BATCH + "-".join(f"{n % 2**64:x}" for n in sums)

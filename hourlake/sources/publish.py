@@ -56,8 +56,12 @@ def _counting(names: list[tuple], upto: int | None = None) -> dict[str, tuple[in
 
 
 def begin(spark: SparkSession, path: str) -> None:
-    """Make the folder a table of this kind, so that what is written to it isn't taken for its rows."""
-    files, location = file_system(spark, f"{path.rstrip('/')}/{_MANIFEST}")
+    """Make the folder a table of this kind, so that what is written to it isn't taken for its rows. One with
+    files in it that isn't such a table is refused: they would be hidden."""
+    files, root = file_system(spark, path.rstrip("/"))
+    _, location = file_system(spark, f"{path.rstrip('/')}/{_MANIFEST}")
+    if not files.exists(location) and files.exists(root) and files.listStatus(root):
+        raise FileExistsError(f"{path} holds files that aren't a published table's")
     files.mkdirs(location)
 
 

@@ -120,6 +120,15 @@ def test_old_table_is_read_whole_whatever_step_a_writer_stops_at(spark, tmp_path
     assert stored(spark, path) == [0]
 
 
+def test_a_folder_of_plain_files_is_read_but_not_turned_into_a_table(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.range(2).write.parquet(path)
+    assert stored(spark, path) == [0, 1]
+    with pytest.raises(FileExistsError, match="aren't a published table's"):
+        writers.replace_table(spark.range(3), path, lambda staging: None)
+    assert stored(spark, path) == [0, 1]
+
+
 def test_several_keys_change_at_once_and_a_batch_counts_once(spark, tmp_path):
     path = str(tmp_path / "table")
     first, second, again = (writers.Batch(path, k) for k in ("a", "b", "a"))
