@@ -159,7 +159,9 @@ def _least(words: np.ndarray, start: int, q: int) -> bool:
     )
 
 
-def _block_starts(words: np.ndarray, order: np.ndarray, keys: np.ndarray, gap: np.ndarray, size: int) -> np.ndarray:
+def _block_starts(
+    words: np.ndarray, order: np.ndarray, keys: np.ndarray, gap: np.ndarray, size: int
+) -> np.ndarray:
     """Aligned blocks in which each word comes again at a distance of this scale."""
     n = len(words) // size * size
     low = 1 if size == BASE else size
@@ -175,7 +177,9 @@ def _block_starts(words: np.ndarray, order: np.ndarray, keys: np.ndarray, gap: n
     return starts
 
 
-def _seeds(words: np.ndarray, starts: np.ndarray, size: int, stretches: _Stretches) -> Iterator[tuple[int, int]]:
+def _seeds(
+    words: np.ndarray, starts: np.ndarray, size: int, stretches: _Stretches
+) -> Iterator[tuple[int, int]]:
     """(place, distance) of what may be runs' blocks and periods."""
     low = 1 if size == BASE else size
     width = size + 2 * size - 1 - low
@@ -184,7 +188,8 @@ def _seeds(words: np.ndarray, starts: np.ndarray, size: int, stretches: _Stretch
     step = max(1, ROOM // width)
     for i in range(0, len(starts), step):
         some = starts[i : i + step]
-        equal = zero_shifts(padded[some[:, None] + np.arange(size)], padded[some[:, None] + low + np.arange(width)])
+        blocks = padded[some[:, None] + np.arange(size)]
+        equal = zero_shifts(blocks, padded[some[:, None] + low + np.arange(width)])
         rows, shifts = np.nonzero(equal)
         shifts += low
         borders = np.searchsorted(rows, np.arange(len(some) + 1))
@@ -275,7 +280,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 columns = [
                     keys.slice(begin, len(texts)),
                     pa.array([len(x) for x in texts], pa.int64()),
-                    pa.array([[dict(zip(("start", "length", "period"), r, strict=True)) for r in x] for x in runs], pa.list_(_RUN)),
+                    pa.array([[dict(zip(_RUN.names, r, strict=True)) for r in x] for x in runs], pa.list_(_RUN)),
                     pa.array(rest, pa.binary()).cast(pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "n_words", "runs", "collapsed"])
@@ -287,8 +292,9 @@ def find_runs(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     period) and the ``collapsed`` text."""
     kind = documents.schema[key].dataType.simpleString()
     rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").cast("binary").alias("data"))
+    runs = "array<struct<start:bigint,length:bigint,period:bigint>>"
     found = bounded(rows).mapInArrow(
-        _found, f"key {kind}, n_words bigint, runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string"
+        _found, f"key {kind}, n_words bigint, runs {runs}, collapsed string"
     )
     return found.withColumnRenamed("key", key)
 
@@ -306,7 +312,8 @@ def planted(documents: DataFrame) -> DataFrame:
     a = (F.col("g") % n).cast("int")
     p = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
     unit = F.slice("words", F.col("a") + 1, F.col("p"))
-    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - F.col("a")) / F.col("p")).cast("int"))), F.lit(1), n - F.col("a"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), n - F.col("a"))
     changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
     return (
         rows.withColumn("g", g)

@@ -188,7 +188,8 @@ def fences(weights: DataFrame, keys: list[str]) -> DataFrame:
     high = F.min(F.when(4 * F.col("below") >= 3 * F.col("total"), F.col("bucket")))
     ends = placed.groupBy(*keys, "ratio").agg(low.alias("low"), high.alias("high"))
     width = F.col("high") - F.col("low") + 1
-    sides = ends.withColumn("least", F.col("low") - REACH * width).withColumn("most", F.col("high") + REACH * width)
+    least, most = F.col("low") - REACH * width, F.col("high") + REACH * width
+    sides = ends.withColumns({"least": least, "most": most})
     return sides.groupBy(*keys).agg(
         *(
             F.max(F.when(F.col("ratio") == r, F.col(side))).alias(f"{side}_{r}")

@@ -71,7 +71,8 @@ def damaged(turns: DataFrame) -> DataFrame:
         return F.coalesce(F.col(name).cast("string"), F.lit(" "))
 
     fault = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20
-    rows = turns.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), fault.alias("fault"))
+    role, text = known("role").alias("role"), known("text").alias("text")
+    rows = turns.select("conv_id", "turn", role, text, fault.alias("fault"))
     text = (
         F.when(F.col("fault") == 1, "")
         .when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", ""))
@@ -307,10 +308,9 @@ def entered(state: DataFrame) -> DataFrame:
     Maps from the state on the left to that on the right, four digits each, are composed over ever longer
     rows of chunks until all are constant.
     """
-    maps = stored(
-        state.mapInArrow(_exits, f"conv_id {state.schema['conv_id'].dataType.simpleString()}, k bigint, exits string"),
-        "turn-exits",
-    )
+    kind = state.schema["conv_id"].dataType.simpleString()
+    found = state.mapInArrow(_exits, f"conv_id {kind}, k bigint, exits string")
+    maps = stored(found, "turn-exits")
     reach = 1
     while not maps.where("translate(exits, left(exits, 1), '') != ''").isEmpty():
         before = maps.select("conv_id", (F.col("k") + reach).alias("k"), F.col("exits").alias("before"))
@@ -382,7 +382,8 @@ def repaired(edits: DataFrame) -> DataFrame:
         F.col("edit").isin("K", "R"),
         F.array(F.struct(F.coalesce("new_role", "role").alias("role"), F.col("text").alias("text"))),
     ).otherwise(F.array().cast("array<struct<role:string,text:string>>"))
-    rows = edits.select("conv_id", "at", F.posexplode(F.concat(F.array_compact(inserted), own)).alias("place", "row"))
+    made = F.concat(F.array_compact(inserted), own)
+    rows = edits.select("conv_id", "at", F.posexplode(made).alias("place", "row"))
     return rows.select("conv_id", "at", "place", "row.role", "row.text")
 
 

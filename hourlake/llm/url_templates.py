@@ -109,9 +109,9 @@ def distinct_urls(parts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def _onto(rows: DataFrame, found: DataFrame, keys: list[str], how: str) -> DataFrame:
-    return rows.join(found.withColumnsRenamed({k: f"_{k}" for k in keys}), [rows[k] == F.col(f"_{k}") for k in keys], how).drop(
-        *(f"_{k}" for k in keys)
-    )
+    renamed = found.withColumnsRenamed({k: f"_{k}" for k in keys})
+    joined = rows.join(renamed, [rows[k] == renamed[f"_{k}"] for k in keys], how)
+    return joined.drop(*(f"_{k}" for k in keys))
 
 
 def literals(here: DataFrame) -> DataFrame:
@@ -157,9 +157,8 @@ def branches(named: DataFrame, level: int) -> DataFrame:
     label = F.when(F.size("names") > 1, F.concat(F.lit("("), F.array_join("names", "|"), F.lit(")"))).otherwise(
         F.get("names", F.lit(0))
     )
-    return merged.select(
-        "host", "node", F.explode("names").alias("name"), label.alias("branch"), _purity(F.col("parent")).alias("purity")
-    )
+    purity = _purity(F.col("parent")).alias("purity")
+    return merged.select("host", "node", F.explode("names").alias("name"), label.alias("branch"), purity)
 
 
 def templates(parts: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
