@@ -1,11 +1,12 @@
 """Quality classifier: supervised subword embeddings.
 
 Words, pairs of adjacent words and character n-grams of two to four bytes are hashed to rows of an
-embedding table; all pairs of a word with itself share a row, as repetition matters and not of what. A document is the average of its rows; a softmax over two classes reads it. Both
-parts are learned by plain stochastic gradient descent in numpy on a bounded sample of labelled
-documents. At scoring time the averaged vector enters the softmax linearly, so each row of the
-table is first multiplied with the difference of the output weights: a document then needs one
-number per feature, and its score is the same as with the vectors.
+embedding table; all pairs of a word with itself share a row, as repetition matters and not of what.
+A document is the average of its rows; a softmax over two classes reads it. Both parts are learned
+by plain stochastic gradient descent in numpy on a bounded sample of labelled documents. At scoring
+time the averaged vector enters the softmax linearly, so each row of the table is first multiplied
+with the difference of the output weights: a document then needs one number per feature, and its
+score is the same as with the vectors.
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. Each sentence has a logistic score over its hashed words and
-their first few bytes, so that inflected forms are known by their stem; a document is toxic if any sentence is: P = 1 - product(1 - p). Only documents carry labels; the
-gradient of that noisy-or shares a document's label out over its sentences. The learned sentence
-scores then locate the offending sentences.
+A document is a bag of sentences. Each sentence has a logistic score over its hashed words and their
+first few bytes, so that inflected forms are known by their stem; a document is toxic if any
+sentence is: P = 1 - product(1 - p). Only documents carry labels; the gradient of that noisy-or
+shares a document's label out over its sentences. The learned sentence scores then locate the
+offending sentences.
 """
 
 from __future__ import annotations
