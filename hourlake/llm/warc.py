@@ -51,14 +51,15 @@ RECORDS = T.StructType(
 
 # Elements whose content isn't shown, and elements that end a line.
 _HIDDEN = ("script", "style", "noscript", "template", "head")
-_LINE = frozenset(
-    "p div br li ul ol h1 h2 h3 h4 h5 h6 tr table section article nav header footer blockquote pre".split()
-)
+_LINE = "p div br li ul ol h1 h2 h3 h4 h5 h6 tr table section article nav header footer blockquote pre".split()
 # End of fixed values.
-_TAG = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9]*)|[/!?])")
+_UNSEEN = re.compile(rf"(?i)<(?:!--|({'|'.join(_HIDDEN)})\b)")
+_LINE_TAG = re.compile(rf"(?i)</?(?:{'|'.join(_LINE)})\b[^>]*>")
+_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
 _CLOSING = {name: re.compile(rf"(?i)</{name}\s*>") for name in (*_HIDDEN, "title")}
 _TITLE, _LINK, _HREF = re.compile("(?i)<title"), re.compile(r"(?i)<a\b"), re.compile(r"(?i)\bhref\s*=\s*")
-_BLANKS = re.compile(r"[ \t\r\f\v ]+")
+#: Runs of blanks but the single space, which stays as it is.
+_BLANKS = re.compile(r"[\t\r\f\v][ \t\r\f\v]*| [ \t\r\f\v]+")
 _CONTROL = re.compile("[\x00-\x1f\x7f]")
 
 
@@ -72,44 +73,51 @@ def record_name(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(31).join(parts))}>"
 
 
+def _shown(page: str) -> str:
+    """A page with a blank in place of each comment and hidden element. A closing mark that isn't found from
+    one place on isn't looked for again, so unclosed ones, which stay, cost no more than others."""
+    out, begin, at, missing = [], 0, 0, set()
+    while opening := _UNSEEN.search(page, at):
+        at, name = opening.end(), (opening[1] or "").lower()
+        if name in missing:
+            continue
+        if name:
+            closing = _CLOSING[name].search(page, at)
+            end = closing.end() if closing else -1
+        else:
+            end = page.find("-->", at) + 3 if page.find("-->", at) >= 0 else -1
+        if end < 0:
+            missing.add(name)
+            continue
+        out += [page[begin : opening.start()], " "]
+        begin = at = end
+    return "".join([*out, page[begin:]])
+
+
 def visible_text(page: str) -> str:
     """Text of a page, a line for each block element, blanks run together, no empty lines.
 
-    One walk by position. A closing mark that isn't found from one place on isn't looked for again, so
-    unclosed elements and comments cost no more than others; of those only the opening tag is left out.
+    Tags are looked for up to the last closing bracket only: there each opening one is closed, so a search never
+    runs on in vain.
     """
-    out, at, missing = [], 0, set()
-    while tag := _TAG.search(page, at):
-        out.append(page[at : tag.start()])
-        at = tag.start()
-        name = "" if tag[1] else (tag[2] or "").lower()
-        end = -1
-        if page.startswith("<!--", at) and "--" not in missing:
-            end = page.find("-->", at + 4)
-            end = end + 3 if end >= 0 else missing.add("--") or -1
-        elif name in _HIDDEN and name not in missing:
-            closing = _CLOSING[name].search(page, tag.end())
-            end = closing.end() if closing else missing.add(name) or -1
-        if end >= 0:
-            out.append(" ")
-            at = end
-            continue
-        close = page.find(">", tag.end())
-        if close < 0:
-            break
-        out.append("\n" if (tag[2] or "").lower() in _LINE else "")
-        at = close + 1
-    out.append(page[at:])
-    lines = (_BLANKS.sub(" ", line).strip() for line in html.unescape("".join(out)).split("\n"))
+    shown = _shown(page)
+    last = shown.rfind(">") + 1
+    text = _TAG.sub("", _LINE_TAG.sub("\n", shown[:last])) + shown[last:]
+    lines = (line.strip() for line in one_blank(html.unescape(text)).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def one_blank(text: str) -> str:
+    """Each run of blanks as one space; most texts have none that differs."""
+    return _BLANKS.sub(" ", text) if "  " in text or any(c in text for c in "\t\r\f\v") else text
+
+
 def title_of(page: str) -> str | None:
     """The text of the first title element, if it is closed."""
     opening = _TITLE.search(page)
     begin = page.find(">", opening.end()) if opening else -1
     closing = _CLOSING["title"].search(page, begin) if begin >= 0 else None
-    return _BLANKS.sub(" ", html.unescape(page[begin + 1 : closing.start()])).strip() if closing else None
+    return one_blank(html.unescape(page[begin + 1 : closing.start()])).strip() if closing else None
 
 
 def links_of(page: str) -> list[str]:
