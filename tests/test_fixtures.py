@@ -1,0 +1,95 @@
+"""Documents built from events: the same rows as plain Python makes, in tasks that don't grow with the tables."""
+
+import datetime as dt
+import re
+
+import pytest
+
+from hourlake.operators import daily, dedupe
+from hourlake.plans.silver import checked_measurements
+from verification import fixtures
+
+EPOCH = dt.date(2024, 1, 1)
+METRIC = {event: metric for metric, event in fixtures.EVENT_OF_METRIC.items()}
+
+
+def _events():
+    kinds = [*METRIC, "error"]
+    start = dt.datetime(2024, 1, 1, 22, 30)
+    return [
+        (i, start + dt.timedelta(minutes=37 * i), i % 7 if i % 11 else None, kinds[i % 5], i * 0.77, "{}")
+        for i in range(300)
+    ]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("tables"))
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    spark.createDataFrame(_events(), schema).write.parquet(f"{path}/events.parquet")
+    customers = "c_custkey BIGINT, c_name STRING, c_nationkey INT"
+    spark.createDataFrame([(k, f"c{k}", 0) for k in range(5)], customers).write.parquet(f"{path}/customer.parquet")
+    spark.createDataFrame([(0, "n")], "n_nationkey INT, n_name STRING").write.parquet(f"{path}/nation.parquet")
+    return path
+
+
+def _plain():
+    """(city, run day) → slots as (text, readings)."""
+    readings = {}
+    for _, ts, city, kind, value, _ in _events():
+        hour = ts.replace(minute=0, second=0)
+        found = readings.setdefault((city, hour), dict.fromkeys(fixtures.EVENT_OF_METRIC))
+        if kind in METRIC:
+            cents = float(int(value * 100 + 0.5) - 1000)
+            found[METRIC[kind]] = max(cents, found[METRIC[kind]] if found[METRIC[kind]] is not None else cents)
+    documents = {}
+    for city, run_day in {(c, h.date() + dt.timedelta(days=k)) for c, h in readings for k in range(3)}:
+        slots = []
+        for slot in range(72):
+            hour = dt.datetime.combine(run_day, dt.time()) + dt.timedelta(hours=slot - 48)
+            spread = None if city is None else city + slot + (run_day - EPOCH).days
+            text = f"{hour:%Y-%m-%dT%H:%M}"
+            if spread is not None:
+                text = "invalid-timestamp" if spread % 17 == 0 else None if spread % 29 == 0 else text
+            slots.append((text, tuple((readings.get((city, hour)) or {}).get(m) for m in fixtures.EVENT_OF_METRIC)))
+        documents[city, f"run-{run_day}"] = slots
+    return documents
+
+
+def test_payloads_equal_plain_python(spark, folder):
+    found = {}
+    for row in fixtures.payloads(spark, folder).collect():
+        hourly = row.raw_payload.hourly
+        slots = zip(hourly.time, zip(*(hourly[m] for m in fixtures.EVENT_OF_METRIC)))
+        assert (row.city_id, row.run_id) not in found
+        found[row.city_id, row.run_id] = list(slots)
+    assert found == _plain()
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_grow_with_the_events(spark, folder, monkeypatch):
+    least = fixtures.task_count(spark)
+    assert fixtures.task_count(spark, 1) == least
+    assert fixtures.task_count(spark, 1_000_000) == 1_000_000 // fixtures.EVENTS_PER_TASK
+    monkeypatch.setattr(fixtures, "EVENTS_PER_TASK", 10)
+    documents = fixtures.documents(spark, folder)
+    assert re.search(r"hashpartitioning\(city_id#\d+, 30\)", _plan(documents))
+    assert documents.rdd.getNumPartitions() == 30
+
+
+def test_rows_are_dealt_out_once(spark, folder, monkeypatch):
+    """Latest rows, their days and the merge join with a large dimension stay in the tasks of their documents."""
+    monkeypatch.setattr("hourlake.operators.joins.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("hourlake.operators.joins.join_dimension.__defaults__", (0, "inner"))
+    rows = checked_measurements(fixtures.documents(spark, folder))
+    latest = daily.add_date(dedupe.latest_valid_rows(rows))
+    plan = _plan(daily.daily_rollup(latest, observed="unique_rows"))
+    assert "SortMergeJoin" in plan
+    after, before = plan.split("SortMergeJoin")
+    assert "Exchange" not in after
+    # One for the hourly readings, one by city, and the dimension's.
+    dealt = [line for line in before.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 3

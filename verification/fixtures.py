@@ -3,6 +3,9 @@
 ``events`` stands in for the sensor feed: a user is a city, four event types are the four
 metrics and each event value, in shifted whole cents, is a reading. Every event of every user
 is used. All groups built here are bounded: 24 hours a day, 72 slots a document.
+
+Documents are dealt out by city, in as many tasks as the events need: a task's memory stays the same as
+the tables grow, and what is grouped by city and anything else needs no further shuffle.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ HTTP_CODES = (429, 500, 503, 404, 400, 599)
 ENDPOINT = "https://feed.example/hourly"
 SOURCE = "events"
 # End of fixed values.
+#: An event's hour is in three documents at most, or 216 slots: about 2 million measurement rows a task.
+EVENTS_PER_TASK = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def task_count(spark: SparkSession) -> int:
-    """Enough tasks to use the whole cluster."""
+def task_count(spark: SparkSession, events: int = 0) -> int:
+    """Enough tasks to use the whole cluster, and so many that none gets more than its share of events."""
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffles, spark.sparkContext.defaultParallelism)
+    return max(shuffles, spark.sparkContext.defaultParallelism, -(-events // EVENTS_PER_TASK))
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,18 +80,43 @@ def _day_number(day: Column) -> Column:
     return F.datediff(day, F.lit(EPOCH).cast("date"))
 
 
-def _slot_text(run_day: Column, slot: Column, city_id: Column, spec: HourlySpec) -> Column:
-    """Raw text of one slot: mostly an hour, sometimes unparseable, sometimes NULL."""
-    day = F.date_add(run_day, F.floor(slot / 24).cast("int") - spec.past_days)
-    hour = F.lpad((slot % 24).cast("string"), 2, "0")
-    spread = city_id + slot + _day_number(run_day)
+def _hour_texts(run_day: Column, spec: HourlySpec) -> Column:
+    """The hours of a document's window as texts, in order."""
+    window_days = spec.past_days + spec.forecast_days
+    hours = ",".join(f"@T{hour:02}:00" for hour in range(24))
+    days = (F.date_add(run_day, i - spec.past_days).cast("string") for i in range(window_days))
+    return F.split(F.concat_ws(",", *(F.replace(F.lit(hours), F.lit("@"), day) for day in days)), ",")
+
+
+def _slot_text(hour: Column, spread: Column) -> Column:
+    """Raw text of one slot: mostly its hour, sometimes unparseable, sometimes NULL."""
     return (
         F.when(spread % 17 == 0, F.lit("invalid-timestamp"))
         .when(spread % 29 == 0, F.lit(None))
-        .otherwise(F.concat(day.cast("string"), F.lit("T"), hour, F.lit(":00")))
+        .otherwise(hour)
     )
 
 
+def _slots(run_day: Column, city_id: Column, by_slot: Column, spec: HourlySpec) -> Column:
+    """All slots of a document as (time, readings), in its one row: as rows of their own they would be
+    collected by a sort."""
+    window = F.struct(
+        by_slot.alias("by_slot"),
+        _hour_texts(run_day, spec).alias("hours"),
+        (city_id + _day_number(run_day)).alias("spread"),
+    )
+
+    def slots(of: Column) -> Column:
+        def slot(hour: Column, i: Column) -> Column:
+            readings = F.try_element_at(of["by_slot"], i)
+            return F.struct(_slot_text(hour, of["spread"] + i).alias("time"), readings.alias("readings"))
+
+        return F.transform(of["hours"], slot)
+
+    # A list of one, as the window is worked out once only where it is bound to a name.
+    return F.get(F.transform(F.array(window), slots), F.lit(0))
+
+
 def payloads(
     spark: SparkSession, sf_dir: str, spec: HourlySpec = DEFAULT_SPEC
 ) -> DataFrame:
@@ -98,8 +128,14 @@ def payloads(
     window_days = spec.past_days + spec.forecast_days
     lag = F.explode(F.sequence(F.lit(0), F.lit(window_days - 1)))
     document = ("city_id", "run_day")
-    windows = (
+    tasks = task_count(spark, table(spark, sf_dir, "events").count())
+    by_slot = F.map_from_entries(F.collect_list(F.struct("slot", "readings")))
+    slots = (
         hourly_readings(spark, sf_dir)
+        # Arrays are far larger than the readings they are built from, so the number of tasks
+        # is set here; going by the size of the readings would leave few, each with a large part of the
+        # arrays. A city has one reading an hour at most, so none is hot.
+        .repartition(tasks, "city_id")
         .select("*", lag.alias("lag"))
         .select(
             "city_id",
@@ -107,28 +143,14 @@ def payloads(
             ((spec.past_days - F.col("lag")) * 24 + F.hour("hour")).alias("slot"),
             F.struct(*spec.metrics).alias("readings"),
         )
-        # Arrays are far larger than the readings they are built from, so the number of tasks
-        # is set here; going by the size of the readings would leave one.
-        .repartition(task_count(spark), *document)
-        .groupBy(*document)
-        .agg(F.map_from_entries(F.collect_list(F.struct("slot", "readings"))).alias("by_slot"))
-    )
-    slots = (
-        windows.select(
-            "*", F.explode(F.sequence(F.lit(0), F.lit(spec.expected_length - 1))).alias("slot")
-        )
-        .withColumn("readings", F.try_element_at("by_slot", F.col("slot")))
-        .withColumn(
-            "time", _slot_text(F.col("run_day"), F.col("slot"), F.col("city_id"), spec)
-        )
-        .select(*document, F.struct("slot", "time", "readings.*").alias("entry"))
         .groupBy(*document)
-        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+        .agg(_slots(F.col("run_day"), F.col("city_id"), by_slot, spec).alias("entries"))
     )
     run_started = F.col("run_day").cast("timestamp") + F.expr("INTERVAL 6 HOURS")
     # Two successive runs share an ingestion time, so the run id has to settle it.
     shift = F.make_dt_interval(days=_day_number(F.col("run_day")) % 2)
-    hourly = F.struct(*(F.col(f"entries.{name}").alias(name) for name in ("time", *spec.metrics)))
+    readings = (F.col(f"entries.readings.{m}").alias(m) for m in spec.metrics)
+    hourly = F.struct(F.col("entries.time").alias("time"), *readings)
     return slots.select(
         F.concat(F.lit("run-"), F.col("run_day").cast("string")).alias("run_id"),
         "city_id",
