@@ -7,7 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE = 1 << 20
+#: Bytes of a text's longest piece, and of pieces that are worked on together: what is kept per byte, in
+#: every worker, is many times that.
+PIECE, BUFFER = 1 << 20, 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -73,14 +75,14 @@ def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
     yield text[start:]
 
 
-def joined(texts: list[bytes], size: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Buffers of about ``size`` bytes with whole pieces of texts, a newline after each: the bytes,
-    the offsets of the pieces and one more, and the number of the text each piece is of."""
+def joined(texts: list[bytes], size: int = BUFFER) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Buffers of about ``size`` bytes, or one piece more, with whole pieces of texts, a newline after each:
+    the bytes, the offsets of the pieces and one more, and the number of the text each piece is of."""
     held: list[bytes] = []
     owners: list[int] = []
     total = 0
     for i, text in enumerate(texts):
-        for piece in pieces(text, size):
+        for piece in pieces(text, max(size, PIECE)):
             held.append(piece)
             owners.append(i)
             total += len(piece) + 1
