@@ -93,3 +93,11 @@ def test_rows_are_dealt_out_once(spark, folder, monkeypatch):
     # One for the hourly readings, one by city, and the dimension's.
     dealt = [line for line in before.splitlines() if "Exchange hashpartitioning" in line]
     assert len(dealt) == 3
+
+
+def test_slots_are_compiled_and_made_once_for_a_document(spark, folder):
+    """No function over the slots, which would be interpreted, and no texts in a filter on each reading."""
+    plan = checked_measurements(fixtures.documents(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "transform(" not in plan
+    making = [line for line in plan.splitlines() if "invalid-timestamp" in line]
+    assert len(making) == 1 and "Aggregate [" in making[0]

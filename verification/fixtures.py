@@ -80,41 +80,31 @@ def _day_number(day: Column) -> Column:
     return F.datediff(day, F.lit(EPOCH).cast("date"))
 
 
-def _hour_texts(run_day: Column, spec: HourlySpec) -> Column:
-    """The hours of a document's window as texts, in order."""
+def _slot_times(run_day: Column, city_id: Column, spec: HourlySpec) -> Column:
+    """Raw texts of a document's slots in order: mostly an hour, sometimes unparseable, sometimes NULL.
+
+    Each is picked by its place in one list of texts, which is made once for a document; the last place has the
+    unparseable text, and no text is before the first.
+    """
     window_days = spec.past_days + spec.forecast_days
+    slots = window_days * 24
     hours = ",".join(f"@T{hour:02}:00" for hour in range(24))
     days = (F.date_add(run_day, i - spec.past_days).cast("string") for i in range(window_days))
-    return F.split(F.concat_ws(",", *(F.replace(F.lit(hours), F.lit("@"), day) for day in days)), ",")
-
-
-def _slot_text(hour: Column, spread: Column) -> Column:
-    """Raw text of one slot: mostly its hour, sometimes unparseable, sometimes NULL."""
-    return (
-        F.when(spread % 17 == 0, F.lit("invalid-timestamp"))
-        .when(spread % 29 == 0, F.lit(None))
-        .otherwise(hour)
-    )
-
+    texts = (F.replace(F.lit(hours), F.lit("@"), day) for day in days)
+    choice = F.split(F.concat_ws(",", *texts, F.lit("invalid-timestamp")), ",")
+    spread = city_id + _day_number(run_day)
 
-def _slots(run_day: Column, city_id: Column, by_slot: Column, spec: HourlySpec) -> Column:
-    """All slots of a document as (time, readings), in its one row: as rows of their own they would be
-    collected by a sort."""
-    window = F.struct(
-        by_slot.alias("by_slot"),
-        _hour_texts(run_day, spec).alias("hours"),
-        (city_id + _day_number(run_day)).alias("spread"),
-    )
+    def place(slot: int) -> Column:
+        return F.when((spread + slot) % 17 == 0, slots).when((spread + slot) % 29 == 0, -1).otherwise(slot)
 
-    def slots(of: Column) -> Column:
-        def slot(hour: Column, i: Column) -> Column:
-            readings = F.try_element_at(of["by_slot"], i)
-            return F.struct(_slot_text(hour, of["spread"] + i).alias("time"), readings.alias("readings"))
+    return F.array(*(F.get(choice, place(slot)) for slot in range(slots)))
 
-        return F.transform(of["hours"], slot)
 
-    # A list of one, as the window is worked out once only where it is bound to a name.
-    return F.get(F.transform(F.array(window), slots), F.lit(0))
+def _slot_readings(by_slot: Column, spec: HourlySpec) -> Column:
+    """Readings of a document's slots in order. One expression for each slot is compiled; a function over the
+    slots would be interpreted, at several times the cost of all the rest."""
+    slots = (spec.past_days + spec.forecast_days) * 24
+    return F.array(*(F.try_element_at(by_slot, F.lit(slot)) for slot in range(slots)))
 
 
 def payloads(
@@ -130,6 +120,9 @@ def payloads(
     document = ("city_id", "run_day")
     tasks = task_count(spark, table(spark, sf_dir, "events").count())
     by_slot = F.map_from_entries(F.collect_list(F.struct("slot", "readings")))
+    # As an aggregate, though a document has one city only: texts made from nothing but keys would also be made
+    # for a filter on each reading.
+    city = F.max("city_id")
     slots = (
         hourly_readings(spark, sf_dir)
         # Arrays are far larger than the readings they are built from, so the number of tasks
@@ -144,13 +137,15 @@ def payloads(
             F.struct(*spec.metrics).alias("readings"),
         )
         .groupBy(*document)
-        .agg(_slots(F.col("run_day"), F.col("city_id"), by_slot, spec).alias("entries"))
+        .agg(
+            _slot_times(F.col("run_day"), city, spec).alias("time"),
+            _slot_readings(by_slot, spec).alias("readings"),
+        )
     )
     run_started = F.col("run_day").cast("timestamp") + F.expr("INTERVAL 6 HOURS")
     # Two successive runs share an ingestion time, so the run id has to settle it.
     shift = F.make_dt_interval(days=_day_number(F.col("run_day")) % 2)
-    readings = (F.col(f"entries.readings.{m}").alias(m) for m in spec.metrics)
-    hourly = F.struct(F.col("entries.time").alias("time"), *readings)
+    hourly = F.struct("time", *(F.col(f"readings.{m}").alias(m) for m in spec.metrics))
     return slots.select(
         F.concat(F.lit("run-"), F.col("run_day").cast("string")).alias("run_id"),
         "city_id",
