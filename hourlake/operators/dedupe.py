@@ -95,6 +95,27 @@ def latest_and_set_aside(checked: DataFrame) -> DataFrame:
     )
 
 
+def latest_and_set_aside_by_city(checked: DataFrame) -> DataFrame:
+    """The rows of ``latest_and_set_aside`` where a city's rows are in one task already: sorted once, and neither
+    combined nor shuffled.
+
+    Of a key the last row in order of recency is left, and its number is how many there were. Positions part the
+    rows without a valid timestamp, of which all are left.
+    """
+    valid = F.col("is_valid_measurement_timestamp")
+    oldest_first = Window.partitionBy(*MEASUREMENT_KEY, "set_aside").orderBy("ingested_at_utc", "run_id")
+    numbered = checked.withColumn("set_aside", F.when(~valid, F.col("position"))).withColumns(
+        {
+            "record_count": F.row_number().over(oldest_first),
+            "has_newer": F.lead(F.lit(True)).over(oldest_first),
+        }
+    )
+    carried = [c for c in checked.columns if c not in ("position", "is_valid_measurement_timestamp")]
+    return numbered.filter(F.col("has_newer").isNull() | ~valid).select(
+        *carried, valid, F.when(valid, F.col("record_count")).cast("bigint").alias("record_count")
+    )
+
+
 def silver_rows(deduplicated: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
     """The persisted columns in their fixed order."""
     return deduplicated.select(*schemas.silver(spec))

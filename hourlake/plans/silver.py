@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hourlake.functions.validity import has_length_issue
 from hourlake.operators import gates
-from hourlake.operators.dedupe import latest_and_set_aside, silver_rows
+from hourlake.operators.dedupe import latest_and_set_aside, latest_and_set_aside_by_city, silver_rows
 from hourlake.operators.flatten import flatten_documents, unnest_equal_arrays, unnest_with_positions
 from hourlake.operators.quality import (
     add_metric_flags,
@@ -32,6 +33,10 @@ from hourlake.sources.session import utc_session
 from hourlake.sources.writers import WHOLE, Batch, replace_table, work_folder
 from hourlake.spec import DEFAULT_SPEC, HourlySpec, array_column
 
+#: Documents whose rows are deduplicated by one task; a city with several times as many is not dealt out whole.
+DOCUMENTS_PER_TASK = 10_000
+DOCUMENTS_PER_CITY = 4 * DOCUMENTS_PER_TASK
+
 
 @dataclass(frozen=True)
 class SilverReport:
@@ -53,29 +58,56 @@ def timed_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) ->
     )
 
 
-def positioned_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
-    """``timed_measurements`` with the place of each row in its document."""
+def positioned_measurements(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """Measurement rows of flattened documents, with parsed timestamps and the place of each row in its document."""
     return (
-        documents.transform(flatten_documents, spec)
-        .transform(unnest_with_positions, spec)
+        flat.transform(unnest_with_positions, spec)
         .transform(add_timestamp, spec)
         .transform(add_timestamp_flag)
     )
 
 
+def city_tasks(flat: DataFrame, stored_rows: int, spec: HourlySpec = DEFAULT_SPEC) -> int | None:
+    """How many tasks to deal flattened documents out to by city, or None where a city has too many for one.
+
+    Reads the city ids only.
+    """
+    per_city = flat.groupBy("city_id").count()
+    total, largest = per_city.agg(F.coalesce(F.sum("count"), F.lit(0)), F.max("count")).first()
+    if (largest or 0) > DOCUMENTS_PER_CITY:
+        return None
+    documents = total + stored_rows // spec.expected_length
+    return max(flat.sparkSession.sparkContext.defaultParallelism, -(-documents // DOCUMENTS_PER_TASK))
+
+
 def deduplicated_measurements(
-    documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC, stored: DataFrame | None = None
+    documents: DataFrame,
+    spec: HourlySpec = DEFAULT_SPEC,
+    stored: DataFrame | None = None,
+    stored_rows: int = 0,
 ) -> DataFrame:
     """Silver rows with ``record_count``, out of documents that passed the length gate: one scan of the
-    documents and one shuffle of their rows, and of those of ``stored`` Silver rows they are merged with.
+    documents and one shuffle, and one of the ``stored`` Silver rows that they are merged with.
+
+    Documents are dealt out by city before they become rows: they are a fraction of the size of their rows, no
+    task gets more as the tables grow, and the rows are sorted once. Where one city has a large part
+    of the documents, rows are shuffled in place of documents, after a combination on the map side.
 
     Flags of readings follow from the readings, so they need not go through the shuffle.
     """
-    rows = positioned_measurements(documents, spec)
+    flat = flatten_documents(documents, spec)
+    tasks = city_tasks(flat, stored_rows, spec)
+
+    def dealt(frame: DataFrame) -> DataFrame:
+        return frame.repartition(tasks, "city_id") if tasks else frame
+
+    rows = flat.transform(dealt).transform(positioned_measurements, spec)
     if stored is not None:
         # Rows of a table have no place in a document; there are no two of one key.
-        rows = rows.unionByName(stored.withColumn("position", F.lit(-1)).select(*rows.columns))
-    return rows.transform(latest_and_set_aside).transform(add_metric_flags, spec)
+        kept = stored.withColumn("position", F.lit(-1)).select(*rows.columns)
+        rows = rows.unionByName(dealt(kept))
+    latest = latest_and_set_aside_by_city if tasks else latest_and_set_aside
+    return rows.transform(latest).transform(add_metric_flags, spec)
 
 
 def checked_measurements(documents: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
@@ -89,6 +121,15 @@ def profile_documents(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataF
     One row per combination of flags: ``count`` measurements have it, and ``length_issues``
     documents, which are left unexploded, are counted with it.
     """
+    return _census(flat, spec.flags, spec)
+
+
+def profile_documents_by_day(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataFrame:
+    """``profile_documents`` with a row for each day of the measurements, ``measurement_day``, and flags."""
+    return _census(flat, (DAY_COLUMN, *spec.flags), spec)
+
+
+def _census(flat: DataFrame, keys: Sequence[str], spec: HourlySpec) -> DataFrame:
     issue = F.col("has_issue")
     slots = flat.withColumn("has_issue", has_length_issue(spec)).select(
         "has_issue",
@@ -101,7 +142,8 @@ def profile_documents(flat: DataFrame, spec: HourlySpec = DEFAULT_SPEC) -> DataF
     return (
         slots.select("has_issue", "measurement_timestamp_raw", *readings)
         .transform(add_validity, spec)
-        .groupBy(*spec.flags)
+        .withColumn(DAY_COLUMN, F.to_date("measurement_timestamp"))
+        .groupBy(*keys)
         .agg(
             F.count_if(~issue).alias("count"),
             F.count_if(issue).alias("length_issues"),
@@ -130,7 +172,7 @@ def _build_silver(
     cannot make Spark count a row twice. They also have to add up to the census: a source that
     changed in between would have got past the length gate.
     """
-    profile, sums = _gated_profile(spark, documents, spec)
+    profile, sums = _gated_profile(spark, profile_documents(flatten_documents(documents, spec), spec), spec)
     rows, written = _observed(deduplicated_measurements(documents, spec))
 
     def check(staging: str) -> None:
@@ -148,11 +190,11 @@ def _build_silver(
     return _report(profile, written)
 
 
-def _gated_profile(spark: SparkSession, documents: DataFrame, spec: HourlySpec) -> tuple[DataFrame, Row]:
-    """The census as a stored table, and how many rows are valid and set aside; raises where documents fail
-    the length gate."""
+def _gated_profile(spark: SparkSession, profiled: DataFrame, spec: HourlySpec) -> tuple[DataFrame, Row]:
+    """A profile of documents as a stored table, and how many rows are valid and set aside; raises where documents
+    fail the length gate."""
     census = f"{work_folder(spark)}/census"
-    profile_documents(flatten_documents(documents, spec), spec).write.parquet(census)
+    profiled.write.parquet(census)
     profile = spark.read.parquet(census)
     is_valid, count = F.col("is_valid_measurement_timestamp"), F.col("count")
     sums = profile.agg(
@@ -215,17 +257,20 @@ def _update_silver(
 ) -> SilverReport:
     if WHOLE in live_folders(spark, path):
         raise ValueError(f"{path} is replaced as a whole; keep increments in a table of their own")
-    census, sums = _gated_profile(spark, documents, spec)
+    profile, sums = _gated_profile(
+        spark, profile_documents_by_day(flatten_documents(documents, spec), spec), spec
+    )
     day = F.to_date("measurement_timestamp")
     # A few days for each run of the increment.
-    days = timed_measurements(documents, spec).select(day.cast("string")).distinct().collect()
+    days = profile.select(F.col(DAY_COLUMN).cast("string")).distinct().collect()
     kept = silver_days(spark, path)
     affected = [kept[f"day-{d}"] for (d,) in days if f"day-{d}" in kept]
     stored = read_silver_days(spark, path, affected, spec)
-    rows, written = _observed(deduplicated_measurements(documents, spec, stored))
+    stored_rows = stored.count()
+    rows, written = _observed(deduplicated_measurements(documents, spec, stored, stored_rows))
     new = Batch(path, batch).write(silver_rows(rows, spec).withColumn(DAY_COLUMN, day), DAY_COLUMN)
 
-    gates.check_row_counts(sums["valid"] + stored.count(), written.get["valid"], "Silver source")
+    gates.check_row_counts(sums["valid"] + stored_rows, written.get["valid"], "Silver source")
     gates.check_row_counts(sums["set_aside"], written.get["set_aside"], "Silver source")
     gates.check_keyed_table(
         read_silver(spark, new.folder, spec),
@@ -237,4 +282,5 @@ def _update_silver(
     found = partition_values(spark, new.folder, DAY_COLUMN)
     keys = {f"aside-{batch}" if d == NO_DAY else f"day-{d}" for d in found}
     publish(spark, path, dict.fromkeys(keys, new.folder))
+    census = profile.groupBy(*spec.flags).agg(F.sum("count").alias("count"))
     return _report(census, written)
