@@ -101,3 +101,6 @@ def test_slots_are_compiled_and_made_once_for_a_document(spark, folder):
     assert "lambda" not in plan and "transform(" not in plan
     making = [line for line in plan.splitlines() if "invalid-timestamp" in line]
     assert len(making) == 1 and "Aggregate [" in making[0]
+    times = fixtures.documents(spark, folder).select("raw_payload.hourly.time")
+    made = [line for line in _plan(times).splitlines() if "run_day" in line and "Aggregate(" in line]
+    assert made and all("ObjectHashAggregate(" in line for line in made)

@@ -120,9 +120,10 @@ def payloads(
     document = ("city_id", "run_day")
     tasks = task_count(spark, table(spark, sf_dir, "events").count())
     by_slot = F.map_from_entries(F.collect_list(F.struct("slot", "readings")))
-    # As an aggregate, though a document has one city only: texts made from nothing but keys would also be made
-    # for a filter on each reading.
-    city = F.max("city_id")
+    # A list of one, though it is a key: texts made from nothing but keys would also be made for a filter on each
+    # reading, and where no reading is asked for, only an aggregate with a list keeps the expressions for the
+    # slots in several methods; in one they are too long to be compiled.
+    city = F.get(F.collect_set("city_id"), F.lit(0))
     slots = (
         hourly_readings(spark, sf_dir)
         # Arrays are far larger than the readings they are built from, so the number of tasks
