@@ -102,7 +102,7 @@ def _slot_times(run_day: Column, city_id: Column, spec: HourlySpec) -> Column:
 
 def _slot_readings(by_slot: Column, spec: HourlySpec) -> Column:
     """Readings of a document's slots in order. One expression for each slot is compiled; a function over the
-    slots would be interpreted, at several times the cost of all the rest."""
+    slots would be interpreted, which takes longer."""
     slots = (spec.past_days + spec.forecast_days) * 24
     return F.array(*(F.try_element_at(by_slot, F.lit(slot)) for slot in range(slots)))
 
